@@ -53,7 +53,7 @@ def resume_after(listing: DataFrame, last_ids: DataFrame, keys=KEYS, order=ORDER
     probe = state.withColumnRenamed("last_id", "id")
     met = attach(listing.select(*keys, "id", *order), probe, [*keys, "id"], "left_semi") \
         .groupBy(*keys).agg(F.min(place(order)).alias("_cut"))
-    cuts = staged(attach(state, staged(met, "cuts"), keys).withColumn("_state", F.lit(True)), "resume")
+    cuts = staged(attach(state, met, keys).withColumn("_state", F.lit(True)), "cuts")
     below = attach(listing, cuts, keys).filter(
         F.col("_state").isNull() | ((place(order) > F.col("_cut")) & (F.col("id") != F.col("last_id"))))
     return keep_first(below.drop("_state", "_cut", "last_id"), keys, "id", order)

@@ -8,9 +8,9 @@ from newslake.schema import RECENT_IDS
 # The two key conventions. Objects named by hand follow the first, our sink the second:
 #   web_crawler/{site}/[{category}/]{site}[_{category}]_initial_batch_{N}.json
 #   web_crawler/{site}/[{category}/]{site}[_{category}]_incremental_crawled_at_{epoch}.json
-#   site={site}/category={category}/kind={initial|incremental}/seq={N}/part-*.json
+#   site={site}/category={category}/kind={initial|incremental}/seq={N}/part-*
 _NAMED = r"web_crawler/([^/]+)/(?:([^/]+)/)?([^/]+?)_(initial_batch|incremental_crawled_at)_(\d+)\.json$"
-_LAID = r"site=([^/]+)/category=([^/]+)/kind=(initial|incremental)/seq=(\d+)/[^/]*\.json$"
+_LAID = r"site=([^/]+)/category=([^/]+)/kind=(initial|incremental)/seq=(\d+)/part-[^/]*$"
 _NO_CATEGORY = "__HIVE_DEFAULT_PARTITION__"
 
 

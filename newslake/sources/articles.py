@@ -9,6 +9,10 @@ from newslake.operators import state
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA, HITS_SCHEMA
 
 
+# Objects named by hand end in .json; our batch sink writes through Spark's text files.
+_BATCH_FILES = "{*.json,part-*.txt}"
+
+
 def read_articles(spark: SparkSession, paths, layout: str = "array", recursive: bool = True) -> DataFrame:
     """Article JSON with the fixed schema; malformed text fails the job.
 
@@ -29,10 +33,10 @@ def parse_batch(value: Column, mode: str = "PERMISSIVE") -> Column:
 
 
 def read_batch_files(spark: SparkSession, paths, recursive: bool = True) -> DataFrame:
-    """One row per ``.json`` file: its path and parsed array (NULL for any other shape)."""
+    """One row per batch file: its path and parsed array (NULL for any other shape)."""
     files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
-        .option("pathGlobFilter", "*.json").text(paths)
+        spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES)
+        .text(paths, wholetext=True)
     )
     return files.select(F.col("_metadata.file_path").alias("path"), "value",
                         parse_batch(F.col("value")).alias("rows"))
@@ -54,7 +58,7 @@ def list_batches(spark: SparkSession, root) -> DataFrame:
     """The batches below ``root`` with site, category, kind and number; contents are not read."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").load(root).select("path", "length")
+        .option("pathGlobFilter", _BATCH_FILES).load(root).select("path", "length")
     )
     return state.parse_keys(files)
 
