@@ -3,7 +3,7 @@
 The patterns use lazy or single-class repetition only, so matching does not recurse on long pages.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import strip, to_int
@@ -12,7 +12,8 @@ from newslake.functions.text import strip, to_int
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ",
             "&copy;": "©", "&middot;": "·", "&amp;": "&"}
 
-_NOT_TEXT = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
+# A script, a style, a comment, or a single tag.
+_MARKUP = r"(?is)<(?:script\b.*?</script|style\b.*?</style|!--.*?--|[^>]*)>"
 _EDGE = "\u0001"
 
 
@@ -35,20 +36,25 @@ def drop_elements(html: Column, tag: str, class_name: str) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Text nodes, each stripped, empty ones left out, joined by one blank."""
-    marked = F.regexp_replace(F.regexp_replace(html, _NOT_TEXT, _EDGE), r"<[^>]*>", _EDGE)
+    marked = F.regexp_replace(html, _MARKUP, _EDGE)
     joined = F.regexp_replace(marked, rf"[\s{_EDGE}]*{_EDGE}[\s{_EDGE}]*", " ")
     return unescape(strip(joined))
 
 
 def tight_text(html: Column) -> Column:
     """As ``visible_text`` with nothing between the nodes."""
-    marked = F.regexp_replace(F.regexp_replace(html, _NOT_TEXT, _EDGE), r"<[^>]*>", _EDGE)
+    marked = F.regexp_replace(html, _MARKUP, _EDGE)
     return unescape(strip(F.regexp_replace(marked, rf"[\s{_EDGE}]*{_EDGE}[\s{_EDGE}]*", "")))
 
 
-def first_text(html: Column, *tags: str) -> Column:
-    """Visible text of the first of the elements that has any; NULL when none has."""
-    return F.coalesce(*[F.nullif(visible_text(inner(html, tag)), F.lit("")) for tag in tags])
+def with_first_text(pages: DataFrame, name: str, default: str, *tags: str, html: str = "html") -> DataFrame:
+    """Add the visible text of the first of the elements that has any, else ``default``.
+
+    The elements' texts are columns of a projection of their own, so each is made once per row.
+    """
+    made = {f"_{name}_{i}": visible_text(inner(F.col(html), tag)) for i, tag in enumerate(tags)}
+    first = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in made], F.lit(default))
+    return pages.withColumns(made).withColumn(name, first).drop(*made)
 
 
 def attribute(html: Column, tag: str, name: str) -> Column:

@@ -5,8 +5,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes Unicode white space; (?U) gives \s the same meaning here.
-_EDGES = r"(?U)^\s+|\s+$"
+# The characters that count as white space, Unicode's and the four ASCII separators.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) \
+    + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def url_id(url: Column) -> Column:
@@ -15,12 +16,18 @@ def url_id(url: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(WHITE))
+
+
+def has_text(text: Column) -> Column:
+    """Is there a visible character? Looks no further than the first one."""
+    return text.rlike(f"[^{WHITE}]")
 
 
 def squeeze(text: Column) -> Column:
     """Strip, and make every inner run of white space one blank, as a browser shows the text."""
-    return strip(F.regexp_replace(text, r"(?U)\s+", " "))
+    # The named class is far faster than the same characters listed one by one.
+    return strip(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def remove_all(text: Column, *literals: str) -> Column:
@@ -65,5 +72,5 @@ def drop_phrase_paragraphs(paragraphs: Column, phrases) -> Column:
 
 def or_default(value: Column, default: str, blank_is_missing: bool = True) -> Column:
     """``default`` for NULL and, by choice, for text without any visible character."""
-    present = F.when(strip(value) != "", value) if blank_is_missing else value
+    present = F.when(has_text(value), value) if blank_is_missing else value
     return F.coalesce(present, F.lit(default))

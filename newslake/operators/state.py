@@ -8,9 +8,9 @@ from newslake.schema import RECENT_IDS
 # The two key conventions. Objects named by hand follow the first, our sink the second:
 #   web_crawler/{site}/[{category}/]{site}[_{category}]_initial_batch_{N}.json
 #   web_crawler/{site}/[{category}/]{site}[_{category}]_incremental_crawled_at_{epoch}.json
-#   site={site}/category={category}/kind={initial|incremental}/seq={N}/part-*
+#   site={site}/category={category}/batch={initial|incremental}_{N}/part-*
 _NAMED = r"web_crawler/([^/]+)/(?:([^/]+)/)?([^/]+?)_(initial_batch|incremental_crawled_at)_(\d+)\.json$"
-_LAID = r"site=([^/]+)/category=([^/]+)/kind=(initial|incremental)/seq=(\d+)/part-[^/]*$"
+_LAID = r"site=([^/]+)/category=([^/]+)/batch=(initial|incremental)_(\d+)/part-[^/]*$"
 _NO_CATEGORY = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -27,23 +27,17 @@ def parse_keys(files: DataFrame, path="path") -> DataFrame:
 
     The file name must repeat the folder names literally, so a dot in a site name is only a dot.
     """
-    def named(i):
-        return F.regexp_extract(path, _NAMED, i)
-
-    def laid(i):
-        return F.regexp_extract(path, _LAID, i)
-
-    is_laid = laid(1) != ""
-    category = F.nullif(F.when(is_laid, F.nullif(laid(2), F.lit(_NO_CATEGORY))).otherwise(named(2)), F.lit(""))
-    out = files.withColumns({
-        "site": F.when(is_laid, laid(1)).otherwise(named(1)),
-        "category": category,
-        "kind": F.when(is_laid, laid(3)).otherwise(F.split_part(named(4), F.lit("_"), F.lit(1))),
-        "stamp": F.when(is_laid, laid(4)).otherwise(named(5)),
-        "_stem": F.when(~is_laid, named(3)),
+    def pick(laid, named):
+        return F.coalesce(F.nullif(F.regexp_extract(path, _LAID, laid), F.lit("")),
+                          F.nullif(F.regexp_extract(path, _NAMED, named), F.lit("")))
+
+    found = files.withColumns({
+        "site": pick(1, 1), "category": F.nullif(pick(2, 2), F.lit(_NO_CATEGORY)),
+        "kind": F.split_part(pick(3, 4), F.lit("_"), F.lit(1)), "stamp": pick(4, 5),
+        "_stem": F.nullif(F.regexp_extract(path, _NAMED, 3), F.lit("")),
     })
     expected = F.concat_ws("_", "site", "category")
-    return out.filter((F.col("stamp") != "") & (F.col("_stem").isNull() | (F.col("_stem") == expected))) \
+    return found.filter(F.col("stamp").isNotNull() & (F.col("_stem").isNull() | (F.col("_stem") == expected))) \
         .withColumn("seq", F.col("stamp").cast("bigint")).drop("_stem")
 
 

@@ -10,7 +10,9 @@ from newslake.operators.cut import resume_after, take_until_seen
 from newslake.operators.dedup import dedup_any
 from newslake.operators.ranking import assign_batches
 from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE, MAX_NEWS
+from newslake.session import staged
 from newslake.sources.articles import list_batches, read_articles, read_batch_files, read_batches_ordered
+from newslake.sources.extract import extract_articles
 from newslake.sources.sinks import write_articles
 
 
@@ -40,9 +42,9 @@ def migrate_rows(spark: SparkSession, root) -> DataFrame:
 
 
 def migrate_counts(spark: SparkSession, root) -> DataFrame:
-    """Inserted rows per file and, under a NULL path, in total; needs the arrays' lengths only."""
-    files = read_batch_files(spark, root).filter(F.col("rows").isNotNull())
-    per_file = files.select("path", F.size("rows").cast("bigint").alias("n"))
+    """Inserted rows per file and, under a NULL path, in total; of each article only the id is parsed."""
+    files = read_batch_files(spark, root, "id string")
+    per_file = files.filter(F.col("rows").isNotNull()).select("path", F.size("rows").cast("bigint").alias("n"))
     return per_file.rollup("path").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("inserted"))
 
 
@@ -51,16 +53,30 @@ def migrate_all(spark: SparkSession, root, output: str, fmt: str = "parquet") ->
     migrate_rows(spark, root).drop("path").write.mode("append").format(fmt).save(output)
 
 
+def _documents(fresh: DataFrame, details: DataFrame, keys) -> DataFrame:
+    articles = fill_defaults(listing_with_detail(fresh, details))
+    extra = [c for c in (*keys, "rn") if c not in ARTICLE_COLUMNS]
+    return to_document(articles.select(*extra, *ARTICLE_COLUMNS))
+
+
 def incremental(listing: DataFrame, details: DataFrame, seen: DataFrame, max_news: int = MAX_NEWS,
                 on_no_match: str = "keep", keys=KEYS, order=ORDER) -> DataFrame:
     """New articles of all sources: cut the listing, attach details, fill defaults, publishing form.
 
-    The cut comes first, so the join with the wide detail side gets ``max_news`` rows per key.
+    The cut comes first and is stored: it has at most ``max_news`` rows per key, and its links
+    reduce the wide detail side before that is shuffled.
     """
-    fresh = take_until_seen(listing, seen, max_news, on_no_match, keys, order)
-    articles = fill_defaults(listing_with_detail(fresh, details))
-    extra = [c for c in (*keys, "rn") if c not in ARTICLE_COLUMNS]
-    return to_document(articles.select(*extra, *ARTICLE_COLUMNS))
+    fresh = staged(take_until_seen(listing, seen, max_news, on_no_match, keys, order), "fresh")
+    return _documents(fresh, details.join(fresh.select("url"), "url", "left_semi"), keys)
+
+
+def incremental_from_pages(listing: DataFrame, pages: DataFrame, seen: DataFrame, rules=None,
+                           max_news: int = MAX_NEWS, on_no_match: str = "keep", keys=KEYS,
+                           order=ORDER) -> DataFrame:
+    """As ``incremental`` with raw ``pages(page_id, url, html, source)``; only new pages are parsed."""
+    fresh = staged(take_until_seen(listing, seen, max_news, on_no_match, keys, order), "fresh")
+    wanted = pages.join(fresh.select("url"), "url", "left_semi")
+    return _documents(fresh, extract_articles(wanted, rules), keys)
 
 
 def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame, base: DataFrame | None = None,

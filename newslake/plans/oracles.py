@@ -164,7 +164,7 @@ _EVENTS = f"""
 ev AS (
   SELECT event_id, props AS content, md5('https://events.example/' || event_id) AS id,
          CASE event_type WHEN 'error' THEN '{_NO_DATE}' WHEN 'view' THEN 'None 00:00:00' ELSE {STAMP} END AS published_at,
-         CAST(user_id AS VARCHAR) AS source, event_type AS title, 'https://events.example/' || event_id AS url,
+         event_type AS source, 'user ' || user_id AS title, 'https://events.example/' || event_id AS url,
          CASE WHEN event_type NOT IN ('error', 'view') THEN CAST(floor(epoch(ts)) AS BIGINT) END AS epoch_s
   FROM events)"""
 _PUBLISHED = f"""
@@ -287,7 +287,9 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 
 _DOCS = f"""
 docs AS (
-  SELECT doc_id, source, lang AS category, md5(source || '/' || lang || '/' || doc_id) AS id,
+  SELECT doc_id, lang AS source,
+         CASE WHEN lang <> 'en' THEN CASE WHEN length(source) = 4 THEN 'early' ELSE 'late' END END AS category,
+         md5('https://docs.example/' || source || '/' || lang || '/' || doc_id) AS id,
          'https://docs.example/' || source || '/' || lang || '/' || doc_id AS url, n_chars,
          {default(FIRST_LINE, 'No Title')} AS title, {default('text', 'No content')} AS content
   FROM documents)"""
@@ -309,21 +311,21 @@ oracle("migrate_all", _MIGRATED)
 oracle("stream_ingest", _MIGRATED)
 
 oracle("src_batches_ordered", f"""
-WITH {_DOCS}, {_numbered(10)}
-SELECT source AS site, category, seq, (rn - 1) % 10 AS pos, id, title FROM numbered""")
+WITH {_DOCS}, {_numbered(100)}
+SELECT source AS site, category, seq, (rn - 1) % 100 AS pos, id, title FROM numbered""")
 
 oracle("crawl_state", f"""
-WITH {_DOCS}, {_numbered(10)}
-SELECT source AS site, category, id, CAST(NULL AS BIGINT) AS last_batch FROM numbered WHERE rn <= 10
+WITH {_DOCS}, {_numbered(100)}
+SELECT source AS site, category, id, CAST(NULL AS BIGINT) AS last_batch FROM numbered WHERE rn <= 15
 UNION ALL
 SELECT source AS site, category, id, seq AS last_batch FROM numbered WHERE rn = n""")
 
 oracle("list_batch_files", f"""
-WITH {_DOCS}, {_numbered(10)}
+WITH {_DOCS}, {_numbered(100)}
 SELECT DISTINCT source AS site, category, 'initial' AS kind, seq FROM numbered""")
 
 oracle("migrate_counts", f"""
-WITH {_DOCS}, {_numbered(10)}
+WITH {_DOCS}, {_numbered(100)}
 SELECT source AS site, category, seq, count(*) AS inserted FROM numbered GROUP BY source, category, seq
 UNION ALL
 SELECT NULL, NULL, NULL, count(*) FROM numbered""")
@@ -339,18 +341,27 @@ l AS (SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY doc_id
              row_number() OVER (PARTITION BY source, category ORDER BY n_chars DESC, doc_id) AS k FROM docs),
 stops AS (SELECT source, category, min(pos) AS stop FROM l WHERE k <= 2 GROUP BY source, category)
 SELECT l.category, pos AS rn, content, id, CAST(NULL AS BIGINT) AS published_at, l.source, title, url
-FROM l JOIN stops ON l.source = stops.source AND l.category = stops.category WHERE pos < stop AND pos <= 500""")
+FROM l JOIN stops ON l.source = stops.source AND l.category IS NOT DISTINCT FROM stops.category WHERE pos < stop AND pos <= 500""")
 
 oracle("job_full", f"""
 WITH {_DOCS},
 last AS (
-  SELECT source, category, doc_id AS cut, count(*) OVER (PARTITION BY source) * 100 AS base FROM docs WHERE category = 'en'
+  SELECT source, category, doc_id AS cut, count(*) OVER (PARTITION BY source) * 100 AS base FROM docs WHERE source = 'en'
   QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id DESC) = 1),
 rest AS (
   SELECT d.*, coalesce(base, 0) AS base FROM docs d
-  LEFT JOIN last ON d.source = last.source AND d.category = last.category WHERE cut IS NULL OR doc_id > cut),
+  LEFT JOIN last ON d.source = last.source AND d.category IS NOT DISTINCT FROM last.category WHERE cut IS NULL OR doc_id > cut),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY doc_id) AS rn,
          count(*) OVER (PARTITION BY source, category) AS n FROM rest)
 SELECT category, base + least(CAST(ceil(rn / 10.0) AS BIGINT) * 10, n) AS batch_no, rn, content, id,
        '{_NO_DATE}' AS published_at, source, title, url FROM r""")
+
+oracle("job_incremental_pages", f"""
+WITH p AS (
+  SELECT page_id, {HOST} AS category, url, {unescape(strip(inner('h1')))} AS title, {visible(_h1_gone)} AS content,
+         row_number() OVER (PARTITION BY {HOST} ORDER BY page_id) AS pos,
+         row_number() OVER (PARTITION BY {HOST} ORDER BY length(html) DESC, page_id) AS k FROM pages),
+stops AS (SELECT category, pos AS stop FROM p WHERE k = 1)
+SELECT p.category, pos AS rn, content, md5(url) AS id, CAST(NULL AS BIGINT) AS published_at, 'driver' AS source, title, url
+FROM p JOIN stops ON p.category = stops.category WHERE pos < stop AND pos <= 500""")

@@ -51,16 +51,22 @@ def host(url):
 # ---- raw pages -----------------------------------------------------------------------------------
 
 def page_articles(spark, sf_dir):
-    """Raw pages as articles, by built-in expressions."""
+    """Raw pages as articles, by built-in expressions.
+
+    Each step is a projection of its own: the texts are used twice later, and are made once.
+    """
     html = F.col("html")
     body = page.drop_elements(page.inner(html, "article"), "div", "ad")
-    return read_pages(spark, f"{sf_dir}/pages.parquet").select(
+    texts = read_pages(spark, f"{sf_dir}/pages.parquet").select(
+        "page_id", "url", page.visible_text(page.inner(html, "title")).alias("title"),
+        page.visible_text(body).alias("content"))
+    return texts.select(
         "page_id",
         text.url_id(F.col("url")).alias("id"),
         "url",
         host(F.col("url")).alias("source"),
-        text.or_default(page.first_text(html, "title"), NO_TITLE).alias("title"),
-        text.or_default(page.visible_text(body), NO_CONTENT).alias("content"),
+        text.or_default(F.col("title"), NO_TITLE).alias("title"),
+        text.or_default(F.col("content"), NO_CONTENT).alias("content"),
         F.lit(NO_DATE).alias("published_at"),
     )
 
@@ -109,9 +115,8 @@ def listing_rejects(spark, sf_dir):
 
 @query
 def article_fallback(spark, sf_dir):
-    found = page.first_text(F.col("html"), "main", "article")
-    return table(spark, sf_dir, "pages").select(
-        "page_id", text.or_default(found, NO_CONTENT).alias("content"))
+    return page.with_first_text(table(spark, sf_dir, "pages"), "content", NO_CONTENT, "main", "article") \
+        .select("page_id", "content")
 
 
 @query
@@ -124,8 +129,8 @@ def page_meta(spark, sf_dir):
 
 @query
 def page_title(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
-        "page_id", text.or_default(page.first_text(F.col("html"), "h1", "title"), NO_TITLE).alias("title"))
+    return page.with_first_text(table(spark, sf_dir, "pages"), "title", NO_TITLE, "h1", "title") \
+        .select("page_id", "title")
 
 
 @query
@@ -246,8 +251,8 @@ def event_articles(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.concat(F.lit("https://events.example/"), F.col("event_id")).alias("url"),
-        F.col("user_id").cast("string").alias("source"),
-        F.col("event_type").alias("title"),
+        F.col("event_type").alias("source"),
+        F.concat(F.lit("user "), F.col("user_id")).alias("title"),
         F.col("props").alias("content"),
         when.alias("published_at"),
     )
@@ -446,28 +451,34 @@ def listing_with_detail(spark, sf_dir):
 
 # ---- JSON lake ---------------------------------------------------------------------------------------
 
+def doc_url():
+    return F.concat_ws("/", F.lit("https://docs.example"), "source", "lang", "doc_id")
+
+
+def doc_category():
+    return F.when(F.col("lang") != "en", F.when(F.length("source") == 4, "early").otherwise("late"))
+
+
 def document_listing(spark, sf_dir):
-    """Documents as a listing per source and language, in page order."""
+    """Documents as a listing per language, in page order; English has no categories."""
     return table(spark, sf_dir, "documents").select(
-        "source", F.col("lang").alias("category"), F.col("doc_id").alias("pos"),
-        F.md5(F.concat_ws("/", "source", "lang", "doc_id")).alias("id"),
-        F.concat_ws("/", F.lit("https://docs.example"), "source", "lang", "doc_id").alias("url"),
+        F.col("lang").alias("source"), doc_category().alias("category"), F.col("doc_id").alias("pos"),
+        text.url_id(doc_url()).alias("id"), doc_url().alias("url"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.lit(NO_DATE).alias("published_at"))
 
 
 def document_details(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
-        F.concat_ws("/", F.lit("https://docs.example"), "source", "lang", "doc_id").alias("url"),
-        F.col("doc_id").alias("page_id"), F.col("text").alias("content"))
+        doc_url().alias("url"), F.col("doc_id").alias("page_id"), F.col("text").alias("content"))
 
 
-def written_batches(spark, sf_dir, size=100):
+def written_batches(spark, sf_dir):
     """The documents as batch files of JSON arrays; returns their folder."""
     root = scratch_path(spark, "batches")
     listing = document_listing(spark, sf_dir)
     none = listing.select("source", "category", F.lit("").alias("last_id")).limit(0)
-    rows = jobs.full(listing, document_details(spark, sf_dir), none, batch_size=size)
+    rows = jobs.full(listing, document_details(spark, sf_dir), none)
     write_batches(rows.withColumn("site", F.col("source")), root)
     return root
 
@@ -479,7 +490,7 @@ def src_articles_json(spark, sf_dir):
 
 @query
 def src_batches_ordered(spark, sf_dir):
-    rows, _ = read_batches_ordered(spark, written_batches(spark, sf_dir, 10))
+    rows, _ = read_batches_ordered(spark, written_batches(spark, sf_dir))
     return state.parse_keys(rows).select("site", "category", "seq", "pos", "id", "title")
 
 
@@ -493,7 +504,7 @@ def sink_roundtrip(spark, sf_dir):
 @query
 def crawl_state(spark, sf_dir):
     """What the next runs start from: the known ids, and the resume point with its batch number."""
-    root = written_batches(spark, sf_dir, 10)
+    root = written_batches(spark, sf_dir)
     seen = jobs.seen_state(spark, root).select("site", "category", "id", F.lit(None).cast("bigint").alias("last_batch"))
     return seen.unionByName(jobs.resume_state(spark, root).select(
         "site", "category", F.col("last_id").alias("id"), "last_batch"))
@@ -501,12 +512,12 @@ def crawl_state(spark, sf_dir):
 
 @query
 def list_batch_files(spark, sf_dir):
-    return list_batches(spark, written_batches(spark, sf_dir, 10)).select("site", "category", "kind", "seq")
+    return list_batches(spark, written_batches(spark, sf_dir)).select("site", "category", "kind", "seq")
 
 
 @query
 def migrate_counts(spark, sf_dir):
-    counts = jobs.migrate_counts(spark, written_batches(spark, sf_dir, 10))
+    counts = jobs.migrate_counts(spark, written_batches(spark, sf_dir))
     keyed = state.parse_keys(counts.filter(F.col("path").isNotNull())).select("site", "category", "seq", "inserted")
     total = counts.filter(F.col("path").isNull()).select(
         F.lit(None).cast("string").alias("site"), F.lit(None).cast("string").alias("category"),
@@ -552,23 +563,37 @@ def concat_global(spark, sf_dir):
 
 @query
 def job_incremental(spark, sf_dir):
-    """State: the two longest documents of each source and language."""
-    listing = document_listing(spark, sf_dir)
+    """State: the two longest documents of each source and category."""
     longest = top_n(
         table(spark, sf_dir, "documents").select(
-            "source", F.col("lang").alias("category"), (-F.col("n_chars")).alias("shorter"), "doc_id",
-            F.md5(F.concat_ws("/", "source", "lang", "doc_id")).alias("id")),
+            F.col("lang").alias("source"), doc_category().alias("category"), (-F.col("n_chars")).alias("shorter"),
+            "doc_id", text.url_id(doc_url()).alias("id")),
         2, order=("shorter", "doc_id"))
-    return jobs.incremental(listing, document_details(spark, sf_dir), longest).select(
+    return jobs.incremental(document_listing(spark, sf_dir), document_details(spark, sf_dir), longest).select(
+        "category", F.col("rn").cast("bigint").alias("rn"), "content", "id", "published_at", "source", "title", "url")
+
+
+@query
+def job_incremental_pages(spark, sf_dir):
+    """The listing and the articles both come from raw pages; the longest page per host is known."""
+    pages = driver_pages(spark, sf_dir)
+    listing = pages.select(
+        F.col("category"), F.lit("driver").alias("source"), F.col("page_id").alias("pos"),
+        text.url_id(F.col("url")).alias("id"), "url", F.lit("listed").alias("title"))
+    longest = top_n(
+        pages.select("source", "category", (-F.length("html")).alias("shorter"), "page_id",
+                     text.url_id(F.col("url")).alias("id")),
+        1, order=("shorter", "page_id"))
+    return jobs.incremental_from_pages(listing, pages, longest, [DRIVER_RULE]).select(
         "category", F.col("rn").cast("bigint").alias("rn"), "content", "id", "published_at", "source", "title", "url")
 
 
 @query
 def job_full(spark, sf_dir):
-    """Last id: the longest English document per source; other languages start fresh."""
-    docs = table(spark, sf_dir, "documents")
-    last = docs.filter(F.col("lang") == "en").groupBy("source", F.col("lang").alias("category")).agg(
-        F.max_by(F.md5(F.concat_ws("/", "source", "lang", "doc_id")), F.struct("n_chars", "doc_id")).alias("last_id"),
+    """Last id: the longest English document; other languages start fresh."""
+    last = table(spark, sf_dir, "documents").filter(F.col("lang") == "en").groupBy(
+        F.col("lang").alias("source"), doc_category().alias("category")).agg(
+        F.max_by(text.url_id(doc_url()), F.struct("n_chars", "doc_id")).alias("last_id"),
         (F.count("*") * 100).alias("last_batch"))
     return jobs.full(document_listing(spark, sf_dir), document_details(spark, sf_dir), last,
                      last.select("source", "category", "last_batch"), batch_size=10)

@@ -27,24 +27,25 @@ def read_articles(spark: SparkSession, paths, layout: str = "array", recursive:
     )
 
 
-def parse_batch(value: Column, mode: str = "PERMISSIVE") -> Column:
+def parse_batch(value: Column, article=ARTICLE_SCHEMA) -> Column:
     """A batch's text as an array of articles: an object is an array of one, other shapes are NULL."""
-    return F.from_json(value, T.ArrayType(ARTICLE_SCHEMA), {"mode": mode})
+    element = T.StructType.fromDDL(article) if isinstance(article, str) else article
+    return F.from_json(value, T.ArrayType(element), {"mode": "PERMISSIVE"})
 
 
-def read_batch_files(spark: SparkSession, paths, recursive: bool = True) -> DataFrame:
+def read_batch_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bool = True) -> DataFrame:
     """One row per batch file: its path and parsed array (NULL for any other shape)."""
     files = (
         spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES)
         .text(paths, wholetext=True)
     )
     return files.select(F.col("_metadata.file_path").alias("path"), "value",
-                        parse_batch(F.col("value")).alias("rows"))
+                        parse_batch(F.col("value"), article).alias("rows"))
 
 
 def read_batches_ordered(spark: SparkSession, paths, mode: str = "PERMISSIVE", recursive: bool = True):
     """Articles with their file and place in it, and the files that hold no list of articles."""
-    files = read_batch_files(spark, paths, recursive)
+    files = read_batch_files(spark, paths, recursive=recursive)
     if mode == "FAILFAST":
         files = files.withColumn("rows", F.when(
             F.col("rows").isNull(), F.raise_error(F.concat(F.lit("no list of articles: "), "path"))

@@ -20,14 +20,15 @@ def write_batches(rows: DataFrame, path: str, kind: str = "initial") -> None:
     A group is one batch, so it holds at most the batch size or the run limit of rows.
     """
     article = F.struct(*ARTICLE_COLUMNS)
-    batches = rows.groupBy("site", "category", F.lit(kind).alias("kind"), F.col("batch_no").alias("seq")).agg(
+    label = F.concat(F.lit(f"{kind}_"), F.col("batch_no"))
+    batches = rows.groupBy("site", "category", label.alias("batch")).agg(
         F.sort_array(F.collect_list(F.struct("rn", article.alias("article")))).alias("rows"))
     texts = batches.select(
-        "site", "category", "kind", "seq",
+        "site", "category", "batch",
         F.to_json(F.transform("rows", lambda r: r["article"]), {"ignoreNullFields": "false", "pretty": "true"})
         .alias("value"))
     # A batch is one row, so each folder gets one file with one array.
-    texts.write.mode("append").partitionBy("site", "category", "kind", "seq").text(path)
+    texts.write.mode("append").partitionBy("site", "category", "batch").text(path)
 
 
 def insert_new(documents: DataFrame, published: DataFrame, by=("source", "id")) -> DataFrame:
