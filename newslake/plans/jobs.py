@@ -53,10 +53,12 @@ def migrate_all(spark: SparkSession, root, output: str, fmt: str = "parquet") ->
     migrate_rows(spark, root).drop("path").write.mode("append").format(fmt).save(output)
 
 
-def _documents(fresh: DataFrame, details: DataFrame, keys) -> DataFrame:
-    articles = fill_defaults(listing_with_detail(fresh, details))
-    extra = [c for c in (*keys, "rn") if c not in ARTICLE_COLUMNS]
-    return to_document(articles.select(*extra, *ARTICLE_COLUMNS))
+def _articles(rows: DataFrame, details: DataFrame, extra) -> DataFrame:
+    """Rows with details and defaults; a field that neither side has counts as missing."""
+    joined = listing_with_detail(rows, details)
+    absent = {c: F.lit(None).cast("string") for c in ARTICLE_COLUMNS if c not in joined.columns}
+    extra = [c for c in extra if c not in ARTICLE_COLUMNS]
+    return fill_defaults(joined.withColumns(absent)).select(*extra, *ARTICLE_COLUMNS)
 
 
 def incremental(listing: DataFrame, details: DataFrame, seen: DataFrame, max_news: int = MAX_NEWS,
@@ -67,7 +69,8 @@ def incremental(listing: DataFrame, details: DataFrame, seen: DataFrame, max_new
     reduce the wide detail side before that is shuffled.
     """
     fresh = staged(take_until_seen(listing, seen, max_news, on_no_match, keys, order), "fresh")
-    return _documents(fresh, details.join(fresh.select("url"), "url", "left_semi"), keys)
+    wanted = details.join(fresh.select("url"), "url", "left_semi")
+    return to_document(_articles(fresh, wanted, (*keys, "rn")))
 
 
 def incremental_from_pages(listing: DataFrame, pages: DataFrame, seen: DataFrame, rules=None,
@@ -76,7 +79,7 @@ def incremental_from_pages(listing: DataFrame, pages: DataFrame, seen: DataFrame
     """As ``incremental`` with raw ``pages(page_id, url, html, source)``; only new pages are parsed."""
     fresh = staged(take_until_seen(listing, seen, max_news, on_no_match, keys, order), "fresh")
     wanted = pages.join(fresh.select("url"), "url", "left_semi")
-    return _documents(fresh, extract_articles(wanted, rules), keys)
+    return to_document(_articles(fresh, extract_articles(wanted, rules), (*keys, "rn")))
 
 
 def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame, base: DataFrame | None = None,
@@ -87,9 +90,7 @@ def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame, base: Data
     """
     rest = resume_after(listing, last_ids, keys, order)
     numbered = assign_batches(rest, batch_size, base, keys, order)
-    articles = fill_defaults(listing_with_detail(numbered, details))
-    extra = [c for c in (*keys, "batch_no", "rn") if c not in ARTICLE_COLUMNS]
-    return articles.select(*extra, *ARTICLE_COLUMNS)
+    return _articles(numbered, details, (*keys, "batch_no", "rn"))
 
 
 def _picked_paths(chosen: DataFrame) -> list:
