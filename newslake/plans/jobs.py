@@ -13,7 +13,8 @@ from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE, MAX_NEWS
 from newslake.session import staged
 from newslake.sources.articles import list_batches, read_articles, read_batch_files, read_batches_ordered
 from newslake.sources.extract import extract_articles
-from newslake.sources.sinks import write_articles
+from newslake.sources.rules import RULES
+from newslake.sources.sinks import publish, write_articles, write_batches
 
 
 def concat_inputs(spark: SparkSession, inputs, dedup: str = "per_input", layout: str = "array") -> DataFrame:
@@ -93,28 +94,78 @@ def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame, base: Data
     return _articles(numbered, details, (*keys, "batch_no", "rn"))
 
 
-def _picked_paths(chosen: DataFrame) -> list:
-    """Paths of the chosen files, one per site and category; the sources' number bounds them."""
-    return [row.path for row in chosen.select("path").collect()]
+# Up to this many picked files are named to the reader one by one; beyond, the lake is read and joined.
+_NAMED_FILES = 10_000
+
+
+def _picked_rows(spark: SparkSession, root, chosen: DataFrame) -> DataFrame:
+    """Ordered articles of the chosen files, usually one per site and category; others are not read."""
+    paths = [row.path for row in chosen.select("path").limit(_NAMED_FILES + 1).collect()]
+    if len(paths) > _NAMED_FILES:
+        rows, _ = read_batches_ordered(spark, root)
+        return rows.join(staged(chosen.select("path"), "picked"), "path", "left_semi")
+    if not paths:
+        return spark.createDataFrame([], f"path string, pos bigint, {', '.join(f'{c} string' for c in ARTICLE_COLUMNS)}")
+    return read_batches_ordered(spark, paths)[0]
 
 
 def seen_state(spark: SparkSession, root) -> DataFrame:
     """``site, category, id`` of the newest stored articles; only the picked files are read."""
-    paths = _picked_paths(state.state_file(list_batches(spark, root)))
-    if not paths:
-        return spark.createDataFrame([], "site string, category string, id string")
-    rows, _ = read_batches_ordered(spark, paths)
+    rows = _picked_rows(spark, root, state.state_file(list_batches(spark, root)))
     return state.parse_keys(state.recent_ids(rows)).select("site", "category", "id")
 
 
 def resume_state(spark: SparkSession, root) -> DataFrame:
     """``site, category, last_id, last_batch`` of the last initial batch; only those files are read."""
-    latest = state.latest_batch(list_batches(spark, root))
-    paths = _picked_paths(latest)
-    if not paths:
-        return spark.createDataFrame([], "site string, category string, last_id string, last_batch bigint")
-    rows, _ = read_batches_ordered(spark, paths)
+    rows = _picked_rows(spark, root, state.latest_batch(list_batches(spark, root)))
     return state.parse_keys(state.resume_point(rows)).select(
         "site", "category", "last_id", F.col("seq").alias("last_batch"))
 
 
+def load_batches(spark: SparkSession, paths, output: str, mode: str = "append", fmt: str = "parquet") -> DataFrame:
+    """Publish batch files that hold lists; returns the files that do not, which are left out."""
+    rows, rejects = read_batches_ordered(spark, paths, lists_only=True)
+    publish(rows.select(*ARTICLE_COLUMNS), output, mode, fmt)
+    return rejects
+
+
+def _site_of(source, rules):
+    """The folder of a source; a source without a rule is its own folder."""
+    folders = [F.lit(v) for r in (RULES if rules is None else rules) for v in (r.source, r.folder)]
+    return F.coalesce(F.element_at(F.create_map(*folders), source), source)
+
+
+def _by_site(listing: DataFrame, rules) -> DataFrame:
+    return listing.withColumn("site", _site_of(F.col("source"), rules))
+
+
+def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, published: str, stamp: int,
+                    rules=None, max_news: int = MAX_NEWS, on_no_match: str = "keep", order=ORDER) -> None:
+    """One scheduled run for all sources: state from the keys, cut, details, batch files, published table.
+
+    ``stamp`` names the run; a rerun after a failure takes the same one. Nothing new, nothing written.
+    """
+    keys = ("site", "category")
+    fresh = staged(take_until_seen(_by_site(listing, rules), seen_state(spark, root), max_news, on_no_match,
+                                   keys, order), "fresh")
+    wanted = pages.join(fresh.select("url"), "url", "left_semi")
+    rows = _articles(fresh, extract_articles(wanted, rules), (*keys, "rn")).withColumn("batch_no", F.lit(stamp))
+    if fresh.isEmpty():
+        return
+    write_batches(rows, root, "incremental")
+    load_batches(spark, f"{root}/site=*/category=*/batch=incremental_{stamp}", published)
+
+
+def run_full(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, rules=None, order=ORDER) -> None:
+    """A full run for all sources: resume where the last batch ended, number, details, batch files."""
+    keys = ("site", "category")
+    last = staged(resume_state(spark, root), "resume")
+    rules = RULES if rules is None else rules
+    sizes = F.lit(BATCH_SIZE)
+    for rule in rules:
+        if rule.batch_size != BATCH_SIZE:
+            sizes = F.when(F.col("source") == rule.source, rule.batch_size).otherwise(sizes)
+    rest = resume_after(_by_site(listing, rules), last, keys, order)
+    numbered = staged(assign_batches(rest, sizes, last, keys, order), "numbered")
+    wanted = pages.join(numbered.select("url"), "url", "left_semi")
+    write_batches(_articles(numbered, extract_articles(wanted, rules), (*keys, "batch_no", "rn")), root)

@@ -1,5 +1,6 @@
 """Readers: JSON batches with and without order, batch keys, search answers, raw pages."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,24 +44,37 @@ def read_batch_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursi
                         parse_batch(F.col("value"), article).alias("rows"))
 
 
-def read_batches_ordered(spark: SparkSession, paths, mode: str = "PERMISSIVE", recursive: bool = True):
-    """Articles with their file and place in it, and the files that hold no list of articles."""
+def read_batches_ordered(spark: SparkSession, paths, mode: str = "PERMISSIVE", recursive: bool = True,
+                         lists_only: bool = False):
+    """Articles with their file and place in it, and the files that hold no list of articles.
+
+    A lone object counts as a list of one, unless ``lists_only`` is set.
+    """
     files = read_batch_files(spark, paths, recursive=recursive)
+    if lists_only:
+        files = files.withColumn("rows", F.when(F.col("value").rlike(r"^\s*\["), F.col("rows")))
     if mode == "FAILFAST":
-        files = files.withColumn("rows", F.when(
-            F.col("rows").isNull(), F.raise_error(F.concat(F.lit("no list of articles: "), "path"))
-            .cast(files.schema["rows"].dataType)).otherwise(F.col("rows")))
+        problem = F.raise_error(F.concat(F.lit("no list of articles: "), "path"))
+        files = files.withColumn("rows", F.coalesce("rows", problem.cast(files.schema["rows"].dataType)))
     rows = files.select("path", F.posexplode("rows").alias("pos", "row")).select(
         "path", F.col("pos").cast("bigint").alias("pos"), "row.*")
     return rows, files.filter(F.col("rows").isNull()).select("path")
 
 
 def list_batches(spark: SparkSession, root) -> DataFrame:
-    """The batches below ``root`` with site, category, kind and number; contents are not read."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _BATCH_FILES).load(root).select("path", "length")
-    )
+    """The batches below ``root`` with site, category, kind and number; contents are not read.
+
+    A folder that does not exist yet has no batches.
+    """
+    try:
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", _BATCH_FILES).load(root).select("path", "length")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string, length bigint")
     return state.parse_keys(files)
 
 

@@ -1,5 +1,6 @@
 """Writers: JSON lines, one JSON array per batch, and the published table."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,8 @@ def write_articles(articles: DataFrame, path: str) -> None:
 def write_batches(rows: DataFrame, path: str, kind: str = "initial") -> None:
     """One JSON array per (site, category, batch_no), in listing order; no rows, no file.
 
-    A group is one batch, so it holds at most the batch size or the run limit of rows.
+    A group is one batch, so it holds at most the batch size or the run limit of rows. Writing a
+    batch again replaces it, and leaves the others.
     """
     article = F.struct(*ARTICLE_COLUMNS)
     label = F.concat(F.lit(f"{kind}_"), F.col("batch_no"))
@@ -28,7 +30,7 @@ def write_batches(rows: DataFrame, path: str, kind: str = "initial") -> None:
         F.to_json(F.transform("rows", lambda r: r["article"]), {"ignoreNullFields": "false", "pretty": "true"})
         .alias("value"))
     # A batch is one row, so each folder gets one file with one array.
-    texts.write.mode("append").partitionBy("site", "category", "batch").text(path)
+    texts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("site", "category", "batch").text(path)
 
 
 def insert_new(documents: DataFrame, published: DataFrame, by=("source", "id")) -> DataFrame:
@@ -53,8 +55,9 @@ def publish(articles: DataFrame, path: str, mode: str = "append", fmt: str = "pa
         try:
             published = spark.read.format(fmt).schema(documents.schema).load(path)
             documents = insert_new(documents, published)
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            # The first run has no table to compare with.
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     elif mode != "append":
         raise ValueError(f"mode must be 'append' or 'insert_new', not {mode!r}")

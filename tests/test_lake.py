@@ -317,3 +317,63 @@ def test_stateful_dedup(spark, tmp_path):
         query.awaitTermination()
         put(landing, f"{i}.json", [article(1), article(3)])
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["id1", "id2", "id3"]
+
+
+def test_load_takes_lists_only(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(root, "list.json", [article(1)])
+    put(root, "object.json", article(2))
+    rejects = jobs.load_batches(spark, root, out)
+    assert [os.path.basename(r.path) for r in rejects.collect()] == ["object.json"]
+    assert [r.id for r in spark.read.parquet(out).collect()] == ["id1"]
+
+
+def test_runs_for_several_sources(spark, tmp_path):
+    """A full run, then incremental runs that start from its files."""
+    root, published = str(tmp_path / "lake"), str(tmp_path / "published")
+    schema = "source string, category string, pos bigint, id string, url string, title string, published_at string"
+
+    def listing(first, last=0):
+        ids = range(first, last, -1)
+        return spark.createDataFrame(
+            [("u.today", None, p, f"a{i}", f"https://u/{i}", f"t{i}", "2024-01-02 00:00:00") for p, i in enumerate(ids)]
+            + [("decrypt.co", None, p, f"b{i}", f"https://d/{i}", None, None) for p, i in enumerate(ids)], schema)
+
+    body = {"u.today": '<div class="article__content">x{0}</div>',
+            "decrypt.co": '<main><header><h1>T{0}</h1><time datetime="2024-01-02T03:04:05Z"></time></header>'
+                          '<div class="post-content">y{0}</div></main>'}
+    pages = spark.createDataFrame(
+        [(i, f"https://{s[0]}/{i}", body[s].format(i), s) for s in body for i in range(0, 260)],
+        "page_id bigint, url string, html string, source string")
+
+    jobs.run_full(spark, listing(250), pages, root)
+    files = sorted((r.site, r.seq) for r in list_batches(spark, root).collect())
+    assert files == [("decrypt", 100), ("decrypt", 200), ("decrypt", 250), ("u.today", 100), ("u.today", 200), ("u.today", 250)]
+    jobs.run_incremental(spark, listing(253), pages, root, published, 1735000000)
+    got = sorted((r.id, r.title, r.content, r.published_at) for r in spark.read.parquet(published).collect())
+    assert got == sorted([(f"a{i}", f"t{i}", f"x{i}", 1704153600) for i in (251, 252, 253)]
+                         + [(f"b{i}", f"T{i}", f"y{i}", 1704164645) for i in (251, 252, 253)])
+    jobs.run_incremental(spark, listing(253), pages, root, published, 1735000001)
+    assert spark.read.parquet(published).count() == 6
+    jobs.run_incremental(spark, listing(254), pages, root, published, 1735000002)
+    assert spark.read.parquet(published).count() == 8
+    assert {r.stamp for r in list_batches(spark, root).filter("kind = 'incremental'").collect()} == {"1735000000", "1735000002"}
+
+
+def test_many_picked_files_are_joined(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for site in ("a", "b", "c"):
+        put(root, f"web_crawler/{site}/{site}_initial_batch_5.json", [article(site)])
+        put(root, f"web_crawler/{site}/{site}_initial_batch_9.json", [article(site + "9")])
+    few = sorted(map(tuple, jobs.seen_state(spark, root).collect()))
+    monkeypatch.setattr(jobs, "_NAMED_FILES", 1)
+    assert sorted(map(tuple, jobs.seen_state(spark, root).collect())) == few == [(s, None, f"id{s}") for s in "abc"]
+
+
+def test_command_line(spark, tmp_path):
+    from newslake.__main__ import main
+    put(str(tmp_path), "in/1.json", [article(1), article(1)])
+    main(["concat", f"{tmp_path}/in/*.json", str(tmp_path / "out")])
+    assert read_articles(spark, str(tmp_path / "out"), layout="lines").count() == 1
+    main(["migrate", f"{tmp_path}/in", str(tmp_path / "docs")])
+    assert spark.read.parquet(str(tmp_path / "docs")).count() == 2
