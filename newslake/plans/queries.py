@@ -11,7 +11,7 @@ from newslake.operators.dedup import dedup_any, keep_first
 from newslake.operators.ranking import assign_batches, top_n
 from newslake.plans import jobs
 from newslake.schema import NO_CONTENT, NO_DATE, NO_TITLE
-from newslake.session import scratch_path
+from newslake.session import prepare, scratch_path
 from newslake.sources import extract
 from newslake.sources.articles import (
     articles_from_hits, list_batches, read_articles, read_batches_ordered, read_pages,
@@ -29,8 +29,7 @@ _QUERIES = {}
 
 def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(spark, sf_dir)
+        return fn(prepare(spark), sf_dir)
 
     _QUERIES[fn.__name__] = run
     return fn
@@ -477,7 +476,7 @@ def written_batches(spark, sf_dir):
     """The documents as batch files of JSON arrays; returns their folder."""
     root = scratch_path(spark, "batches")
     listing = document_listing(spark, sf_dir)
-    none = listing.select("source", "category", F.lit("").alias("last_id")).limit(0)
+    none = spark.createDataFrame([], "source string, category string, last_id string")
     rows = jobs.full(listing, document_details(spark, sf_dir), none)
     write_batches(rows.withColumn("site", F.col("source")), root)
     return root

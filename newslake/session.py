@@ -8,20 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+# What the operators count on. All of these can be set on a running session.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Pages are large; batches bounded by bytes keep the Python workers' memory flat.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Put the settings on a session that somebody else made."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name="newslake", master=None, extra=None):
-    """A session with the settings the operators count on: UTC, AQE with skew handling."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # HTML rows are large; small Arrow batches keep the Python workers' memory flat.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    )
+    builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in (extra or {}).items():
+    for key, value in {**RUNTIME, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
