@@ -165,7 +165,7 @@ def parse_published_at(raw: Column, notation: str, tz_policy: str = "wall") -> C
 def parse_by_notation(raw: Column, notation: Column, used=None, tz_policy: str = "wall") -> Column:
     """As ``parse_published_at`` with the notation in a column."""
     branches = F.lit(None).cast("string")
-    for name in used or NOTATIONS:
+    for name in NOTATIONS if used is None else used:
         branches = F.when(notation == name, parse_published_at(raw, name, tz_policy)).otherwise(branches)
     return branches
 

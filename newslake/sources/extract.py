@@ -5,14 +5,19 @@ shuffle, and emits raw text. Dates, ids, defaults and text steps are built-in ex
 """
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import newslake
 from newslake.functions import dates, text
 from newslake.schema import NO_CONTENT, NO_DATE, NO_TITLE
 from newslake.sources import html as H
 from newslake.sources.rules import RULES, Rule, rule_map
 
+# The helper and the rules travel with the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(newslake)
+
 _FIELDS = "page_id bigint, url string, source string, title string, content string, " \
           "published_raw string, notation string"
 _CARDS = "page_id bigint, source string, category string, pos bigint, href string, title string, " \

@@ -1,6 +1,9 @@
 """The element tree, the selectors, and one page per rule and root, built from the rule's own selector."""
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -275,3 +278,18 @@ def test_own_rule(spark):
     assert extract.extract_articles(df, [rule]).first().published_at == "2024-01-02 03:04:05"
     row = extract.extract_articles(df, [rule], tz_policy="utc").first()
     assert (row.title, row.content, row.published_at) == ("A b", "x", "2024-01-01 20:04:05")
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Run from another folder, with the package on the driver's path only."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys; sys.path.insert(0, {root!r})
+from newslake.session import build_session
+from newslake.sources import extract
+spark = build_session(master="local[1]", extra={{"spark.ui.enabled": "false"}})
+df = spark.createDataFrame([(1, "u", "<article>x</article>", "holder.io")], "page_id bigint, url string, html string, source string")
+assert extract.extract_articles(df).first().content == "x"
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, check=True, capture_output=True, timeout=180)
