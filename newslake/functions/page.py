@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 from newslake.functions.text import strip, to_int
 
 # The entities that regular pages use.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ",
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0",
             "&copy;": "©", "&middot;": "·", "&amp;": "&"}
 
 # A script, a style, a comment, or a single tag.
 _MARKUP = r"(?is)<(?:script\b.*?</script|style\b.*?</style|!--.*?--|[^>]*)>"
-_EDGE = "\u0001"
 
 
 def unescape(text: Column) -> Column:
-    """Decode the entities, the ampersand last."""
+    """Decode the entities, the ampersand last; text without an ampersand is left alone."""
+    decoded = text
     for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+        decoded = F.replace(decoded, F.lit(name), F.lit(char))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def inner(html: Column, tag: str) -> Column:
@@ -34,17 +34,20 @@ def drop_elements(html: Column, tag: str, class_name: str) -> Column:
     return F.regexp_replace(html, rf'(?is)<{tag}[^>]*class="{class_name}"[^>]*>.*?</{tag}>', "")
 
 
+def _text_nodes(html: Column) -> Column:
+    """What stands between markup: decoded, stripped, empty ones left out."""
+    nodes = F.transform(F.split(html, _MARKUP), lambda node: strip(unescape(node)))
+    return F.filter(nodes, lambda node: node != "")
+
+
 def visible_text(html: Column) -> Column:
-    """Text nodes, each stripped, empty ones left out, joined by one blank."""
-    marked = F.regexp_replace(html, _MARKUP, _EDGE)
-    joined = F.regexp_replace(marked, rf"[\s{_EDGE}]*{_EDGE}[\s{_EDGE}]*", " ")
-    return unescape(strip(joined))
+    """Text nodes, joined by one blank."""
+    return F.array_join(_text_nodes(html), " ")
 
 
 def tight_text(html: Column) -> Column:
-    """As ``visible_text`` with nothing between the nodes."""
-    marked = F.regexp_replace(html, _MARKUP, _EDGE)
-    return unescape(strip(F.regexp_replace(marked, rf"[\s{_EDGE}]*{_EDGE}[\s{_EDGE}]*", "")))
+    """Text nodes with nothing between them."""
+    return F.array_join(_text_nodes(html), "")
 
 
 def with_first_text(pages: DataFrame, name: str, default: str, *tags: str, html: str = "html") -> DataFrame:

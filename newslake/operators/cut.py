@@ -11,27 +11,34 @@ from newslake.schema import MAX_NEWS
 from newslake.session import staged
 
 
-def stop_places(listing: DataFrame, seen: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+def _places(listing, rejects, keys, order):
+    """Ids and places of all cards; one that is rejected for its title or date still marks its place."""
+    columns = [*keys, "id", *order]
+    cards = listing.select(*columns)
+    return cards if rejects is None else cards.unionByName(rejects.select(*columns))
+
+
+def stop_places(listing: DataFrame, seen: DataFrame, keys=KEYS, order=ORDER, rejects=None) -> DataFrame:
     """The first place per key whose id is already known, as a stored table (one row per key)."""
     known = staged(seen.select(*keys, "id").distinct(), "seen")
-    hits = attach(listing.select(*keys, "id", *order), known, [*keys, "id"], "left_semi")
+    hits = attach(_places(listing, rejects, keys, order), known, [*keys, "id"], "left_semi")
     return staged(hits.groupBy(*keys).agg(F.min(place(order)).alias("_stop")), "stops")
 
 
 def take_until_seen(listing: DataFrame, seen: DataFrame, max_news: int = MAX_NEWS,
-                    on_no_match: str = "keep", keys=KEYS, order=ORDER) -> DataFrame:
+                    on_no_match: str = "keep", keys=KEYS, order=ORDER, rejects=None) -> DataFrame:
     """Incremental cut: distinct rows above the first known id, at most ``max_news`` per key.
 
     A prefix, not an anti-join: an unknown row below the first known one is not taken. A key whose
     listing ends before a known id or the limit is met is kept, or with ``on_no_match="drop"``
-    yields nothing.
+    yields nothing. ``rejects`` are cards that cannot be taken but end the run if they are known.
 
     Two scans of the listing, both joined with tables of one row per key; only the rows above the
     stop are shuffled.
     """
     if on_no_match not in ("keep", "drop"):
         raise ValueError(f"on_no_match must be 'keep' or 'drop', not {on_no_match!r}")
-    stops = stop_places(listing, seen, keys, order)
+    stops = stop_places(listing, seen, keys, order, rejects)
     above = attach(listing, stops, keys).filter(F.col("_stop").isNull() | (place(order) < F.col("_stop")))
     if on_no_match == "keep":
         return top_n(keep_first(above.drop("_stop"), keys, "id", order), max_news, keys, order)
@@ -43,15 +50,15 @@ def take_until_seen(listing: DataFrame, seen: DataFrame, max_news: int = MAX_NEW
         .drop("_met", "_ended")
 
 
-def resume_after(listing: DataFrame, last_ids: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+def resume_after(listing: DataFrame, last_ids: DataFrame, keys=KEYS, order=ORDER, rejects=None) -> DataFrame:
     """Restart of a full run: distinct rows below the row with the last stored id.
 
     ``last_ids(keys..., last_id)``; a key without a row there is taken whole, and one whose last id
-    does not occur yields nothing.
+    does not occur yields nothing. The last id may be that of a card among the ``rejects``.
     """
     state = staged(last_ids.select(*keys, "last_id"), "last_ids")
     probe = state.withColumnRenamed("last_id", "id")
-    met = attach(listing.select(*keys, "id", *order), probe, [*keys, "id"], "left_semi") \
+    met = attach(_places(listing, rejects, keys, order), probe, [*keys, "id"], "left_semi") \
         .groupBy(*keys).agg(F.min(place(order)).alias("_cut"))
     cuts = staged(attach(state, met, keys).withColumn("_state", F.lit(True)), "cuts")
     below = attach(listing, cuts, keys).filter(

@@ -140,14 +140,16 @@ def _by_site(listing: DataFrame, rules) -> DataFrame:
 
 
 def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, published: str, stamp: int,
-                    rules=None, max_news: int = MAX_NEWS, on_no_match: str = "keep", order=ORDER) -> None:
+                    rules=None, max_news: int = MAX_NEWS, on_no_match: str = "keep", order=ORDER,
+                    rejects: DataFrame | None = None) -> None:
     """One scheduled run for all sources: state from the keys, cut, details, batch files, published table.
 
     ``stamp`` names the run; a rerun after a failure takes the same one. Nothing new, nothing written.
     """
     keys = ("site", "category")
+    rejects = None if rejects is None else _by_site(rejects, rules)
     fresh = staged(take_until_seen(_by_site(listing, rules), seen_state(spark, root), max_news, on_no_match,
-                                   keys, order), "fresh")
+                                   keys, order, rejects), "fresh")
     wanted = pages.join(fresh.select("url"), "url", "left_semi")
     rows = _articles(fresh, extract_articles(wanted, rules), (*keys, "rn")).withColumn("batch_no", F.lit(stamp))
     if fresh.isEmpty():
@@ -156,7 +158,8 @@ def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, r
     load_batches(spark, f"{root}/site=*/category=*/batch=incremental_{stamp}", published)
 
 
-def run_full(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, rules=None, order=ORDER) -> None:
+def run_full(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, rules=None, order=ORDER,
+             rejects: DataFrame | None = None) -> None:
     """A full run for all sources: resume where the last batch ended, number, details, batch files."""
     keys = ("site", "category")
     last = staged(resume_state(spark, root), "resume")
@@ -165,7 +168,8 @@ def run_full(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: st
     for rule in rules:
         if rule.batch_size != BATCH_SIZE:
             sizes = F.when(F.col("source") == rule.source, rule.batch_size).otherwise(sizes)
-    rest = resume_after(_by_site(listing, rules), last, keys, order)
+    rejects = None if rejects is None else _by_site(rejects, rules)
+    rest = resume_after(_by_site(listing, rules), last, keys, order, rejects)
     numbered = staged(assign_batches(rest, sizes, last, keys, order), "numbered")
     wanted = pages.join(numbered.select("url"), "url", "left_semi")
     write_batches(_articles(numbered, extract_articles(wanted, rules), (*keys, "batch_no", "rn")), root)

@@ -59,3 +59,8 @@ def test_page_count(spark):
 def test_long_runs_of_tags_do_not_recurse(spark):
     html = "<article>" + "<b>" * 200_000 + "x" + "</b> " * 200_000 + "</article>"
     assert one(spark, page.visible_text(page.inner(F.col("x"), "article")), html) == "x"
+
+
+def test_a_node_of_blanks_vanishes(spark):
+    html = "<p>a&nbsp;</p><p> &nbsp; </p><p>b&nbsp;c</p>"
+    assert one(spark, page.visible_text(F.col("x")), html) == "a b\xa0c"
