@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 
 from newslake.functions.text import strip, to_int
 
-# The entities that regular pages use.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0",
-            "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+# The entities that regular pages use. Names count with and without the semicolon.
+ENTITIES = {"&lt": "<", "&gt": ">", "&quot": '"', "&nbsp": "\xa0", "&copy": "©", "&middot": "·",
+            "&amp": "\x01", "&#39;": "'"}
 
 # A script, a style, a comment, or a single tag.
 _MARKUP = r"(?is)<(?:script\b.*?</script|style\b.*?</style|!--.*?--|[^>]*)>"
 
 
 def unescape(text: Column) -> Column:
-    """Decode the entities, the ampersand last; text without an ampersand is left alone."""
+    """Decode the entities; text without an ampersand is left alone.
+
+    Decoded ampersands wait as a control character, so that they start no further entity.
+    """
     decoded = text
     for name, char in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(name), F.lit(char))
+        for form in dict.fromkeys((name.rstrip(";") + ";", name)):
+            decoded = F.replace(decoded, F.lit(form), F.lit(char))
+    decoded = F.replace(decoded, F.lit("\x01"), F.lit("&"))
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 

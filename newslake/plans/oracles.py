@@ -30,8 +30,10 @@ def strip(x):
 
 def unescape(x):
     for name, char in ENTITIES.items():
-        x = f"replace({x}, {quoted(name)}, {quoted(char)})"
-    return x
+        optional = "" if name.endswith(";") else ";?"
+        char = "chr(1)" if char == "\x01" else quoted(char)
+        x = f"regexp_replace({x}, '{name}{optional}', {char}, 'g')"
+    return f"replace({x}, chr(1), '&')"
 
 
 def inner(tag, html="html"):

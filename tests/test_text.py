@@ -64,3 +64,9 @@ def test_long_runs_of_tags_do_not_recurse(spark):
 def test_a_node_of_blanks_vanishes(spark):
     html = "<p>a&nbsp;</p><p> &nbsp; </p><p>b&nbsp;c</p>"
     assert one(spark, page.visible_text(F.col("x")), html) == "a b\xa0c"
+
+
+def test_entities(spark):
+    for raw, want in (("a&amp", "a&"), ("&amp;amp;lt;", "&amp;lt;"), ("&amp;lt", "&lt"), ("&lt;&gt &#39;&quot;", "<> '\""), ("a&b", "a&b")):
+        assert one(spark, page.unescape(F.col("x")), raw) == want
+        assert __import__("html").unescape(raw) == want
