@@ -7,7 +7,7 @@ from newslake.operators import state
 from newslake.operators.articles import fill_defaults, listing_with_detail, to_document
 from newslake.operators.common import KEYS, ORDER
 from newslake.operators.cut import resume_after, take_until_seen
-from newslake.operators.dedup import dedup_any
+from newslake.operators.dedup import dedup_any, keep_first
 from newslake.operators.ranking import assign_batches
 from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE, MAX_NEWS
 from newslake.session import staged
@@ -83,13 +83,15 @@ def incremental_from_pages(listing: DataFrame, pages: DataFrame, seen: DataFrame
     return to_document(_articles(fresh, extract_articles(wanted, rules), (*keys, "rn")))
 
 
-def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame, base: DataFrame | None = None,
-         batch_size=BATCH_SIZE, keys=KEYS, order=ORDER) -> DataFrame:
+def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame | None = None,
+         base: DataFrame | None = None, batch_size=BATCH_SIZE, keys=KEYS, order=ORDER) -> DataFrame:
     """All articles below the resume point, with batch numbers; not in publishing form.
 
-    Batches are numbered on the narrow listing, and the details join afterwards.
+    Without ``last_ids`` it is a first run, which takes the whole listing. Batches are numbered on
+    the narrow listing, and the details join afterwards.
     """
-    rest = resume_after(listing, last_ids, keys, order)
+    rest = keep_first(listing, keys, "id", order) if last_ids is None \
+        else resume_after(listing, last_ids, keys, order)
     numbered = assign_batches(rest, batch_size, base, keys, order)
     return _articles(numbered, details, (*keys, "batch_no", "rn"))
 

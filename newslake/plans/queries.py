@@ -476,8 +476,7 @@ def written_batches(spark, sf_dir):
     """The documents as batch files of JSON arrays; returns their folder."""
     root = scratch_path(spark, "batches")
     listing = document_listing(spark, sf_dir)
-    none = spark.createDataFrame([], "source string, category string, last_id string")
-    rows = jobs.full(listing, document_details(spark, sf_dir), none)
+    rows = jobs.full(listing, document_details(spark, sf_dir))
     write_batches(rows.withColumn("site", F.col("source")), root)
     return root
 

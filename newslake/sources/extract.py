@@ -19,7 +19,7 @@ from newslake.sources.rules import RULES, Rule, rule_map
 cloudpickle.register_pickle_by_value(newslake)
 
 _FIELDS = "page_id bigint, url string, source string, title string, content string, " \
-          "published_raw string, notation string"
+          "published_raw string, notation string, other_raw string"
 _CARDS = "page_id bigint, source string, category string, pos bigint, href string, title string, " \
          "published_raw string, notation string, complete boolean"
 
@@ -84,12 +84,16 @@ def _body(tree, roots):
 def _page_fields(html, rule):
     tree = H.parse(html)
     title = _value(tree, rule.title) if rule.title else None
-    raw = notation = None
+    found = []
     for field in rule.dates:
-        raw, notation = (_date_line if field.notation == "D8" else _value)(tree, field), field.notation
+        raw = (_date_line if field.notation == "D8" else _value)(tree, field)
         if raw is not None:
-            break
-    return title, _body(tree, rule.roots), raw, notation
+            found.append((raw, field.notation))
+            if not rule.next_date_if_unreadable:
+                break
+    raw, notation = found[0] if found else (None, None)
+    other = found[1][0] if len(found) > 1 else None
+    return title, _body(tree, rule.roots), raw, notation, other
 
 
 def _page_cards(html, rule):
@@ -139,9 +143,16 @@ def _notations(rules):
     return sorted({f.notation for f in fields})
 
 
+def _parsed(raw, rules, tz_policy):
+    return dates.parse_by_notation(F.col(raw), F.col("notation"), _notations(rules), tz_policy)
+
+
 def extract_fields(pages: DataFrame, rules=None) -> DataFrame:
     """Raw fields of ``pages(page_id, url, html, source)``: NULL where an element is missing.
 
+    ``other_raw`` is a second date in the same notation, for rules that turn to it when the first is
+    unreadable.
+
     Pages of a source without a rule are not read by Python at all; they yield no rows.
     """
     rules = RULES if rules is None else rules
@@ -152,9 +163,9 @@ def extract_fields(pages: DataFrame, rules=None) -> DataFrame:
             out = []
             for page_id, url, html, source in pdf.itertuples(index=False):
                 fields = _guarded(_page_fields, html, by_source[source]) if html is not None else None
-                out.append((page_id, url, source, *(fields or (None,) * 4)))
+                out.append((page_id, url, source, *(fields or (None,) * 5)))
             yield pd.DataFrame(out, columns=["page_id", "url", "source", "title", "content",
-                                             "published_raw", "notation"])
+                                             "published_raw", "notation", "other_raw"])
 
     known = pages.select("page_id", "url", "html", "source").filter(F.col("source").isin(list(by_source)))
     raw = known.mapInPandas(read, _FIELDS)
@@ -175,7 +186,10 @@ def extract_articles(pages: DataFrame, rules=None, tz_policy: str = "wall") -> D
         F.when(F.col("source").isin(blank) & (F.col("content") == ""), F.lit(NO_CONTENT)),
         F.col("content"), F.lit(NO_CONTENT),
     )
-    parsed = dates.parse_by_notation(F.col("published_raw"), F.col("notation"), _notations(rules), tz_policy)
+    parsed = _parsed("published_raw", rules, tz_policy)
+    second = [r for r in rules if r.next_date_if_unreadable]
+    if second:
+        parsed = F.coalesce(parsed, _parsed("other_raw", second, tz_policy))
     return raw.select(
         "page_id",
         text.url_id(F.col("url")).alias("id"),
@@ -223,7 +237,7 @@ def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
             url = F.when(source == rule.source, text.absolute_url(rule.cards.base_url, href)).otherwise(url)
         if rule.cards.date_optional:
             optional.append(rule.source)
-    parsed = dates.parse_by_notation(F.col("published_raw"), F.col("notation"), _notations(rules), tz_policy)
+    parsed = _parsed("published_raw", rules, tz_policy)
     # Without its date element a card of these sources keeps the sentinel.
     parsed = F.when(source.isin(optional) & F.col("published_raw").isNull(), F.lit(NO_DATE)).otherwise(parsed)
     rows = cards.select(

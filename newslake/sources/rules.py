@@ -58,6 +58,8 @@ class Rule:
     # Text steps on the joined content, in order: "newlines", "dashes", or literals to remove.
     text_steps: tuple = ()
     blank_is_missing: bool = False
+    # The next of the dates serves when one cannot be read, not only when its element is absent.
+    next_date_if_unreadable: bool = False
 
     @property
     def date_at(self) -> str:
@@ -265,7 +267,7 @@ RULES = [
         title=Field("main h1"),
         # The first is the lead story; it stands before the others.
         cards=Cards(("a h5 !first", "a h6"), ".."),
-        blank_is_missing=True,
+        blank_is_missing=True, next_date_if_unreadable=True,
     ),
     Rule(
         source="newsbtc.com", folder="newsbtc",

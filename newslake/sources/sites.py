@@ -24,3 +24,9 @@ def site_categories(spark: SparkSession) -> DataFrame:
     pairs = [F.struct(F.lit(site).alias("site"), F.lit(category).alias("category"))
              for site, names in SITE_CATEGORIES.items() for category in names]
     return spark.range(1).select(F.inline(F.array(*pairs)))
+
+
+def batch_globs(root: str, *sites: str) -> list:
+    """Where the batch files of the sites lie: one glob per category, or one for a site without any."""
+    return [f"{root}/{site}/{category}/*.json" if category else f"{root}/{site}/*.json"
+            for site in sites for category in SITE_CATEGORIES.get(site, [""])]

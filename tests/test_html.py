@@ -1,12 +1,15 @@
 """The element tree, the selectors, and one page per rule and root, built from the rule's own selector."""
 
 import os
+import random
 import re
 import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
+from newslake.functions import page
 from newslake.sources import extract
 from newslake.sources import html as H
 from newslake.sources.rules import RULES, Cards, Field, Root, Rule, rule_map
@@ -293,3 +296,37 @@ assert extract.extract_articles(df).first().content == "x"
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, check=True, capture_output=True, timeout=180)
+
+
+def test_second_date_serves_only_where_the_rule_says_so(spark):
+    def meta(name, value):
+        return f'<meta property="article:{name}_time" content="{value}">'
+
+    good, other = "2024-01-02T03:04:05Z", "2024-02-02T03:04:05Z"
+    pages = [
+        (1, "news.bitcoin.com", meta("published", good) + meta("modified", other)),
+        (2, "news.bitcoin.com", meta("published", "soon") + meta("modified", other)),
+        (3, "news.bitcoin.com", meta("modified", other)),
+        (4, "news.bitcoin.com", meta("published", "soon") + meta("modified", "later")),
+        (5, "ambcrypto.com", meta("published", "soon") + '<meta name="published_at" content="2024-02-02T03:04:05">'),
+        (6, "ambcrypto.com", '<meta name="published_at" content="2024-02-02T03:04:05">'),
+    ]
+    df = spark.createDataFrame([(n, "u", h, s) for n, s, h in pages], "page_id bigint, url string, html string, source string")
+    got = {r.page_id: r.published_at for r in extract.extract_articles(df).collect()}
+    first, second, none = "2024-01-02 03:04:05", "2024-02-02 03:04:05", "1970-01-01 00:00:00"
+    assert got == {1: first, 2: second, 3: second, 4: none, 5: none, 6: second}
+
+
+def test_tree_and_built_in_expressions_agree(spark):
+    """On regular pages both ways read the same text."""
+    rng = random.Random(3)
+    pieces = ["<p>", "</p>", "<b>", "</b>", "<br>", " ", "word", "&amp;", "&lt;", "&copy", "x\n y", "<!-- c -->",
+              "<script>var a='</p>';</script>", "<style>p{}</style>", "\u00a0", "<i class='a'>", "</i>", "\t"]
+    pages = ["<article>" + "".join(rng.choices(pieces, k=rng.randint(0, 40))) + "</article>" for _ in range(400)]
+    df = spark.createDataFrame([(i, "u", h, "mine") for i, h in enumerate(pages)],
+                               "page_id bigint, url string, html string, source string")
+    rule = Rule("mine", "mine", roots=(Root("article"),))
+    walked = {r.page_id: r.content for r in extract.extract_articles(df, [rule]).collect()}
+    text = page.visible_text(page.inner(F.col("html"), "article"))
+    matched = {r.page_id: r.c for r in df.select("page_id", text.alias("c")).collect()}
+    assert walked == matched

@@ -14,7 +14,7 @@ from newslake.sources.articles import (
     articles_from_hits, list_batches, read_articles, read_batch_files, read_batches_ordered,
 )
 from newslake.sources.sinks import insert_new, publish, write_articles, write_batches
-from newslake.sources.sites import SITE_CATEGORIES, site_categories
+from newslake.sources.sites import SITE_CATEGORIES, batch_globs, site_categories
 from newslake.streaming import ingest
 
 
@@ -144,6 +144,8 @@ def test_state_of_an_empty_lake(spark, tmp_path):
 def test_sites(spark):
     pairs = site_categories(spark)
     assert pairs.count() == 61 == pairs.distinct().count() and len(SITE_CATEGORIES) == 7
+    globs = batch_globs("web_crawler", "cryptoslate", "coindesk", "cointelegraph")
+    assert len(globs) == 18 and globs[:2] == ["web_crawler/cryptoslate/*.json", "web_crawler/coindesk/markets/*.json"]
 
 
 # ---- sinks ---------------------------------------------------------------------------------------------
