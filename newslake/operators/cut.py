@@ -11,11 +11,17 @@ from newslake.schema import MAX_NEWS
 from newslake.session import staged
 
 
+def _markers(rejects):
+    """Rejected cards that were looked at; links on a skip list never are."""
+    named = rejects.filter(F.col("id").isNotNull())
+    return named.filter(F.col("reject_reason") != "skipped link") if "reject_reason" in rejects.columns else named
+
+
 def _places(listing, rejects, keys, order):
     """Ids and places of all cards; one that is rejected for its title or date still marks its place."""
     columns = [*keys, "id", *order]
     cards = listing.select(*columns)
-    return cards if rejects is None else cards.unionByName(rejects.select(*columns))
+    return cards if rejects is None else cards.unionByName(_markers(rejects).select(*columns))
 
 
 def stop_places(listing: DataFrame, seen: DataFrame, keys=KEYS, order=ORDER, rejects=None) -> DataFrame:
@@ -45,9 +51,17 @@ def take_until_seen(listing: DataFrame, seen: DataFrame, max_news: int = MAX_NEW
     # One row beyond the limit shows that the limit was met; a key has max_news + 1 rows at most here.
     marked = above.withColumn("_met", F.col("_stop").isNotNull()).drop("_stop")
     best = top_n(keep_first(marked, keys, "id", order), max_news + 1, keys, order)
-    ended = F.col("_met") | (F.max("rn").over(W.partitionBy(*keys)) > max_news)
+    in_key = W.partitionBy(*keys)
+    ended = F.col("_met") | (F.max("rn").over(in_key) > max_news)
+    if rejects is not None:
+        # With the limit just reached, a further card shows it too, even one that cannot be taken.
+        best = staged(best, "best")
+        others = attach(_markers(rejects).select(*keys, "id", *order), best.select(*keys, "id"), [*keys, "id"], "left_anti")
+        best = attach(best, others.groupBy(*keys).agg(F.max(place(order)).alias("_last")), keys)
+        full = F.max("rn").over(in_key) == max_news
+        ended = ended | (full & F.coalesce(F.col("_last") > F.max(place(order)).over(in_key), F.lit(False)))
     return best.withColumn("_ended", ended).filter(F.col("_ended") & (F.col("rn") <= max_news)) \
-        .drop("_met", "_ended")
+        .drop("_met", "_ended", "_last")
 
 
 def resume_after(listing: DataFrame, last_ids: DataFrame, keys=KEYS, order=ORDER, rejects=None) -> DataFrame:

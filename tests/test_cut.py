@@ -157,3 +157,35 @@ def test_keep_first_is_idempotent(listing):
 def test_dedup_any_joins_missing_ids(spark):
     rows = spark.createDataFrame([(None, "a"), (None, "b"), ("x", "c"), ("x", "d")], "id string, title string")
     assert sorted((r.id or "") for r in dedup_any(rows).collect()) == ["", "x"]
+
+
+def loop_with_rejects(cards, seen, keep):
+    """Upper-case cards cannot be taken: what fails comes after the tests for known ids and the limit."""
+    taken = []
+    for i in cards:
+        if i in taken:
+            continue
+        if i in seen or len(taken) == MAX:
+            return taken
+        if i.islower():
+            taken.append(i)
+    return taken if keep else []
+
+
+@pytest.mark.parametrize("mode", ["keep", "drop"])
+def test_rejects_end_a_run_as_the_loop_does(spark, mode):
+    rng = random.Random(11)
+    fixed = [("abcdX", ""), ("abcd", ""), ("abXcd", ""), ("aXb", "X"), ("abcdd", ""), ("Xabcd", "")]
+    cases = {("s%d" % i, None): case for i, case in enumerate(fixed + [
+        ("".join(rng.choices("abcdefXYZ", k=rng.randint(0, 9))), "".join(rng.sample("abcdefXYZ", rng.randint(0, 1))))
+        for _ in range(200)])}
+    rows = [(*key, pos, i) for key, (ids, _) in cases.items() for pos, i in enumerate(ids)]
+    every = spark.createDataFrame(rows, SCHEMA)
+    seen = spark.createDataFrame([(*key, i) for key, (_, ids) in cases.items() for i in ids],
+                                 "source string, category string, id string")
+    lower = F.col("id") == F.lower("id")
+    out = take_until_seen(every.filter(lower), seen, MAX, mode, rejects=every.filter(~lower))
+    got = {key: [] for key in cases}
+    for r in sorted(out.collect(), key=lambda r: r.pos):
+        got[r.source, r.category].append(r.id)
+    assert got == {key: loop_with_rejects(ids, known, mode == "keep") for key, (ids, known) in cases.items()}
