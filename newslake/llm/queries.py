@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslake.llm import bpe, exact, packing, token_counts
+from newslake.llm import bpe, exact, packing, simhash, token_counts, toxicity
 from newslake.llm.common import table
 from newslake.session import prepare
 
@@ -39,3 +39,16 @@ def op9_exact_dedup(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(toxicity.labelled_sample(docs, labels, lambda doc_id: ~toxicity.held_out(doc_id)))
+    scored = toxicity.score_documents(docs, lexicon)
+    return scored.withColumn("held_out", toxicity.held_out(scored["doc_id"]))
+
+
+@query
+def op4_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
