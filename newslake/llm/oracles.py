@@ -11,6 +11,27 @@ _ORACLES = {
             FROM texts GROUP BY content)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
         FROM texts JOIN groups USING (content)""",
+    "op8_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+        tops AS (SELECT html, max(page_id) AS top FROM payloads WHERE payload_bytes >= 1000 GROUP BY html)
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN top <> page_id THEN top END AS refers_to
+        FROM payloads LEFT JOIN tops USING (html)""",
+    "op7_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        escaped AS (
+            SELECT *, length(regexp_replace(text, '\\|</?s>|\[/?INST\]', '\0+', 'g')) AS size,
+                   CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned
+            FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               sum(length(learned))::BIGINT AS loss_chars, sha256(string_agg(learned, '' ORDER BY turn)) AS loss_sha256,
+               sum(length(role) + size + CASE WHEN role = 'assistant' THEN 8 ELSE 19 END)::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id""",
 }
 
 
