@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from newslake.llm.common import Memo, read_file, slices, worker_state
 
 # White space as the tokenizer's patterns know it, which leaves out four separators of Python's own.
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SPLIT = re.compile(f"[{_SPACE}]+")
 
@@ -147,6 +147,7 @@ class Encoder:
     """Texts to ids. Words apart by white space are independent here, so each is a stream of its own."""
 
     def __init__(self, spec: dict, memo: int = 250_000):
+        self.spec, self.library = spec, None
         if json.dumps(spec.get("normalizer")).count('"type"') != 4 or spec.get("post_processor"):
             raise ValueError("only lower-casing vocabularies that drop white space are known here")
         self.merges = Merges(spec)
@@ -164,6 +165,9 @@ class Encoder:
                 ids.append(self.special[part])
             elif part:
                 if not part.isascii():
+                    if "Cn" in map(unicodedata.category, part):
+                        ids += self._newer(part)
+                        continue
                     # Character by character: a sigma at the end of a word is no special case.
                     part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
                 part = part.lower()
@@ -178,6 +182,15 @@ class Encoder:
                         ids += self.pieces[piece]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _newer(self, part: str) -> list:
+        """Characters that this Python does not know yet are parted and lower-cased by the library's tables."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_str(json.dumps(self.spec))
+            self.bytes = {c: b for b, c in enumerate(byte_letters())}
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+        return [i for piece, _ in pieces for i in self.merges.word(bytes(self.bytes[c] for c in piece))]
+
     def stream(self, text: str):
         """The ids of ``text`` as little-endian 32-bit blocks, one for each slice of it."""
         words = self.words

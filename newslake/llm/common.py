@@ -62,6 +62,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        found.append(name)
+    return found
+
+
 def read_file(path: str) -> bytes:
     """A vocabulary file, read where the job is submitted and sent along with the tasks."""
     with open(path, "rb") as file:

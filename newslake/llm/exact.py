@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import WHITE
+from newslake.llm.common import WHITE, unused
 from newslake.session import staged
 
 _WHITE = WHITE.encode()
@@ -231,10 +231,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", me
 
     Rows are found again by id and content. Only where a row that stays is repeated, with its id, one is picked.
     """
-    names, answer = docs.columns, exact_duplicates(docs, id_col, text_col, memory)
+    answer = exact_duplicates(docs, id_col, text_col, memory)
+    key, digest, copies = unused(docs, "key", "digest", "copies")
     stays = answer.filter(F.col(id_col).eqNullSafe(F.col("keep_id"))).groupBy(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count("*").alias("_copies"))
+        F.col(id_col).alias(key), F.col("text_sha256").alias(digest)).agg(F.count("*").alias(copies))
     sha = F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), WHITE, ""), 256)
-    found = docs.join(stays, F.col(id_col).eqNullSafe(F.col("_id")) & (sha == F.col("_sha")))
-    repeated = found.filter(F.col("_copies") > 1).dropDuplicates(["_id", "_sha"])
-    return found.filter(F.col("_copies") == 1).unionByName(repeated).select(*names)
+    found = docs.join(stays, F.col(id_col).eqNullSafe(F.col(key)) & (sha == F.col(digest)))
+    repeated = found.filter(F.col(copies) > 1).dropDuplicates([key, digest])
+    return found.filter(F.col(copies) == 1).unionByName(repeated).select(*docs.columns)

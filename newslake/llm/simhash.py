@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm import common  # noqa: F401  ships this package with its tasks
+from newslake.llm.common import unused
 from newslake.llm.components import connected
 from newslake.session import staged
 
@@ -274,9 +274,10 @@ def keep_one(docs: DataFrame, max_bits: int = 4, words_each: int = 4, id_col: st
     Ids name documents here: of rows that share the id that stays, one is picked. A component without any id stays
     whole.
     """
-    names, answer = docs.columns, near_duplicates(docs, max_bits, words_each, id_col, text_col)
-    stays = answer.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_id")).agg(
-        F.count("*").alias("_copies"))
-    found = docs.join(stays, F.col(id_col).eqNullSafe(F.col("_id")))
-    one = F.col("_id").isNull() | (F.col("_copies") == 1)
-    return found.filter(one).unionByName(found.filter(~one).dropDuplicates(["_id"])).select(*names)
+    answer = near_duplicates(docs, max_bits, words_each, id_col, text_col)
+    key, copies = unused(docs, "key", "copies")
+    stays = answer.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias(key)).agg(
+        F.count("*").alias(copies))
+    found = docs.join(stays, F.col(id_col).eqNullSafe(F.col(key)))
+    one = F.col(key).isNull() | (F.col(copies) == 1)
+    return found.filter(one).unionByName(found.filter(~one).dropDuplicates([key])).select(*docs.columns)
