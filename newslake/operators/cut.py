@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from newslake.operators.common import KEYS, ORDER, attach, place
 from newslake.operators.dedup import keep_first
-from newslake.operators.ranking import top_n
-from newslake.schema import MAX_NEWS
+from newslake.operators.ranking import rank_all, top_n
 from newslake.session import staged
 
 
@@ -31,25 +30,32 @@ def stop_places(listing: DataFrame, seen: DataFrame, keys=KEYS, order=ORDER, rej
     return staged(hits.groupBy(*keys).agg(F.min(place(order)).alias("_stop")), "stops")
 
 
-def take_until_seen(listing: DataFrame, seen: DataFrame, max_news: int = MAX_NEWS,
-                    on_no_match: str = "keep", keys=KEYS, order=ORDER, rejects=None) -> DataFrame:
-    """Incremental cut: distinct rows above the first known id, at most ``max_news`` per key.
+def take_until_seen(listing: DataFrame, seen: DataFrame, max_news: int | None = None, on_no_match="keep",
+                    keys=KEYS, order=ORDER, rejects=None) -> DataFrame:
+    """Incremental cut: distinct rows above the first known id, with their rank; no more than ``max_news`` per key if
+    that is given.
 
     A prefix, not an anti-join: an unknown row below the first known one is not taken. A key whose
     listing ends before a known id or the limit is met is kept, or with ``on_no_match="drop"``
-    yields nothing. ``rejects`` are cards that cannot be taken but end the run if they are known.
+    yields nothing; a boolean column says for each row of the listing whether to keep. ``rejects`` are cards that
+    cannot be taken but end the run if they are known.
 
     Two scans of the listing, both joined with tables of one row per key; only the rows above the
     stop are shuffled.
     """
-    if on_no_match not in ("keep", "drop"):
+    if isinstance(on_no_match, str) and on_no_match not in ("keep", "drop"):
         raise ValueError(f"on_no_match must be 'keep' or 'drop', not {on_no_match!r}")
+    keep = F.lit(on_no_match == "keep") if isinstance(on_no_match, str) else on_no_match
     stops = stop_places(listing, seen, keys, order, rejects)
-    above = attach(listing, stops, keys).filter(F.col("_stop").isNull() | (place(order) < F.col("_stop")))
-    if on_no_match == "keep":
-        return top_n(keep_first(above.drop("_stop"), keys, "id", order), max_news, keys, order)
+    above = attach(listing.withColumn("_keep", keep), stops, keys) \
+        .filter(F.col("_stop").isNull() | (place(order) < F.col("_stop")))
+    if max_news is None:
+        ended = above.filter(F.col("_stop").isNotNull() | F.col("_keep")).drop("_stop", "_keep")
+        return rank_all(keep_first(ended, keys, "id", order), keys, order).drop("total")
+    if isinstance(on_no_match, str) and on_no_match == "keep":
+        return top_n(keep_first(above.drop("_stop", "_keep"), keys, "id", order), max_news, keys, order)
     # One row beyond the limit shows that the limit was met; a key has max_news + 1 rows at most here.
-    marked = above.withColumn("_met", F.col("_stop").isNotNull()).drop("_stop")
+    marked = above.withColumn("_met", F.col("_stop").isNotNull() | F.col("_keep")).drop("_stop", "_keep")
     best = top_n(keep_first(marked, keys, "id", order), max_news + 1, keys, order)
     in_key = W.partitionBy(*keys)
     ended = F.col("_met") | (F.max("rn").over(in_key) > max_news)

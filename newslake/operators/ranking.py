@@ -56,21 +56,21 @@ def rank_all(listing: DataFrame, keys=KEYS, order=ORDER, rank="rn", total="total
 
 
 def assign_batches(listing: DataFrame, size=100, base: DataFrame | None = None, keys=KEYS, order=ORDER,
-                   remainder: str = "count") -> DataFrame:
+                   remainder="count") -> DataFrame:
     """Number the batches of a full run: label = previous label + rows up to the batch's end.
 
     ``size`` is a number or a column. ``base(keys..., last_batch)`` holds the previous labels; a key
     without one starts at 0. The last, partial batch adds its row count, or with
-    ``remainder="full"`` a whole batch size.
+    ``remainder="full"``, or where a boolean column says so, a whole batch size.
     """
-    if remainder not in ("count", "full"):
+    if isinstance(remainder, str) and remainder not in ("count", "full"):
         raise ValueError(f"remainder must be 'count' or 'full', not {remainder!r}")
+    whole = F.lit(remainder == "full") if isinstance(remainder, str) else remainder
     size = F.lit(size) if isinstance(size, int) else size
     ranked = rank_all(listing, keys, order)
     if base is not None:
         ranked = attach(ranked, base.select(*keys, F.col("last_batch").alias("_base")), keys)
     start = F.coalesce("_base", F.lit(0)) if base is not None else F.lit(0)
     end = F.ceil(F.col("rn") / size).cast("bigint") * size
-    if remainder == "count":
-        end = F.least(end, F.col("total"))
+    end = F.when(whole, end).otherwise(F.least(end, F.col("total")))
     return ranked.withColumn("batch_no", (start + end).cast("bigint")).drop("total", "_base")

@@ -25,14 +25,19 @@ def batch_key(site: Column, category: Column, kind: Column, seq: Column) -> Colu
 def parse_keys(files: DataFrame, path="path") -> DataFrame:
     """Add ``site, category, kind, seq, stamp``; files that are no batch are dropped.
 
-    The file name must repeat the folder names literally, so a dot in a site name is only a dot.
+    The file name must repeat the folder names literally, so a dot in a site name is only a dot. In our own layout
+    folder names are escaped as the partition writer does it; they are read back here, once.
     """
+    def unescaped(part):
+        return F.coalesce(F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), part)
+
     def pick(laid, named):
-        return F.coalesce(F.nullif(F.regexp_extract(path, _LAID, laid), F.lit("")),
+        own = F.nullif(F.nullif(F.regexp_extract(path, _LAID, laid), F.lit("")), F.lit(_NO_CATEGORY))
+        return F.coalesce(unescaped(own),
                           F.nullif(F.regexp_extract(path, _NAMED, named), F.lit("")))
 
     found = files.withColumns({
-        "site": pick(1, 1), "category": F.nullif(pick(2, 2), F.lit(_NO_CATEGORY)),
+        "site": pick(1, 1), "category": pick(2, 2),
         "kind": F.split_part(pick(3, 4), F.lit("_"), F.lit(1)), "stamp": pick(4, 5),
         "_stem": F.nullif(F.regexp_extract(path, _NAMED, 3), F.lit("")),
     })

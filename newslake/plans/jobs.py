@@ -1,20 +1,28 @@
 """The jobs a user calls. Each is one plan over all sources; a scheduler outside starts them."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.operators import state
 from newslake.operators.articles import fill_defaults, listing_with_detail, to_document
-from newslake.operators.common import KEYS, ORDER
+from newslake.operators.common import KEYS, ORDER, attach
 from newslake.operators.cut import resume_after, take_until_seen
 from newslake.operators.dedup import dedup_any, keep_first
 from newslake.operators.ranking import assign_batches
-from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE, MAX_NEWS
-from newslake.session import staged
-from newslake.sources.articles import list_batches, read_articles, read_batch_files, read_batches_ordered
-from newslake.sources.extract import extract_articles
+from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE
+from newslake.session import passing, staged
+from newslake.sources import lake
+from newslake.sources.articles import (
+    articles_from_hits, list_batches, read_articles, read_batch_files, read_batches_ordered,
+)
+from newslake.sources.extract import explode_listing, extract_articles
+from newslake.sources.published import publish, run_name
 from newslake.sources.rules import RULES
-from newslake.sources.sinks import publish, write_articles, write_batches
+from newslake.sources.sinks import write_articles
+
+SITE = ("site", "category")
 
 
 def concat_inputs(spark: SparkSession, inputs, dedup: str = "per_input", layout: str = "array") -> DataFrame:
@@ -36,22 +44,32 @@ def concat(spark: SparkSession, inputs, output: str, dedup: str = "per_input", l
     write_articles(concat_inputs(spark, inputs, dedup, layout), output)
 
 
-def migrate_rows(spark: SparkSession, root) -> DataFrame:
+def migrate_rows(spark: SparkSession, root, mode: str = "FAILFAST") -> DataFrame:
     """Every article of every ``.json`` file below ``root`` in published form, with its file."""
-    rows, _ = read_batches_ordered(spark, root)
+    rows, _ = read_batches_ordered(spark, root, mode)
     return to_document(rows.select("path", *ARTICLE_COLUMNS))
 
 
 def migrate_counts(spark: SparkSession, root) -> DataFrame:
-    """Inserted rows per file and, under a NULL path, in total; of each article only the id is parsed."""
+    """``path, inserted, problem``: the rows of each file, or why it has none, and under a NULL path the total.
+
+    Of each article only the id is parsed.
+    """
     files = read_batch_files(spark, root, "id string")
-    per_file = files.filter(F.col("rows").isNotNull()).select("path", F.size("rows").cast("bigint").alias("n"))
-    return per_file.rollup("path").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("inserted"))
+    per_file = files.select("path", F.size("rows").cast("bigint").alias("n"), "problem")
+    return per_file.filter(F.col("problem").isNotNull()).select("path", F.lit(0).cast("bigint").alias("inserted"), "problem") \
+        .unionByName(per_file.filter(F.col("problem").isNull()).rollup("path").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("inserted"))
+                     .withColumn("problem", F.lit(None).cast("string")))
 
 
-def migrate_all(spark: SparkSession, root, output: str, fmt: str = "parquet") -> None:
-    """Publish all batches below ``root``."""
-    migrate_rows(spark, root).drop("path").write.mode("append").format(fmt).save(output)
+def migrate_all(spark: SparkSession, root, output: str, fmt: str = "parquet", mode: str = "FAILFAST") -> DataFrame:
+    """Publish all batches below ``root``; returns the files left out, with their problem.
+
+    By default a file that holds no articles fails the job before anything is written; with ``mode="PERMISSIVE"`` it is
+    among those returned, and the others are written.
+    """
+    migrate_rows(spark, root, mode).drop("path").write.mode("append").format(fmt).save(output)
+    return read_batches_ordered(spark, root, "PERMISSIVE")[1]
 
 
 def _articles(rows: DataFrame, details: DataFrame, extra) -> DataFrame:
@@ -62,12 +80,11 @@ def _articles(rows: DataFrame, details: DataFrame, extra) -> DataFrame:
     return fill_defaults(joined.withColumns(absent)).select(*extra, *ARTICLE_COLUMNS)
 
 
-def incremental(listing: DataFrame, details: DataFrame, seen: DataFrame, max_news: int = MAX_NEWS,
+def incremental(listing: DataFrame, details: DataFrame, seen: DataFrame, max_news: int | None = None,
                 on_no_match: str = "keep", keys=KEYS, order=ORDER) -> DataFrame:
     """New articles of all sources: cut the listing, attach details, fill defaults, publishing form.
 
-    The cut comes first and is stored: it has at most ``max_news`` rows per key, and its links
-    reduce the wide detail side before that is shuffled.
+    The cut comes first and is stored: its links reduce the wide detail side before that is shuffled.
     """
     fresh = staged(take_until_seen(listing, seen, max_news, on_no_match, keys, order), "fresh")
     wanted = details.join(fresh.select("url"), "url", "left_semi")
@@ -75,7 +92,7 @@ def incremental(listing: DataFrame, details: DataFrame, seen: DataFrame, max_new
 
 
 def incremental_from_pages(listing: DataFrame, pages: DataFrame, seen: DataFrame, rules=None,
-                           max_news: int = MAX_NEWS, on_no_match: str = "keep", keys=KEYS,
+                           max_news: int | None = None, on_no_match: str = "keep", keys=KEYS,
                            order=ORDER) -> DataFrame:
     """As ``incremental`` with raw ``pages(page_id, url, html, source)``; only new pages are parsed."""
     fresh = staged(take_until_seen(listing, seen, max_news, on_no_match, keys, order), "fresh")
@@ -96,82 +113,150 @@ def full(listing: DataFrame, details: DataFrame, last_ids: DataFrame | None = No
     return _articles(numbered, details, (*keys, "batch_no", "rn"))
 
 
-# Up to this many picked files are named to the reader one by one; beyond, the lake is read and joined.
-_NAMED_FILES = 10_000
-
+# ---- state of a folder of JSON batches, as other programs write them
 
 def _picked_rows(spark: SparkSession, root, chosen: DataFrame) -> DataFrame:
-    """Ordered articles of the chosen files, usually one per site and category; others are not read."""
-    paths = [row.path for row in chosen.select("path").limit(_NAMED_FILES + 1).collect()]
-    if len(paths) > _NAMED_FILES:
-        rows, _ = read_batches_ordered(spark, root)
-        return rows.join(staged(chosen.select("path"), "picked"), "path", "left_semi")
+    """Ordered articles of the chosen files, one per site and category; others are not read."""
+    paths = [row.path for row in chosen.select("path").collect()]
     if not paths:
         return spark.createDataFrame([], f"path string, pos bigint, {', '.join(f'{c} string' for c in ARTICLE_COLUMNS)}")
     return read_batches_ordered(spark, paths)[0]
 
 
 def seen_state(spark: SparkSession, root) -> DataFrame:
-    """``site, category, id`` of the newest stored articles; only the picked files are read."""
+    """``site, category, id`` of the newest articles in JSON batches; only the picked files are read."""
     rows = _picked_rows(spark, root, state.state_file(list_batches(spark, root)))
     return state.parse_keys(state.recent_ids(rows)).select("site", "category", "id")
 
 
 def resume_state(spark: SparkSession, root) -> DataFrame:
-    """``site, category, last_id, last_batch`` of the last initial batch; only those files are read."""
+    """``site, category, last_id, last_batch`` of the last initial JSON batch; only those files are read."""
     rows = _picked_rows(spark, root, state.latest_batch(list_batches(spark, root)))
     return state.parse_keys(state.resume_point(rows)).select(
         "site", "category", "last_id", F.col("seq").alias("last_batch"))
 
 
-def load_batches(spark: SparkSession, paths, output: str, mode: str = "append", fmt: str = "parquet") -> DataFrame:
-    """Publish batch files that hold lists; returns the files that do not, which are left out."""
-    rows, rejects = read_batches_ordered(spark, paths, lists_only=True)
-    publish(rows.select(*ARTICLE_COLUMNS), output, mode, fmt)
+def load_batches(spark: SparkSession, paths, published: str, mode: str = "append", run: str | None = None) -> DataFrame:
+    """Publish JSON batch files that hold lists, as one run; returns the files that do not, which are left out.
+
+    The run is named after the paths unless it is told, so the same load is there once however often it is started.
+    """
+    rows, rejects = read_batches_ordered(spark, paths, "PERMISSIVE", lists_only=True)
+    named = sorted([paths] if isinstance(paths, str) else paths)
+    with passing(spark):
+        publish(rows.select(*ARTICLE_COLUMNS), published, run or run_name("load", named), mode)
     return rejects
 
 
-def _site_of(source, rules):
-    """The folder of a source; a source without a rule is its own folder."""
-    folders = [F.lit(v) for r in (RULES if rules is None else rules) for v in (r.source, r.folder)]
-    return F.coalesce(F.element_at(F.create_map(*folders), source), source)
+# ---- runs on the lake
+
+def _of_rules(source, rules, value, default):
+    """A rule's value for the source of a row."""
+    pairs = [F.lit(v) for r in rules for v in (r.source, value(r))]
+    return F.coalesce(F.element_at(F.create_map(*pairs), source), F.lit(default)) if pairs else F.lit(default)
 
 
 def _by_site(listing: DataFrame, rules) -> DataFrame:
-    return listing.withColumn("site", _site_of(F.col("source"), rules))
+    """With the folder of each source; a source without a rule is its own folder."""
+    folder = F.coalesce(_of_rules(F.col("source"), rules, lambda r: r.folder, None), F.col("source"))
+    return listing.withColumn("site", folder)
 
 
-def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, published: str, stamp: int,
-                    rules=None, max_news: int = MAX_NEWS, on_no_match: str = "keep", order=ORDER,
-                    rejects: DataFrame | None = None) -> None:
-    """One scheduled run for all sources: state from the keys, cut, details, batch files, published table.
+def publish_run(spark: SparkSession, root: str, run: str, published: str, mode: str = "append") -> None:
+    """Publish what a committed run has stored; a run that is published already, or was never stored, is left alone."""
+    chosen = lake.batch_manifest(spark, root).filter(F.col("run") == run)
+    if not chosen.isEmpty():
+        publish(lake.batch_rows(spark, root, chosen).select(*ARTICLE_COLUMNS), published, run, mode)
 
-    ``stamp`` names the run; a rerun after a failure takes the same one. Nothing new, nothing written.
+
+def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, published: str, stamp: int,
+                    rules=None, max_news: int | None = None, on_no_match: str = "rule", order=ORDER,
+                    rejects: DataFrame | None = None, recent: int | None = None) -> str:
+    """One scheduled run for all sources: cut at what is known, details, lake, published table. Returns the run's name.
+
+    ``stamp`` names the run. One that stopped anywhere is started again with the same stamp and goes on from there:
+    rows are stored once and published once, and its own rows never count as known. By default a run ends at any
+    stored article and has no limit; ``recent`` looks at the first so many of the last batch only, ``max_news`` limits
+    the rows. ``on_no_match="rule"`` does with a listing that ends before a known article as the source's rule says;
+    a site and category without any stored article is always taken. Nothing new, nothing written.
     """
-    keys = ("site", "category")
-    rejects = None if rejects is None else _by_site(rejects, rules)
-    fresh = staged(take_until_seen(_by_site(listing, rules), seen_state(spark, root), max_news, on_no_match,
-                                   keys, order, rejects), "fresh")
-    wanted = pages.join(fresh.select("url"), "url", "left_semi")
-    rows = _articles(fresh, extract_articles(wanted, rules), (*keys, "rn")).withColumn("batch_no", F.lit(stamp))
-    if fresh.isEmpty():
-        return
-    write_batches(rows, root, "incremental")
-    load_batches(spark, f"{root}/site=*/category=*/batch=incremental_{stamp}", published)
+    rules, run = RULES if rules is None else rules, f"incremental_{stamp}"
+    with passing(spark):
+        if not lake.committed(spark, root, run):
+            rows = _by_site(listing, rules)
+            marks = None if rejects is None else _by_site(rejects, rules)
+            known = lake.known_ids(spark, root, stamp, recent)
+            begun = staged(known.select(*SITE).distinct().withColumn("_begun", F.lit(True)), "begun")
+            # Known ids are reduced to those that the listing or its rejects show, the only ones that can end it.
+            shown = rows.select(*SITE, "id") if marks is None else rows.select(*SITE, "id").union(marks.select(*SITE, "id"))
+            known = attach(known, staged(shown.distinct(), "shown"), [*SITE, "id"], "left_semi")
+            if on_no_match == "rule":
+                keep = _of_rules(F.col("source"), rules, lambda r: r.on_no_match, "keep") == "keep"
+                on_no_match = F.col("_begun").isNull() | keep
+            fresh = take_until_seen(attach(rows, begun, SITE), known, max_news, on_no_match, SITE, order, marks)
+            fresh = staged(fresh.drop("_begun"), "fresh")
+            if not fresh.isEmpty():
+                wanted = pages.join(fresh.select("url"), "url", "left_semi")
+                found = _articles(fresh, extract_articles(wanted, rules), (*SITE, "rn"))
+                lake.write_batch_rows(found.withColumns({"batch_no": F.lit(stamp), "pos": F.col("rn") - 1}), root, run, "incremental")
+        publish_run(spark, root, run, published)
+    return run
 
 
 def run_full(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, rules=None, order=ORDER,
-             rejects: DataFrame | None = None) -> None:
-    """A full run for all sources: resume where the last batch ended, number, details, batch files."""
-    keys = ("site", "category")
-    last = staged(resume_state(spark, root), "resume")
-    rules = RULES if rules is None else rules
-    sizes = F.lit(BATCH_SIZE)
-    for rule in rules:
-        if rule.batch_size != BATCH_SIZE:
-            sizes = F.when(F.col("source") == rule.source, rule.batch_size).otherwise(sizes)
-    rejects = None if rejects is None else _by_site(rejects, rules)
-    rest = resume_after(_by_site(listing, rules), last, keys, order, rejects)
-    numbered = staged(assign_batches(rest, sizes, last, keys, order), "numbered")
-    wanted = pages.join(numbered.select("url"), "url", "left_semi")
-    write_batches(_articles(numbered, extract_articles(wanted, rules), (*keys, "batch_no", "rn")), root)
+             rejects: DataFrame | None = None, run: str | None = None) -> str:
+    """A full run for all sources: resume where the last batch ended, number, details, lake. Returns the run's name.
+
+    Batches count once the whole run is stored, so one that stopped half-way begins anew from the same place; started
+    again under the name of a stored ``run`` it does nothing.
+    """
+    rules, run = RULES if rules is None else rules, run or f"full_{uuid.uuid4().hex}"
+    with passing(spark):
+        if not lake.committed(spark, root, run):
+            last = staged(lake.resume_points(spark, root), "resume")
+            marks = None if rejects is None else _by_site(rejects, rules)
+            rest = resume_after(_by_site(listing, rules), last, SITE, order, marks)
+            whole = _of_rules(F.col("source"), rules, lambda r: r.remainder, "count") == "full"
+            size = _of_rules(F.col("source"), rules, lambda r: r.batch_size, BATCH_SIZE)
+            numbered = staged(assign_batches(rest, size, last, SITE, order, whole).withColumn("_size", size), "numbered")
+            if not numbered.isEmpty():
+                wanted = pages.join(numbered.select("url"), "url", "left_semi")
+                found = _articles(numbered, extract_articles(wanted, rules), (*SITE, "batch_no", "rn", "_size"))
+                lake.write_batch_rows(found.withColumn("pos", (F.col("rn") - 1) % F.col("_size")), root, run, "initial")
+    return run
+
+
+def run_from_pages(spark: SparkSession, listing_pages: DataFrame, pages: DataFrame, root: str, published: str, stamp: int,
+                   rules=None, tz_policy: str = "wall", **options) -> DataFrame:
+    """From listing pages to the published table in one run; returns the cards left out, with the reason.
+
+    ``listing_pages(page_id, source, category, html)`` come newest first. The rejects are stored beside the run, and end
+    a listing like any known card.
+    """
+    order = ("page_id", "pos")
+    rows, rejects = explode_listing(listing_pages, rules, tz_policy)
+    run = f"incremental_{stamp}"
+    path = f"{root}/rejects/run={run}"
+    with passing(spark):
+        cards = staged(rows.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejects), "cards")
+        cards.filter(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(path)
+        left = spark.read.schema(rejects.schema).parquet(path)
+        run_incremental(spark, cards.filter(F.col("reject_reason").isNull()).drop("reject_reason"), pages, root, published,
+                        stamp, rules, order=order, rejects=left, **options)
+    return left
+
+
+def run_api_full(spark: SparkSession, answers: DataFrame, source: str, root: str, rules=None, column: str = "response",
+                 page: str | None = None, page_size: int = 1000, run: str | None = None) -> str:
+    """A full run from search answers: each answer is a batch, numbered by the hits that a page holds."""
+    rules, run = RULES if rules is None else rules, run or f"api_{uuid.uuid4().hex}"
+    with passing(spark):
+        if not lake.committed(spark, root, run):
+            number = F.col(page).cast("bigint") if page else F.lit(0).cast("bigint")
+            hits = articles_from_hits(answers.withColumn("_page", number), source, column, ("_page",))
+            rows = _by_site(hits, rules).withColumns({
+                "batch_no": (F.col("_page") + 1) * page_size, "category": F.lit(None).cast("string")})
+            rows = staged(rows, "hits")
+            if not rows.isEmpty():
+                lake.write_batch_rows(fill_defaults(rows), root, run, "initial")
+    return run

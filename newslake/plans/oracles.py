@@ -322,6 +322,12 @@ SELECT source AS site, category, id, CAST(NULL AS BIGINT) AS last_batch FROM num
 UNION ALL
 SELECT source AS site, category, id, seq AS last_batch FROM numbered WHERE rn = n""")
 
+oracle("lake_batches", f"""
+WITH {_DOCS}, {_numbered(100)}
+SELECT source AS site, category, 'latest' AS what, max(seq) AS seq FROM numbered GROUP BY source, category
+UNION ALL
+SELECT source, category, 'state', min(seq) FROM numbered GROUP BY source, category""")
+
 oracle("list_batch_files", f"""
 WITH {_DOCS}, {_numbered(100)}
 SELECT DISTINCT source AS site, category, 'initial' AS kind, seq FROM numbered""")
@@ -343,7 +349,7 @@ l AS (SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY doc_id
              row_number() OVER (PARTITION BY source, category ORDER BY n_chars DESC, doc_id) AS k FROM docs),
 stops AS (SELECT source, category, min(pos) AS stop FROM l WHERE k <= 2 GROUP BY source, category)
 SELECT l.category, pos AS rn, content, id, CAST(NULL AS BIGINT) AS published_at, l.source, title, url
-FROM l JOIN stops ON l.source = stops.source AND l.category IS NOT DISTINCT FROM stops.category WHERE pos < stop AND pos <= 500""")
+FROM l JOIN stops ON l.source = stops.source AND l.category IS NOT DISTINCT FROM stops.category WHERE pos < stop""")
 
 oracle("job_full", f"""
 WITH {_DOCS},
@@ -366,4 +372,99 @@ WITH p AS (
          row_number() OVER (PARTITION BY {HOST} ORDER BY length(html) DESC, page_id) AS k FROM pages),
 stops AS (SELECT category, pos AS stop FROM p WHERE k = 1)
 SELECT p.category, pos AS rn, content, md5(url) AS id, CAST(NULL AS BIGINT) AS published_at, 'driver' AS source, title, url
-FROM p JOIN stops ON p.category = stops.category WHERE pos < stop AND pos <= 500""")
+FROM p JOIN stops ON p.category = stops.category WHERE pos < stop""")
+
+
+oracle("migrate_mixed", f"""
+WITH {_DOCS}, d AS (
+  SELECT d.*, documents.source AS src, lang FROM docs d JOIN documents ON documents.doc_id = d.doc_id)
+SELECT md5(url) AS id, src AS source, url, NULL AS problem, CAST(NULL AS BIGINT) AS inserted FROM d
+WHERE doc_id % 4 < 3 OR doc_id % 100 = 3
+UNION ALL
+SELECT DISTINCT NULL, NULL, NULL, lang || ' broken JSON', CAST(NULL AS BIGINT) FROM d WHERE doc_id % 4 = 3
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, count(*) FROM d WHERE doc_id % 4 < 3 OR doc_id % 100 = 3""")
+
+_WORDS = strip(f"regexp_replace({FIRST_LINE}, '[<>&]', '', 'g')")
+_LISTED = f"""
+listed AS (
+  SELECT doc_id, lang || ' & 50%: ' || source AS category,
+         md5('https://docs.example/' || source || '/' || lang || '/' || doc_id) AS id, 'document ' || doc_id AS title,
+         {default(_WORDS, 'No content')} AS content
+  FROM documents)"""
+
+
+def _run_rows(rows, published=False):
+    out = f"""
+SELECT 'u.today' AS site, category, kind, seq, pos, id, title, content FROM {rows}"""
+    return out if not published else out + f"""
+UNION ALL
+SELECT 'u.today', NULL, 'published', 1704164645, NULL, id, title, content FROM {rows} WHERE kind = 'incremental'"""
+
+
+def _batches(rows, base="0"):
+    return f"""
+  SELECT *, 'initial' AS kind, (row_number() OVER k - 1) % 100 AS pos, {base}
+         + least(CAST(ceil(row_number() OVER k / 100.0) AS BIGINT) * 100, count(*) OVER (PARTITION BY category)) AS seq
+  FROM {rows} WINDOW k AS (PARTITION BY category ORDER BY doc_id DESC)"""
+
+
+_INCREMENTAL = f"""
+WITH {_LISTED},
+known AS (SELECT * FROM listed WHERE doc_id % 7 = 0),
+stops AS (SELECT category, max(doc_id) AS stop FROM known GROUP BY category),
+first AS ({_batches('known')}),
+fresh AS (
+  SELECT l.*, 'incremental' AS kind, row_number() OVER (PARTITION BY l.category ORDER BY doc_id DESC) - 1 AS pos, 1735000000 AS seq
+  FROM listed l LEFT JOIN stops ON l.category = stops.category WHERE stop IS NULL OR doc_id > stop),
+stored AS (SELECT * FROM first UNION ALL SELECT * FROM fresh)
+{_run_rows('stored', True)}"""
+oracle("run_incremental", _INCREMENTAL)
+oracle("run_incremental_rerun", _INCREMENTAL)
+
+oracle("run_incremental_uncapped", f"""
+WITH {_LISTED},
+stored AS (
+  SELECT * REPLACE (NULL AS category), CASE WHEN doc_id = 0 THEN 'initial' ELSE 'incremental' END AS kind,
+         CASE WHEN doc_id = 0 THEN 1 ELSE 7 END AS seq,
+         CASE WHEN doc_id = 0 THEN 0 ELSE row_number() OVER (ORDER BY doc_id DESC) - 1 END AS pos FROM listed)
+{_run_rows('stored', True)}""")
+
+_FULL = f"""
+WITH {_LISTED},
+begun AS (SELECT * FROM listed WHERE doc_id % 3 > 0),
+last AS (SELECT category, min(doc_id) AS cut, count(*) AS base FROM begun GROUP BY category),
+first AS ({_batches('begun')}),
+rest AS (
+  SELECT l.*, coalesce(base, 0) AS base FROM listed l LEFT JOIN last ON l.category = last.category
+  WHERE cut IS NULL OR doc_id < cut),
+stored AS (SELECT * FROM first UNION ALL SELECT * EXCLUDE (base) FROM ({_batches('rest', 'base')}))
+{_run_rows('stored')}"""
+oracle("run_full", _FULL)
+oracle("run_full_rerun", _FULL)
+oracle("load_batches", _MIGRATED)
+oracle("stream_restart", _MIGRATED)
+
+oracle("job_from_listing_pages", f"""
+WITH docs AS (
+  SELECT doc_id, md5('https://docs.example/' || source || '/' || lang || '/' || doc_id) AS id, 'T ' || doc_id AS title,
+         {default(_WORDS, 'No content')} AS content,
+         row_number() OVER (PARTITION BY doc_id // 10 ORDER BY doc_id) - 1 AS place FROM documents),
+good AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM docs WHERE doc_id % 10 <> 7)
+SELECT 'u.today' AS site, 'news' AS category, 'incremental' AS kind, CAST(9 AS BIGINT) AS seq, pos, id, title, content FROM good
+UNION ALL
+SELECT 'u.today', NULL, 'published', 1704207840, NULL, id, title, content FROM good
+UNION ALL
+SELECT 'u.today', 'news', 'unreadable date', doc_id // 10, place, id, title, NULL FROM docs WHERE doc_id % 10 = 7""")
+
+oracle("job_api_full", f"""
+SELECT 'blockworks' AS site, NULL AS category, 'initial' AS kind, (event_id // 1000 + 1) * 1000 AS seq,
+       row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS pos,
+       md5('https://api.example/' || event_id) AS id, event_type AS title, regexp_extract(props, ':\\s*([0-9]+)', 1) AS content
+FROM events""")
+
+oracle("stream_late_files", f"""
+WITH {_EVENTS} SELECT id, url, NULL AS problem FROM ev
+UNION ALL
+SELECT NULL, NULL, event_type || ' broken JSON' FROM (SELECT DISTINCT event_type FROM events)""")
+oracle("stream_dedup_within", f"WITH {_EVENTS} SELECT source, id FROM ev")

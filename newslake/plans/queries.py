@@ -12,12 +12,13 @@ from newslake.operators.ranking import assign_batches, top_n
 from newslake.plans import jobs
 from newslake.schema import NO_CONTENT, NO_DATE, NO_TITLE
 from newslake.session import prepare, scratch_path
-from newslake.sources import extract
+from newslake.sources import extract, lake
 from newslake.sources.articles import (
     articles_from_hits, list_batches, read_articles, read_batches_ordered, read_pages,
 )
+from newslake.sources.published import publish, read_published
 from newslake.sources.rules import Cards, Field, Root, Rule
-from newslake.sources.sinks import publish, write_articles, write_batches
+from newslake.sources.sinks import write_articles, write_batches
 from newslake.sources.sites import site_categories
 from newslake.streaming import ingest
 
@@ -261,8 +262,7 @@ def event_articles(spark, sf_dir):
 def publish_documents(spark, sf_dir):
     path = scratch_path(spark, "published")
     publish(A.to_article(event_articles(spark, sf_dir)), path)
-    return spark.read.parquet(path).select(
-        "content", "id", "published_at", F.col("source").cast("string").alias("source"), "title", "url")
+    return read_published(spark, path)
 
 
 @query
@@ -499,13 +499,28 @@ def sink_roundtrip(spark, sf_dir):
     return read_articles(spark, path, layout="lines")
 
 
+def stored_lake(spark, sf_dir):
+    """The documents as a full run in the lake; returns its folder."""
+    root = scratch_path(spark, "lake")
+    rows = jobs.full(document_listing(spark, sf_dir), document_details(spark, sf_dir))
+    lake.write_batch_rows(rows.withColumns({"site": F.col("source"), "pos": (F.col("rn") - 1) % 100}), root, "full_1", "initial")
+    return root
+
+
 @query
 def crawl_state(spark, sf_dir):
-    """What the next runs start from: the known ids, and the resume point with its batch number."""
-    root = written_batches(spark, sf_dir)
-    seen = jobs.seen_state(spark, root).select("site", "category", "id", F.lit(None).cast("bigint").alias("last_batch"))
-    return seen.unionByName(jobs.resume_state(spark, root).select(
-        "site", "category", F.col("last_id").alias("id"), "last_batch"))
+    """What the next runs start from: the newest known ids, and the resume point with its batch number."""
+    root = stored_lake(spark, sf_dir)
+    seen = lake.known_ids(spark, root, recent=15).withColumn("last_batch", F.lit(None).cast("bigint"))
+    return seen.unionByName(lake.resume_points(spark, root).withColumnRenamed("last_id", "id"))
+
+
+@query
+def lake_batches(spark, sf_dir):
+    """The last batch and the state batch of each site and category, from the manifest alone."""
+    catalog = lake.batch_manifest(spark, stored_lake(spark, sf_dir))
+    last = lake.latest_batches(catalog).select("site", "category", F.lit("latest").alias("what"), F.col("last_batch").alias("seq"))
+    return last.unionByName(lake.state_batches(catalog).select("site", "category", F.lit("state").alias("what"), "seq"))
 
 
 @query
@@ -516,7 +531,7 @@ def list_batch_files(spark, sf_dir):
 @query
 def migrate_counts(spark, sf_dir):
     counts = jobs.migrate_counts(spark, written_batches(spark, sf_dir))
-    keyed = state.parse_keys(counts.filter(F.col("path").isNotNull())).select("site", "category", "seq", "inserted")
+    keyed = state.parse_keys(counts.filter(F.col("path").isNotNull()).drop("problem")).select("site", "category", "seq", "inserted")
     total = counts.filter(F.col("path").isNull()).select(
         F.lit(None).cast("string").alias("site"), F.lit(None).cast("string").alias("category"),
         F.lit(None).cast("bigint").alias("seq"), "inserted")
@@ -530,6 +545,35 @@ def migrate_all(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query
+def migrate_mixed(spark, sf_dir):
+    """Files of four shapes: one list per source, lone objects, lines, and, for each language, a file cut short.
+
+    Rows and rejects of each shape, and the total that the counts give.
+    """
+    root, out = scratch_path(spark, "mixed"), scratch_path(spark, "migrated")
+    docs = A.to_article(table(spark, sf_dir, "documents").select(
+        "source", doc_url().alias("url"), F.col("text").alias("content"), F.lit(NO_DATE).alias("published_at"), "lang", "doc_id")
+        .withColumn("title", F.concat_ws("/", "lang", "doc_id")))
+    parts = F.split("title", "/")
+    text_of = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"), parts[0].alias("lang"), parts[1].cast("bigint").alias("n"), "source")
+    lists = text_of.filter("n % 4 < 2").groupBy("source").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    lists.select("value", "source").write.partitionBy("source").text(f"{root}/web_crawler/lists")
+    text_of.filter("n % 4 = 2").select("value", "source").write.partitionBy("source").text(f"{root}/web_crawler/lines")
+    lone = text_of.filter("n % 100 = 3").select("value", F.col("n").alias("name"))
+    lone.write.partitionBy("name").text(f"{root}/web_crawler/lone")
+    broken = text_of.filter("n % 4 = 3").groupBy("lang").agg(F.concat(F.lit("["), F.min("value"), F.lit(",")).alias("value"))
+    broken.select("value", "lang").write.partitionBy("lang").text(f"{root}/web_crawler/broken")
+    left = jobs.migrate_all(spark, root, out, mode="PERMISSIVE")
+    total = jobs.migrate_counts(spark, root).filter("path IS NULL")
+    nothing = F.lit(None).cast("string")
+    return spark.read.parquet(out).select("id", "source", "url", nothing.alias("problem"), F.lit(None).cast("bigint").alias("inserted")) \
+        .unionByName(left.select(nothing.alias("id"), nothing.alias("source"), nothing.alias("url"),
+                                 F.concat_ws(" ", F.regexp_extract("path", "lang=([a-z]+)", 1), "problem").alias("problem"),
+                                 F.lit(None).cast("bigint").alias("inserted"))) \
+        .unionByName(total.select(nothing.alias("id"), nothing.alias("source"), nothing.alias("url"), nothing.alias("problem"), "inserted"))
+
+
 def _inputs(spark, sf_dir):
     """One folder of JSON per language; the first line is the URL, so copies cross the inputs."""
     docs = table(spark, sf_dir, "documents").select(
@@ -597,6 +641,129 @@ def job_full(spark, sf_dir):
                      last.select("source", "category", "last_batch"), batch_size=10)
 
 
+# ---- runs on the lake
+
+def run_listing(spark, sf_dir):
+    """Documents as a listing of one source for each language, newest first, whose articles are pages of a rule."""
+    return table(spark, sf_dir, "documents").select(
+        F.lit("u.today").alias("source"), F.concat_ws(" & 50%: ", "lang", "source").alias("category"),
+        (-F.col("doc_id")).alias("pos"), text.url_id(doc_url()).alias("id"), doc_url().alias("url"),
+        F.concat(F.lit("document "), F.col("doc_id")).alias("title"), F.lit("2024-01-02 03:04:05").alias("published_at"), "doc_id")
+
+
+def run_pages(spark, sf_dir):
+    """An article page for each document; its text is the first words, which need no escapes."""
+    words = F.regexp_replace(F.split_part("text", F.lit("\n"), F.lit(1)), "[<>&]", "")
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("page_id"), doc_url().alias("url"), F.lit("u.today").alias("source"),
+        F.concat(F.lit('<div class="article__content"><p>'), words, F.lit('</p><i class="hot">ad</i></div>')).alias("html"))
+
+
+def _stored(spark, root, published=None):
+    rows = lake.batch_rows(spark, root).select("site", "category", "kind", "seq", "pos", "id", "title", "content")
+    if published is None:
+        return rows
+    return rows.unionByName(read_published(spark, published).select(
+        "source", F.lit(None).cast("string").alias("category"), F.lit("published").alias("kind"), F.col("published_at").alias("seq"),
+        F.lit(None).cast("bigint").alias("pos"), "id", "title", "content").withColumnRenamed("source", "site"))
+
+
+def _full_then_incremental(spark, sf_dir, stamps):
+    """A full run over every seventh document, then incremental runs over all of them."""
+    root, published = scratch_path(spark, "lake"), scratch_path(spark, "published")
+    listing, pages = run_listing(spark, sf_dir), run_pages(spark, sf_dir)
+    jobs.run_full(spark, listing.filter("doc_id % 7 = 0"), pages, root, run="full_1")
+    for stamp in stamps:
+        jobs.run_incremental(spark, listing, pages, root, published, stamp)
+    return _stored(spark, root, published)
+
+
+@query
+def run_incremental(spark, sf_dir):
+    return _full_then_incremental(spark, sf_dir, [1735000000])
+
+
+@query
+def run_incremental_rerun(spark, sf_dir):
+    """The same run three times, and a later one with nothing new: the same rows, once."""
+    return _full_then_incremental(spark, sf_dir, [1735000000, 1735000000, 1735000000, 1735000001])
+
+
+@query
+def run_incremental_uncapped(spark, sf_dir):
+    """All documents as one listing, far more than the 500 a crawl takes; only the oldest is known."""
+    root, published = scratch_path(spark, "lake"), scratch_path(spark, "published")
+    listing = run_listing(spark, sf_dir).withColumn("category", F.lit(None).cast("string"))
+    pages = run_pages(spark, sf_dir)
+    jobs.run_full(spark, listing.filter("doc_id = 0"), pages, root, run="full_1")
+    jobs.run_incremental(spark, listing, pages, root, published, 7)
+    return _stored(spark, root, published)
+
+
+def _full_in_two(spark, sf_dir, again):
+    root = scratch_path(spark, "lake")
+    listing, pages = run_listing(spark, sf_dir), run_pages(spark, sf_dir)
+    jobs.run_full(spark, listing.filter("doc_id % 3 > 0"), pages, root, run="full_1")
+    for _ in range(1 + again):
+        jobs.run_full(spark, listing, pages, root, run="full_2")
+    return _stored(spark, root)
+
+
+@query
+def run_full(spark, sf_dir):
+    """A full run, and one that resumes below the last stored article of each category."""
+    return _full_in_two(spark, sf_dir, 0)
+
+
+@query
+def run_full_rerun(spark, sf_dir):
+    return _full_in_two(spark, sf_dir, 1)
+
+
+@query
+def load_batches(spark, sf_dir):
+    """Batch files published twice under one name count once."""
+    root, out = written_batches(spark, sf_dir), scratch_path(spark, "published")
+    for _ in range(2):
+        jobs.load_batches(spark, root, out)
+    return read_published(spark, out)
+
+
+@query
+def job_from_listing_pages(spark, sf_dir):
+    """Listing pages of ten cards to the lake and the published table; every tenth card has no date that can be read."""
+    root, published = scratch_path(spark, "lake"), scratch_path(spark, "published")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", doc_url().alias("url"))
+    date = F.when(F.col("doc_id") % 10 == 7, "soon").otherwise("Jan 2, 2024 - 15:04")
+    card = F.concat(F.lit('<div class="news__item"><a class="news__item-body" href="'), "url", F.lit('"><div class="news__item-title">T '),
+                    F.col("doc_id"), F.lit('</div></a><div class="humble">'), date, F.lit("</div></div>"))
+    page_no = F.floor(F.col("doc_id") / 10).cast("bigint")
+    listing = docs.groupBy(page_no.alias("page_id")).agg(F.concat(
+        F.lit('<div class="categories-list">'),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", card.alias("card")))), lambda c: c["card"]), ""),
+        F.lit("</div>")).alias("html")).select("page_id", F.lit("u.today").alias("source"), F.lit("news").alias("category"), "html")
+    left = jobs.run_from_pages(spark, listing, run_pages(spark, sf_dir), root, published, 9)
+    return _stored(spark, root, published).unionByName(left.select(
+        F.lit("u.today").alias("site"), "category", F.col("reject_reason").alias("kind"), F.col("page_id").alias("seq"), "pos",
+        "id", "title", F.lit(None).cast("string").alias("content")))
+
+
+@query
+def job_api_full(spark, sf_dir):
+    """Search answers of a thousand hits each, one a page."""
+    hit = F.struct(F.col("event_type").alias("post_title"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("post_date"),
+                   F.concat(F.lit("https://api.example/"), F.col("event_id")).alias("permalink"),
+                   F.get_json_object("props", "$.k").alias("content"))
+    answers = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 1000).cast("bigint").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("event_id", hit.alias("hit")))).alias("hits"))
+    answers = answers.select("page", F.to_json(F.struct(F.transform("hits", lambda h: h["hit"]).alias("hits"))).alias("response"))
+    root = scratch_path(spark, "lake")
+    jobs.run_api_full(spark, answers, "blockworks.co", root, page="page", run="api_1")
+    return _stored(spark, root)
+
+
+# ---- streams
+
 @query
 def stream_ingest(spark, sf_dir):
     out, marks = scratch_path(spark, "stream"), scratch_path(spark, "marks")
@@ -605,18 +772,67 @@ def stream_ingest(spark, sf_dir):
     return ingest.published_table(spark, out)
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """The same files under a second checkpoint, and a batch job on the same table: nothing lost, nothing doubled."""
+    out, root = scratch_path(spark, "stream"), written_batches(spark, sf_dir)
+    for _ in range(2):
+        ingest.run_ingest(ingest.landed_batches(spark, root), out, scratch_path(spark, "marks"))
+    publish(read_published(spark, out).withColumn("published_at", F.lit(NO_DATE)), out, "batch_again", "insert_new")
+    return ingest.published_table(spark, out)
+
+
+def _landed(spark, rows, folder):
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(folder)
+
+
+def _lines_stream(spark, landing):
+    """A stream of landed text files; Spark's own names end in .txt."""
+    return ingest.landed_batches(spark, landing)
+
+
+@query
+def stream_late_files(spark, sf_dir):
+    """Files that land with a time stamp ten years old, after a first run, and one that is broken."""
+    landing, out, marks = (scratch_path(spark, n) for n in ("landing", "stream", "marks"))
+    rows = A.to_article(event_articles(spark, sf_dir))
+    number = F.conv(F.substring("id", 1, 4), 16, 10).cast("int")
+    _landed(spark, rows.filter(number % 2 == 0), f"{landing}/first")
+    ingest.run_ingest(_lines_stream(spark, landing), out, marks)
+    _landed(spark, rows.filter(number % 2 == 1), f"{landing}/late")
+    cut = rows.groupBy("source").agg(F.substring(F.min("url"), 1, 5).alias("value"))
+    cut.select("value", F.col("source").alias("kind")).write.partitionBy("kind").text(f"{landing}/other")
+    paths = spark._jvm.org.apache.hadoop.fs
+    for status in paths.Path(f"{landing}/late").getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(paths.Path(f"{landing}/late")):
+        status.getPath().getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(status.getPath(), 1_400_000_000_000, -1)
+    ingest.run_ingest(_lines_stream(spark, landing), out, marks)
+    left = ingest.rejected_files(spark, out).select(
+        F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("url"),
+        F.concat_ws(" ", F.regexp_extract("path", "kind=([a-z_]+)", 1), "problem").alias("problem"))
+    return ingest.published_table(spark, out).select("id", "url", F.lit(None).cast("string").alias("problem")).unionByName(left)
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """The events land twice, a run apart; each id enters the table once."""
     landing, out, marks = (scratch_path(spark, n) for n in ("landing", "stream", "marks"))
     rows = A.to_article(event_articles(spark, sf_dir))
-    batch = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
     for run in ("first", "second"):
-        batch.write.text(f"{landing}/{run}")
-        stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).json(landing)
-        ingest.run_ingest(stream, out, marks, dedup=True)
+        _landed(spark, rows, f"{landing}/{run}")
+        ingest.run_ingest(_lines_stream(spark, landing), out, marks, dedup=True)
     return ingest.published_table(spark, out)
 
 
+@query
+def stream_dedup_within(spark, sf_dir):
+    """The stateful form: copies that arrive within the delay enter once."""
+    landing, out, marks = (scratch_path(spark, n) for n in ("landing", "stream", "marks"))
+    rows = A.to_article(event_articles(spark, sf_dir))
+    _landed(spark, rows.unionByName(rows), landing)
+    stream = ingest.dedup_within(ingest.landed_articles(_lines_stream(spark, landing)))
+    stream.writeStream.format("parquet").option("checkpointLocation", marks).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out).select("source", "id")
+
+
 for _name in ("keep_first", "dedup_any", "take_until_seen", "resume_after", "assign_batches"):
     _QUERIES[_name] = _QUERIES.pop(f"{_name}_query")

@@ -20,7 +20,8 @@ NO_DATE = "1970-01-01 00:00:00"
 NO_CONTENT = "No content"
 NO_TITLE = "No Title"
 
-# Limits of a crawl run.
+# Limits of a crawl run. The jobs take all new articles and stop at any known one unless they are told
+# these limits.
 MAX_NEWS = 500
 BATCH_SIZE = 100
 RECENT_IDS = 15

@@ -1,5 +1,6 @@
 """Session defaults and the shared folder for tables that cut a plan in two."""
 
+import contextlib
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def build_session(app_name="newslake", master=None, extra=None):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch folder only for a local master."""
+    """The folder the caller names in ``spark.checkpoint.dir``; where none is named, a local master gets one."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
@@ -50,14 +51,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+_passing = []  # for each open ``passing`` block, the tables made in it
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession):
+    """Within the block, tables that ``staged`` makes are removed at its end; its results must be written by then."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        configuration = spark._jsc.hadoopConfiguration()
+        for path in _passing.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(configuration).delete(place, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     The result no longer depends on executors staying alive, is computed once however often it is
     used, and its file size is known to the optimizer, so a join with it is broadcast exactly when
-    it is below ``spark.sql.autoBroadcastJoinThreshold``.
+    it is below ``spark.sql.autoBroadcastJoinThreshold``. Jobs that write their result remove these tables
+    (``passing``); those of an operator whose result is still to be read stay, in a folder named after the application.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _passing:
+        _passing[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

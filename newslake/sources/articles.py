@@ -1,14 +1,20 @@
 """Readers: JSON batches with and without order, batch keys, search answers, raw pages."""
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import newslake
 from newslake.functions import dates, text
 from newslake.operators import state
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA, HITS_SCHEMA
+from newslake.sources.jsontext import values
 
+# The helper travels with the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(newslake)
 
 # Objects named by hand end in .json; our batch sink writes through Spark's text files.
 _BATCH_FILES = "{*.json,part-*.txt}"
@@ -34,31 +40,68 @@ def parse_batch(value: Column, article=ARTICLE_SCHEMA) -> Column:
     return F.from_json(value, T.ArrayType(element), {"mode": "PERMISSIVE"})
 
 
-def read_batch_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bool = True) -> DataFrame:
-    """One row per batch file: its path and parsed array (NULL for any other shape)."""
+def split_values(files: DataFrame) -> DataFrame:
+    """``files(path, value)``, whole texts, with ``kind`` and the articles as one array's text, or the ``problem``.
+
+    Works on streams too. A file is one row here, so it has to fit a task; lines of any number are read by
+    ``read_articles(layout="lines")``, which splits files.
+    """
+    def run(batches):
+        for batch in batches:
+            found = [values(t) if t is not None else (None, None, "empty") for t in batch.column(1).to_pylist()]
+            columns = [pa.array(c, pa.string()) for c in (zip(*found) if found else ([], [], []))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["path", "kind", "value", "problem"])
+
+    return files.select("path", "value").mapInArrow(run, "path string, kind string, value string, problem string")
+
+
+def plain_path(path: Column) -> Column:
+    """A file's path as a listing shows it; the metadata column has it as a URI."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def parse_files(files: DataFrame, article=ARTICLE_SCHEMA, lists_only: bool = False) -> DataFrame:
+    """One row per file: path, parsed array ``rows``, and the ``problem`` of a file that gives none.
+
+    A lone object and JSON lines count as a list, unless ``lists_only`` is set.
+    """
+    parsed = split_values(files).withColumn("rows", parse_batch(F.col("value"), article))
+    problem = F.coalesce("problem", F.when(F.col("rows").isNull(), "broken JSON"))
+    if lists_only:
+        problem = F.coalesce(problem, F.when(F.col("kind") != "list", "no list"))
+    return parsed.select("path", F.when(problem.isNull(), F.col("rows")).alias("rows"), problem.alias("problem"))
+
+
+def read_batch_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bool = True,
+                     lists_only: bool = False) -> DataFrame:
+    """One row per batch file: its path, its articles, or its problem."""
     files = (
         spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES)
         .text(paths, wholetext=True)
     )
-    return files.select(F.col("_metadata.file_path").alias("path"), "value",
-                        parse_batch(F.col("value"), article).alias("rows"))
+    return parse_files(files.select(plain_path(F.col("_metadata.file_path")).alias("path"), "value"), article, lists_only)
+
+
+def explode_files(files: DataFrame):
+    """Articles with their file and place in it, and the files with a problem."""
+    rows = files.select("path", F.posexplode("rows").alias("pos", "row")).select(
+        "path", F.col("pos").cast("bigint").alias("pos"), "row.*")
+    return rows, files.filter(F.col("problem").isNotNull()).select("path", "problem")
 
 
-def read_batches_ordered(spark: SparkSession, paths, mode: str = "PERMISSIVE", recursive: bool = True,
+def read_batches_ordered(spark: SparkSession, paths, mode: str = "FAILFAST", recursive: bool = True,
                          lists_only: bool = False):
-    """Articles with their file and place in it, and the files that hold no list of articles.
+    """Articles with their file and place in it, and the files that hold no articles, with their problem.
 
-    A lone object counts as a list of one, unless ``lists_only`` is set.
+    With ``mode="FAILFAST"`` such a file fails the job; with ``"PERMISSIVE"`` the caller looks at the rejects.
     """
-    files = read_batch_files(spark, paths, recursive=recursive)
-    if lists_only:
-        files = files.withColumn("rows", F.when(F.col("value").rlike(r"^\s*\["), F.col("rows")))
+    if mode not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"mode must be 'FAILFAST' or 'PERMISSIVE', not {mode!r}")
+    files = read_batch_files(spark, paths, recursive=recursive, lists_only=lists_only)
     if mode == "FAILFAST":
-        problem = F.raise_error(F.concat(F.lit("no list of articles: "), "path"))
-        files = files.withColumn("rows", F.coalesce("rows", problem.cast(files.schema["rows"].dataType)))
-    rows = files.select("path", F.posexplode("rows").alias("pos", "row")).select(
-        "path", F.col("pos").cast("bigint").alias("pos"), "row.*")
-    return rows, files.filter(F.col("rows").isNull()).select("path")
+        error = F.raise_error(F.concat(F.col("path"), F.lit(": "), F.col("problem")))
+        files = files.withColumn("rows", F.coalesce("rows", error.cast(files.schema["rows"].dataType)))
+    return explode_files(files)
 
 
 def list_batches(spark: SparkSession, root) -> DataFrame:
@@ -78,10 +121,13 @@ def list_batches(spark: SparkSession, root) -> DataFrame:
     return state.parse_keys(files)
 
 
-def articles_from_hits(answers: DataFrame, source: str, column: str = "response") -> DataFrame:
-    """Articles of search answers ``{"hits": [{post_title, post_date, permalink, content}]}``."""
-    hits = answers.select(F.explode(F.from_json(column, HITS_SCHEMA)["hits"]).alias("hit"))
-    values = {
+def articles_from_hits(answers: DataFrame, source: str, column: str = "response", keep=()) -> DataFrame:
+    """Articles of search answers ``{"hits": [{post_title, post_date, permalink, content}]}``.
+
+    With columns of the answer to ``keep``, these and the hit's place in it, ``pos``, come along.
+    """
+    hits = answers.select(*keep, F.posexplode(F.from_json(column, HITS_SCHEMA)["hits"]).alias("pos", "hit"))
+    fields = {
         "content": F.col("hit.content"),
         "id": text.url_id(F.col("hit.permalink")),
         "published_at": dates.epoch_to_text(F.col("hit.post_date")),
@@ -89,7 +135,8 @@ def articles_from_hits(answers: DataFrame, source: str, column: str = "response"
         "title": F.col("hit.post_title"),
         "url": F.col("hit.permalink"),
     }
-    return hits.select(*[values[c].alias(c) for c in ARTICLE_COLUMNS])
+    place = [*keep, F.col("pos").cast("bigint").alias("pos")] if keep else []
+    return hits.select(*place, *[fields[c].alias(c) for c in ARTICLE_COLUMNS])
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

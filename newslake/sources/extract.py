@@ -256,28 +256,20 @@ def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
 def last_page(pages: DataFrame, rules=None) -> DataFrame:
     """Last page number of listing ``pages(page_id, source, html)``.
 
-    The second last pagination link holds it, or the last where the rule selects no "next" link.
+    The rule says which pagination link holds it, and which number stands for an unreadable or missing one.
     """
     by_source = {r.source: r for r in (RULES if rules is None else rules) if r.pages}
-    # These select number links only, so the last one counts.
-    last_counts = [s for s, r in by_source.items() if r.pages.startswith(("a[class=", "div.content"))]
 
     def read(batches):
         for pdf in batches:
             out = []
             for page_id, source, html in pdf.itertuples(index=False):
-                links = _guarded(lambda h, r: H.select(H.parse(h), r.pages), html, by_source[source]) or []
-                at = 1 if source in last_counts else 2
-                value = " ".join(H.strings(links[-at])) if len(links) >= at else None
-                out.append((page_id, source, value))
-            yield pd.DataFrame(out, columns=["page_id", "source", "label"])
-
-    known = pages.select("page_id", "source", "html").filter(
-        F.col("source").isin(list(by_source)) & F.col("html").isNotNull())
-    return known.mapInPandas(read, "page_id bigint, source string, label string").select(
-        "page_id", "source", text.to_int(F.col("label")).alias("pages"))
-
-
-def generic_rule(source: str, root: str, **more) -> Rule:
-    """A rule for a source of one's own."""
-    return Rule(source=source, folder=source, roots=(Root(root, **more),))
+                rule = by_source[source]
+                links = (_guarded(lambda h, r: H.select(H.parse(h), r.pages), html, rule) or []) if html is not None else []
+                value = " ".join(H.strings(links[-rule.page_link])) if len(links) >= rule.page_link else None
+                out.append((page_id, source, value, rule.page_fallback))
+            yield pd.DataFrame(out, columns=["page_id", "source", "label", "fallback"])
+
+    known = pages.select("page_id", "source", "html").filter(F.col("source").isin(list(by_source)))
+    return known.mapInPandas(read, "page_id bigint, source string, label string, fallback int").select(
+        "page_id", "source", F.coalesce(text.to_int(F.col("label")), "fallback").alias("pages"))

@@ -60,6 +60,13 @@ class Rule:
     blank_is_missing: bool = False
     # The next of the dates serves when one cannot be read, not only when its element is absent.
     next_date_if_unreadable: bool = False
+    # What an incremental run does with a listing that ends before a known article: "drop" or "keep" its rows.
+    on_no_match: str = "drop"
+    # What the last, partial batch of a full run adds to the label: its own "count", or a "full" batch size.
+    remainder: str = "count"
+    # Which of the pagination links holds the last page's number, from the end, and the number where none does.
+    page_link: int = 2
+    page_fallback: int | None = None
 
     @property
     def date_at(self) -> str:
@@ -98,6 +105,7 @@ RULES = [
         cards=Cards(('div[data-el="bic-c-news-big"]',), "h5.h-full a", Field("h5.h-full a")),
         pages='div.content >> a[data-el_pos="bic-c-pagination-last-page"]',
         text_steps=("newlines",),
+        page_link=1,
     ),
     Rule(
         source="bitcoinist.com", folder="bitcoinist",
@@ -134,6 +142,7 @@ RULES = [
         roots=(Root("section.w-full", ".not-prose, .article-ad, figure"),),
         cards=Cards(('div[class*="grid lg:grid-cols-4"] >> div.grid.grid-cols-1',), "a.font-headline",
                     Field("a.font-headline"), Field("time", "datetime", "D5")),
+        on_no_match="keep",
     ),
     Rule(
         source="news.buildoncronos.com", folder="buildoncronos",
@@ -187,6 +196,7 @@ RULES = [
         roots=(Root("div.post-detail__content", ".post-detail__share, figure, .cn-block-related-link"),),
         cards=Cards(("div.post-archive__content >> div.post-loop",), "a.post-loop__link",
                     Field("a.post-loop__link"), Field("time", "datetime", "D3")),
+        on_no_match="keep",
     ),
     Rule(
         source="blog.cryptoflies.com", folder="cryptoflies",
@@ -196,6 +206,7 @@ RULES = [
                     "h2.penci-entry-title >> a", Field("h2.penci-entry-title >> a", text="raw"),
                     Field('time[class="entry-date published"]', "datetime", "D4"), date_optional=True),
         pages="a.page-numbers",
+        page_fallback=1,
     ),
     Rule(
         source="cryptonews.com", folder="cryptonews",
@@ -207,6 +218,7 @@ RULES = [
         cards=Cards(("div.archive-template-latest-news__wrap",), ".archive-template-latest-news",
                     Field(".archive-template-latest-news >> .archive-template-latest-news__title")),
         pages='a[class="page-numbers"]',
+        page_link=1,
     ),
     Rule(
         source="cryptoslate.com", folder="cryptoslate",
@@ -220,6 +232,7 @@ RULES = [
                Field(".post-header.article >> .post-meta-single.sponsored .text span", "", "D9", "tight")),
         cards=Cards(("section.news-feed >> div.list-post",), "a", Field("div.title h2", text="raw")),
         pages="div.pagination a.page-numbers", batch_size=1000,
+        remainder="full",
     ),
     Rule(
         source="dailycoin.com", folder="dailycoin",
@@ -243,6 +256,7 @@ RULES = [
         dates=(Field('time[class="date published"]', "datetime", "D4"),),
         cards=Cards(("div.block-inner >> h3.entry-title",), "a.p-url", Field("a.p-url", text="raw")),
         pages="a.page-numbers",
+        page_fallback=1,
     ),
     Rule(
         source="globalcryptopress.com", folder="globalcryptopress",

@@ -1,13 +1,9 @@
-"""Writers: JSON lines, one JSON array per batch, and the published table."""
+"""Export: JSON lines, and one JSON array per batch for readers that want files."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.operators.articles import to_document
-from newslake.operators.common import attach
 from newslake.schema import ARTICLE_COLUMNS
-from newslake.session import staged
 
 
 def write_articles(articles: DataFrame, path: str) -> None:
@@ -18,6 +14,8 @@ def write_articles(articles: DataFrame, path: str) -> None:
 def write_batches(rows: DataFrame, path: str, kind: str = "initial") -> None:
     """One JSON array per (site, category, batch_no), in listing order; no rows, no file.
 
+    An export: the lake itself is a table (``sources.lake``), since a folder and a file for each hundred rows cost
+    their listing and renaming ever after.
     A group is one batch, so it holds at most the batch size or the run limit of rows. Writing a
     batch again replaces it, and leaves the others.
     """
@@ -31,35 +29,3 @@ def write_batches(rows: DataFrame, path: str, kind: str = "initial") -> None:
         .alias("value"))
     # A batch is one row, so each folder gets one file with one array.
     texts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("site", "category", "batch").text(path)
-
-
-def insert_new(documents: DataFrame, published: DataFrame, by=("source", "id")) -> DataFrame:
-    """The documents whose id the published table does not hold.
-
-    The table's ids are first reduced to those of the new rows, a join whose small side is the new
-    rows' key list, so the large table is neither shuffled nor compared as a whole.
-    """
-    wanted = staged(documents.select(*by).distinct(), "wanted")
-    known = staged(attach(published.select(*by), wanted, by, "left_semi").distinct(), "known")
-    return attach(documents, known, by, "left_anti")
-
-
-def publish(articles: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
-    """Append articles in published form.
-
-    ``"append"`` repeats rows when run again; ``"insert_new"`` leaves out ids that are there.
-    """
-    documents = to_document(articles)
-    if mode == "insert_new":
-        spark = articles.sparkSession
-        try:
-            published = spark.read.format(fmt).schema(documents.schema).load(path)
-            documents = insert_new(documents, published)
-        except AnalysisException as error:
-            # The first run has no table to compare with.
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    elif mode != "append":
-        raise ValueError(f"mode must be 'append' or 'insert_new', not {mode!r}")
-    # Large sources spread over several files, small ones share a task.
-    documents.hint("rebalance", "source").write.mode("append").format(fmt).partitionBy("source").save(path)

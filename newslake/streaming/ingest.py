@@ -1,53 +1,78 @@
 """The scheduled incremental load as Structured Streaming: run, take what is new, stop."""
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.operators.articles import to_document
-from newslake.operators.dedup import keep_first
-from newslake.schema import ARTICLE_SCHEMA
-from newslake.sources.sinks import insert_new
+from newslake.schema import ARTICLE_COLUMNS
+from newslake.session import passing, staged
+from newslake.sources import published, runs
+from newslake.sources.articles import explode_files, parse_files, plain_path
+
+_FILES = "path string, problem string, rows bigint"
 
 
 def landed_batches(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
-    """Landed batch files as a stream; ``max_files`` bounds one micro-batch."""
-    return (
-        spark.readStream.schema(ARTICLE_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
-        .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).json(path)
+    """Landed batch files as a stream of ``path, value``; ``max_files`` bounds one micro-batch.
+
+    Files count as new whenever they land, whatever their time stamp says.
+    """
+    stream = (
+        spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d").load(path)
     )
+    return stream.select(plain_path(F.col("_metadata.file_path")).alias("path"), "value")
 
 
-def _append_once(documents: DataFrame, path: str, epoch: int) -> None:
-    """Write one micro-batch under its own folder; a replay after a failure overwrites it."""
-    documents.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+def landed_articles(stream: DataFrame) -> DataFrame:
+    """The articles of landed files, still as a stream; files with a problem give none."""
+    return parse_files(stream).select(F.explode("rows").alias("row")).select("row.*")
 
 
-def published_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("epoch")
+def ingested_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, problem, rows`` of all files taken so far; a problem says why a file gave no rows."""
+    return runs.read_runs(spark, f"{path}/files", _FILES).select("path", "problem", "rows")
+
+
+def rejected_files(spark: SparkSession, path: str) -> DataFrame:
+    return ingested_files(spark, path).filter(F.col("problem").isNotNull()).select("path", "problem")
 
 
 def run_ingest(stream: DataFrame, path: str, checkpoint: str, dedup: bool = False) -> None:
-    """Take everything that landed since the last run into the table at ``path``.
+    """Take every file that landed since the last run into the published table at ``path``.
 
-    With ``dedup`` an id enters once, whether its copies are in one micro-batch or in several.
+    A micro-batch is a run of its own, named after the query's id, which lives in the checkpoint, and its number; a
+    replay after a failure finds it there. A list of the files taken stands beside the table, so a new checkpoint,
+    which sees all files again, takes only those that no run has taken. A file that holds no articles goes to
+    ``rejected_files`` and stops nothing. With ``dedup`` an id enters once, whether its copies are in one file or
+    several, or came by another job.
     """
+    known = Future()
+
     def load(batch: DataFrame, epoch: int) -> None:
-        documents = to_document(batch)
-        if dedup:
-            spark = batch.sparkSession
-            documents = keep_first(documents, ("source",), "id", ("published_at", "url"))
-            if epoch > 0:
-                earlier = spark.read.parquet(path).filter(F.col("epoch") < epoch).select("source", "id")
-                documents = insert_new(documents, earlier)
-        _append_once(documents, path, epoch)
-
-    query = (
-        stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+        spark, run = batch.sparkSession, f"stream_{known.result(timeout=300)}_{epoch}"
+        with passing(spark):
+            taken = staged(ingested_files(spark, path).select("path"), "taken") if not runs.committed(
+                spark, f"{path}/files", run) else None
+            if taken is None:
+                return
+            files = staged(parse_files(batch.join(taken, "path", "left_anti")), "landed")
+            rows, _ = explode_files(files)
+            published.publish(rows.select(*ARTICLE_COLUMNS), path, run, "insert_new" if dedup else "append")
+            # The files count as taken once their rows are published; in between, a replay finds the run there.
+            done = files.select(F.lit("file").alias("part"), "path", "problem", F.size("rows").cast("bigint").alias("rows"))
+            runs.write_run(done, f"{path}/files", run, ["part"], lambda d: d.groupBy("part").count())
+
+    query = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    known.set_result(str(query.id))
     query.awaitTermination()
 
 
+def published_table(spark: SparkSession, path: str) -> DataFrame:
+    return published.read_published(spark, path)
+
+
 def dedup_within(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     """Stateful form: one row per id among rows that arrive within ``delay`` of each other.
 
