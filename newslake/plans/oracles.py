@@ -2,6 +2,7 @@
 
 from newslake.functions.page import ENTITIES
 from newslake.plans.queries import PHRASES, SKIPPED
+from newslake.plans.source_pages import SAMPLES
 from newslake.sources.sites import SITE_CATEGORIES
 
 _ORACLES = {}
@@ -468,3 +469,31 @@ WITH {_EVENTS} SELECT id, url, NULL AS problem FROM ev
 UNION ALL
 SELECT NULL, NULL, event_type || ' broken JSON' FROM (SELECT DISTINCT event_type FROM events)""")
 oracle("stream_dedup_within", f"WITH {_EVENTS} SELECT source, id FROM ev")
+
+
+def _sample(source, x):
+    def dated(value):
+        return "NULL" if value is None else f"replace({quoted(value)}, '@d@', d)"
+    date = f"CASE WHEN page_id % 5 = 4 THEN {dated(x.unread)} ELSE {dated(x.read)} END"
+    title, card_title = "'Title ' || page_id", "NULL" if x.titled == "page" else "'Title ' || page_id"
+    url = "'https://sources.example/' || page_id"
+    return f"""
+SELECT 'page' AS step, {quoted(source)} AS source, page_id, {url} AS url, {title if x.titled == "page" else "NULL"} AS title,
+       a || ' Body ' || page_id AS content, {date if x.dated == "page" else "NULL"} AS published_at, NULL AS reject_reason FROM w
+UNION ALL
+SELECT 'card', {quoted(source)}, page_id, {quoted(x.base + "/") + " || page_id" if x.base else url}, {card_title}, NULL, {date if x.dated == "card" else "NULL"},
+       {"CASE WHEN page_id % 5 = 4 THEN 'unreadable date' END" if x.dated == "card" and x.unread is None else "NULL"} FROM w"""
+
+
+oracle("source_rules", r"""
+WITH w AS (
+  SELECT page_id, lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS d,
+         'Lead ' || trim(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '[^A-Za-z]+', ' ', 'g')) AS a FROM pages)"""
+       + "\nUNION ALL".join(_sample(s, x) for s, x in SAMPLES.items()))
+
+oracle("last_page_rules", """
+WITH s AS (SELECT unnest(['beincrypto.com', 'blockonomi.com', 'blog.cryptoflies.com', 'droomdroom.com', 'cryptonews.com',
+                          'cryptoslate.com', 'holder.io']) AS source)
+SELECT page_id, source, CASE WHEN page_id % 4 > 0 THEN page_id * 7 + 2
+                             WHEN source IN ('blog.cryptoflies.com', 'droomdroom.com') THEN 1 END AS pages
+FROM pages, s""")

@@ -10,6 +10,7 @@ from newslake.operators.cut import resume_after, take_until_seen
 from newslake.operators.dedup import dedup_any, keep_first
 from newslake.operators.ranking import assign_batches, top_n
 from newslake.plans import jobs
+from newslake.plans.source_pages import SAMPLES
 from newslake.schema import NO_CONTENT, NO_DATE, NO_TITLE
 from newslake.session import prepare, scratch_path
 from newslake.sources import extract, lake
@@ -448,6 +449,60 @@ def listing_with_detail(spark, sf_dir):
     return A.fill_defaults(A.listing_with_detail(listing, detail)).select("pos", "url", "source", "title", "content")
 
 
+# ---- the rules of all sources
+
+def sample_pages(spark, sf_dir):
+    """Each page's words in every source's own markup: ``page_id, source, url, page, card``; one date in five is unreadable."""
+    samples = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(x.page).alias("page"), F.lit(x.card).alias("card"), F.lit(x.raw).alias("raw"),
+                                 F.lit("/" if x.base else "https://sources.example/").alias("link"))
+                        for s, x in SAMPLES.items()])
+    words = F.trim(F.regexp_replace(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1), "[^A-Za-z]+", " "))
+    rows = table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit("https://sources.example/"), "page_id").alias("url"), F.concat_ws(" ", F.lit("Lead"), words).alias("a"),
+        F.concat(F.lit("Body "), "page_id").alias("b"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0").alias("d"),
+        F.explode(samples).alias("s"))
+    day = F.when(F.col("page_id") % 5 == 4, "soon").otherwise(F.replace(F.col("s.raw"), F.lit("@d@"), F.col("d")))
+
+    def filled(template):
+        out = F.col(template)
+        for mark, value in (("@A@", F.col("a")), ("@B@", F.col("b")), ("@T@", F.concat(F.lit("Title "), "page_id")), ("@U@", F.concat("s.link", "page_id")), ("@D@", day)):
+            out = F.replace(out, F.lit(mark), value)
+        return out
+    return rows.select("page_id", "s.source", "url", filled("s.page").alias("page"), filled("s.card").alias("card"))
+
+
+@query
+def source_rules(spark, sf_dir):
+    """All rules on pages and cards of their sources: text, title and date of each."""
+    pages = sample_pages(spark, sf_dir)
+    details = extract.extract_articles(pages.withColumnRenamed("page", "html")).select(
+        F.lit("page").alias("step"), "source", "page_id", "url", "title", "content", "published_at", F.lit(None).cast("string").alias("reject_reason"))
+    rows, left = extract.explode_listing(pages.select("page_id", "source", F.lit(None).cast("string").alias("category"), F.col("card").alias("html")))
+    cards = rows.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(left).select(
+        F.lit("card").alias("step"), "source", "page_id", "url", "title", F.lit(None).cast("string").alias("content"), "published_at", "reject_reason")
+    return details.unionByName(cards)
+
+
+@query
+def last_page_rules(spark, sf_dir):
+    """Pagination of the sources that have one, with as many links as the page's number says, or none."""
+    shapes = {
+        "beincrypto.com": ("<div class='content'><a>x</a>", "<a data-el_pos='bic-c-pagination-last-page'> @n@ </a></div>"),
+        "blockonomi.com": ("<a class='page-numbers'>1</a>", "<a class='page-numbers'>@n@</a><a class='next page-numbers'>Next</a>"),
+        "blog.cryptoflies.com": ("<a class='page-numbers'>1</a>", "<a class='page-numbers'>@n@</a><a class='next page-numbers'>Next</a>"),
+        "droomdroom.com": ("<a class='page-numbers'>1</a>", "<a class='page-numbers'> @n@ </a><a class='next page-numbers'>Next</a>"),
+        "cryptonews.com": ("<p>x</p>", "<a class='page-numbers'>1</a><a class='page-numbers'>@n@</a><a class='next page-numbers'>Next</a>"),
+        "cryptoslate.com": ("<a class='page-numbers'>5</a>", "<div class='pagination'><a class='page-numbers'>@n@</a><a class='page-numbers'>Next</a></div>"),
+        "holder.io": ("<p>x</p>", "<a class='hlpagination__numbers'>1</a><a class='hlpagination__numbers'>@n@</a><a class='hlpagination__numbers'>&gt;</a>"),
+    }
+    samples = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(a.replace("'", '"')).alias("none"), F.lit(b.replace("'", '"')).alias("some"))
+                        for s, (a, b) in shapes.items()])
+    rows = table(spark, sf_dir, "pages").select("page_id", F.explode(samples).alias("s"))
+    links = F.replace(F.col("s.some"), F.lit("@n@"), F.format_number(F.col("page_id") * 7 + 2, 0))
+    return extract.last_page(rows.select("page_id", "s.source", F.concat(
+        "s.none", F.when(F.col("page_id") % 4 > 0, links).otherwise("")).alias("html")))
+
+
 # ---- JSON lake ---------------------------------------------------------------------------------------
 
 def doc_url():

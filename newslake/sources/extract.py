@@ -27,7 +27,7 @@ _CARDS = "page_id bigint, source string, category string, pos bigint, href strin
 def _text(node, style):
     if style in ("tight", "spaced"):
         return ("" if style == "tight" else " ").join(H.strings(node))
-    hidden = {n for n in H.walk(node) if not isinstance(n, str) and n.tag in H.NOT_TEXT}
+    hidden = H.hidden_below(node)
     whole = "".join(t for t in H.walk(node, hidden) if isinstance(t, str))
     return whole.strip() if style == "raw" else " ".join(whole.split())
 
@@ -211,7 +211,8 @@ def extract_cards(pages: DataFrame, rules=None) -> DataFrame:
             out = []
             for page_id, source, category, html in pdf.itertuples(index=False):
                 cards = _guarded(lambda h, r: list(_page_cards(h, r)), html, by_source[source])
-                out.extend((page_id, source, category, *card) for card in cards or ())
+                # A page that the parser refuses is one row without a card.
+                out.extend((page_id, source, category, *card) for card in (cards if cards is not None else [(None,) * 6]))
             yield pd.DataFrame(out, columns=["page_id", "source", "category", "pos", "href", "title",
                                              "published_raw", "notation", "complete"])
 
@@ -224,7 +225,8 @@ def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
     """Listing rows and rejects of listing pages.
 
     A row is rejected when its card lacks an element the source needs, its link is on the source's
-    skip list, or its date, read in the listing, cannot be read.
+    skip list, or its date, read in the listing, cannot be read. A page that is missing, that the parser refuses or
+    whose source has no rule is one reject without a link.
     """
     rules = [r for r in (RULES if rules is None else rules) if r.cards]
     cards = extract_cards(pages, rules)
@@ -246,11 +248,33 @@ def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
         text.url_id(href).alias("id"),
         url.alias("url"), "title",
         F.when(F.col("notation").isNotNull(), parsed).alias("published_at"),
-        F.when(skipped, "skipped link").when(~F.col("complete"), "incomplete card")
+        F.when(F.col("complete").isNull(), "unreadable page")
+        .when(skipped, "skipped link").when(~F.col("complete"), "incomplete card")
         .when(F.col("notation").isNotNull() & parsed.isNull(), "unreadable date").alias("reject_reason"),
     )
+    nothing = F.lit(None)
+    ruled = F.coalesce(source.isin([r.source for r in rules]), F.lit(False))
+    unread = pages.filter(~ruled | F.col("html").isNull()).select(
+        "source", "category", "page_id", nothing.cast("bigint").alias("pos"), *(nothing.cast("string").alias(c) for c in ("id", "url", "title", "published_at")),
+        F.when(~ruled, "no rule").otherwise("no page").alias("reject_reason"))
     return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason"), \
-        rows.filter(F.col("reject_reason").isNotNull())
+        rows.filter(F.col("reject_reason").isNotNull()).unionByName(unread)
+
+
+def page_rejects(pages: DataFrame, rules=None) -> DataFrame:
+    """``page_id, url, source, reason`` of article pages that no text can be read from."""
+    by_source = rule_map(RULES if rules is None else rules)
+
+    def read(batches):
+        for pdf in batches:
+            broken = pdf[[_guarded(lambda h, r: H.parse(h), html, None) is None for html in pdf["html"]]]
+            yield broken[["page_id", "url", "source"]].assign(reason="unreadable page")
+
+    columns = ["page_id", "url", "source"]
+    ruled = F.coalesce(F.col("source").isin(list(by_source)), F.lit(False))
+    unread = pages.filter(~ruled | F.col("html").isNull()).select(*columns, F.when(~ruled, "no rule").otherwise("no page").alias("reason"))
+    return unread.unionByName(pages.filter(ruled & F.col("html").isNotNull()).select(*columns, "html").mapInPandas(
+        read, "page_id bigint, url string, source string, reason string"))
 
 
 def last_page(pages: DataFrame, rules=None) -> DataFrame:

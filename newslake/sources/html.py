@@ -5,6 +5,7 @@ descendant and child combinators, comma lists, and `` >> `` to search on inside
 """
 
 import re
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 # Elements without an end tag, and elements whose text is not page text.
@@ -16,12 +17,47 @@ NOT_TEXT = frozenset("script style template rt rp".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    """``place`` numbers the elements of a page in document order; descendants are those up to ``last``."""
+
+    __slots__ = ("tag", "attrs", "parent", "children", "place", "last", "index")
 
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
 
+class Index:
+    """The elements of a page by tag, class and id, each list in document order; made in one walk."""
+
+    def __init__(self, root):
+        self.all, self.named = [], {}
+        stack = [(root, iter(root.children))]
+        root.place, root.index = 0, self
+        while stack:
+            node, children = stack[-1]
+            child = next((c for c in children if not isinstance(c, str)), None)
+            if child is None:
+                node.last = len(self.all)
+                stack.pop()
+                continue
+            self.all.append(child)
+            child.place, child.index = len(self.all), self
+            names = [("tag", child.tag), ("id", child.attrs.get("id"))]
+            for name in names + [("cls", c) for c in set(child.attrs.get("class", "").split())]:
+                self.named.setdefault(name, []).append(child)
+            stack.append((child, iter(child.children)))
+
+    def below(self, node, tests):
+        """Descendants of ``node`` that may pass ``tests``: the shortest of the lists that the tests name."""
+        pools = [self.named.get((op, value), []) for _, op, value in tests if op in ("tag", "cls", "id")]
+        pool = min(pools, key=len) if pools else self.all
+        first = bisect_right(pool, node.place, key=_place)
+        return pool[first:bisect_right(pool, node.last, key=_place)]
+
+
+def _place(node):
+    return node.place
+
+
 class _TreeBuilder(HTMLParser):
     """Start tags nest, an end tag closes up to its nearest open namesake, a stray one is ignored."""
 
@@ -64,6 +100,7 @@ def parse(html):
     builder.feed(html)
     builder.close()
     builder.flush()
+    Index(builder.root)
     return builder.root
 
 
@@ -81,11 +118,16 @@ def walk(node, skip=()):
             stack.append(iter(child.children))
 
 
+def hidden_below(node):
+    """Descendants whose text is not page text."""
+    return {n for tag in NOT_TEXT for n in node.index.below(node, [("tag", "tag", tag)])}
+
+
 def strings(node, skip=()):
     """Text nodes of ``node``, each stripped, empty ones left out."""
     hidden = set(skip)
     if node.tag not in NOT_TEXT:
-        hidden.update(n for n in walk(node) if not isinstance(n, str) and n.tag in NOT_TEXT)
+        hidden |= hidden_below(node)
     return [s for s in (t.strip() for t in walk(node, hidden) if isinstance(t, str)) if s]
 
 
@@ -158,12 +200,15 @@ def _fits(node, chain):
 def select(node, selector):
     """Descendants of ``node`` that match, in document order."""
     scope, _, rest = selector.partition(" >> ")
-    chains = _compile(scope)
-    hits = (n for n in walk(node) if not isinstance(n, str) and any(_fits(n, c) for c in chains))
+    found = {}
+    for chain in _compile(scope):
+        for candidate in node.index.below(node, chain[-1][1]):
+            if candidate.place not in found and _fits(candidate, chain):
+                found[candidate.place] = candidate
+    hits = [found[place] for place in sorted(found)]
     if not rest:
-        return list(hits)
-    first = next(hits, None)
-    return select(first, rest) if first is not None else []
+        return hits
+    return select(hits[0], rest) if hits else []
 
 
 def select_one(node, selector):

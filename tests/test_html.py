@@ -261,6 +261,29 @@ def test_listing_rejects(spark):
         (0, "skipped link"), (1, "skipped link"), (2, "incomplete card"), (4, "incomplete card")]
 
 
+def test_pages_that_cannot_be_read_are_rejects(spark, monkeypatch):
+    rows = [(1, "u.today", "k", '<div class="categories-list"></div>'), (2, "u.today", "k", None), (3, "nobody.example", "k", "<p>x</p>"),
+            (4, None, "k", "<p>x</p>"), (5, "u.today", "k", "<![broken")]
+    pages = spark.createDataFrame(rows, "page_id bigint, source string, category string, html string").withColumn("url", F.lit("u"))
+    good, bad = extract.explode_listing(pages)
+    got = {r.page_id: r.reject_reason for r in bad.collect()}
+    assert good.count() == 0 and {k: got[k] for k in (2, 3, 4)} == {2: "no page", 3: "no rule", 4: "no rule"} and set(got) <= {2, 3, 4, 5}
+    reasons = {r.page_id: r.reason for r in extract.page_rejects(pages).collect()}
+    assert {k: reasons[k] for k in (2, 3, 4)} == {2: "no page", 3: "no rule", 4: "no rule"} and 1 not in reasons
+
+
+def test_selection_by_index_equals_a_walk():
+    """Every way of naming elements, against a plain walk over the tree."""
+    from newslake.sources import html as H
+    tree = H.parse('<div id="a" class="x y"><p class="x">1<b>2</b></p><div><p id="b">3</p><script>4</script></div></div><p class="y x">5</p>')
+    everything = [n for n in H.walk(tree) if not isinstance(n, str)]
+    for node in [tree, *everything]:
+        inside = [n for n in H.walk(node) if not isinstance(n, str)]
+        for selector in ("p", ".x", "#b", "div p", "div > p", "p.x, b", ".x.y", "[id]", 'p[class="y x"]', 'p[class^="y"]', "script"):
+            want = [n for n in inside if any(H._fits(n, c) for c in H._compile(selector))]
+            assert H.select(node, selector) == want, selector
+
+
 def test_last_page(spark):
     pages = [
         (1, "blockonomi.com", "".join(f'<a class="page-numbers">{t}</a>' for t in ("1", "2", "1,234", "Next"))),
