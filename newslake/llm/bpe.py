@@ -12,6 +12,7 @@ import json
 import re
 import struct
 import unicodedata
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from newslake.llm.common import Memo, read_file, slices, worker_state
 
 # White space as the tokenizer's patterns know it, which leaves out four separators of Python's own.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
+_NOT_SPACE = "\x1c\x1d\x1e\x1f"
 _SPLIT = re.compile(f"[{_SPACE}]+")
 
 
@@ -86,7 +87,7 @@ class Merges:
     def apply(self, ids: list) -> list:
         """All rules on a list of symbols, lowest rank first, from the left."""
         rank, product, none = self.rank.get, self.product, len(self.product)
-        ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
+        ranks = list(map(rank, zip(ids, ids[1:]), repeat(none)))
         while ranks:
             best = min(ranks)
             if best == none:
@@ -103,8 +104,9 @@ class Merges:
     def word(self, data: bytes) -> list:
         """The tokens of one pre-token."""
         if len(data) <= self.window:
-            inner = self.inner
-            return self.apply([*[inner[b] for b in data[:-1]], self.last[data[-1]]])
+            ids = list(map(self.inner.__getitem__, data))
+            ids[-1] = self.last[data[-1]]
+            return self.apply(ids)
         machine, out = Transducer(self), []
         for start in range(0, len(data), self.window):
             out += machine.feed(data[start:start + self.window])
@@ -143,10 +145,14 @@ class Transducer:
         return merges.apply([*[merges.inner[b] for b in data[:-1]], merges.last[data[-1]]])
 
 
+def _packed(ids: list) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Texts to ids. Words apart by white space are independent here, so each is a stream of its own."""
 
-    def __init__(self, spec: dict, memo: int = 800_000):
+    def __init__(self, spec: dict, memo: int = 700_000):
         self.spec, self.library = spec, None
         if json.dumps(spec.get("normalizer")).count('"type"') != 4 or spec.get("post_processor"):
             raise ValueError("only lower-casing vocabularies that drop white space are known here")
@@ -154,49 +160,47 @@ class Encoder:
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("\\s", _SPACE))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.pieces = Memo(lambda piece: self.merges.word(piece.encode()), memo // 2)
+        # Both memos hold ids as they are given out: little-endian 32 bits.
+        self.pieces = Memo(lambda piece: _packed(self.merges.word(piece.encode())), memo)
         self.words = Memo(self._word, memo)
 
     def _word(self, word: str) -> bytes:
-        ids = []
+        if "<|" not in word:
+            return self._part(word)
         # Special strings are taken from the raw text, before it is lower-cased.
-        for k, part in enumerate(self.marks.split(word)) if "<|" in word else [(0, word)]:
-            if k % 2:
-                ids.append(self.special[part])
-            elif part:
-                if not part.isascii():
-                    if "Cn" in map(unicodedata.category, part):
-                        ids += self._newer(part)
-                        continue
-                    # Character by character: a sigma at the end of a word is no special case.
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                part = part.lower()
-                # Most words are letters alone, perhaps before a comma or full stop.
-                if part.isalpha():
-                    ids += self.pieces[part]
-                elif part[-1] in ",." and part[:-1].isalpha():
-                    ids += self.pieces[part[:-1]]
-                    ids += self.pieces[part[-1]]
-                else:
-                    for piece in self.pattern.findall(part):
-                        ids += self.pieces[piece]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _newer(self, part: str) -> list:
+        parts = enumerate(self.marks.split(word))
+        return b"".join(_packed([self.special[part]]) if k % 2 else self._part(part) for k, part in parts if part)
+
+    def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            # Only unprintable characters can be unknown ones.
+            if not part.isprintable() and "Cn" in map(unicodedata.category, part):
+                return self._newer(part)
+            # Character by character: a sigma at the end of a word is no special case.
+            part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+        part, pieces = part.lower(), self.pieces
+        # Most words are letters alone, perhaps before a comma or full stop.
+        if part.isalpha():
+            return pieces[part]
+        if part[-1] in ",." and part[:-1].isalpha():
+            return pieces[part[:-1]] + pieces[part[-1]]
+        return b"".join([pieces[piece] for piece in self.pattern.findall(part)])
+
+    def _newer(self, part: str) -> bytes:
         """Characters that this Python does not know yet are parted and lower-cased by the library's tables."""
         if self.library is None:
             from tokenizers import Tokenizer
             self.library = Tokenizer.from_str(json.dumps(self.spec))
             self.bytes = {c: b for b, c in enumerate(byte_letters())}
         pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
-        return [i for piece, _ in pieces for i in self.merges.word(bytes(self.bytes[c] for c in piece))]
+        return b"".join(_packed(self.merges.word(bytes(self.bytes[c] for c in piece))) for piece, _ in pieces)
 
     def stream(self, text: str):
         """The ids of ``text`` as little-endian 32-bit blocks, one for each slice of it."""
         words = self.words
         for part in slices(text):
-            split = part.split() if not _NOT_SPACE.search(part) else [w for w in _SPLIT.split(part) if w]
-            yield b"".join([words[w] for w in split])
+            split = [w for w in _SPLIT.split(part) if w] if any(c in part for c in _NOT_SPACE) else part.split()
+            yield b"".join(map(words.__getitem__, split))
 
     def encode(self, text: str) -> bytes:
         return b"".join(self.stream(text))
@@ -233,7 +237,7 @@ class Decoder:
         yield machine.decode(b"", True)
 
 
-def load(data: bytes, memo: int = 800_000):
+def load(data: bytes, memo: int = 700_000):
     """Encoder and decoder of a tokenizer file, kept for the life of the worker."""
     def make():
         spec = json.loads(data)
