@@ -242,7 +242,7 @@ SELECT md5(text) AS id, doc_id AS pos, source, lang FROM documents
 QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1""")
 
 oracle("dedup_any", """
-SELECT count(*) AS articles, CAST(sum(length(t)) AS BIGINT) AS chars FROM (SELECT DISTINCT text AS t FROM documents)""")
+SELECT DISTINCT md5(text) AS id, length(text) AS chars, text FROM documents""")
 
 _LISTING = """
 l AS (

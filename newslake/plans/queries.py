@@ -372,8 +372,9 @@ def keep_first_query(spark, sf_dir):
 
 @query
 def dedup_any_query(spark, sf_dir):
+    """Copies of a text are alike, whichever of them stays."""
     return dedup_any(table(spark, sf_dir, "documents").select(F.md5("text").alias("id"), "lang", "source", "text")) \
-        .agg(F.count("*").alias("articles"), F.sum(F.length("text")).alias("chars"))
+        .select("id", F.length("text").cast("bigint").alias("chars"), "text")
 
 
 EVENT_ORDER = ("newer", "tie")
@@ -699,7 +700,7 @@ def job_full(spark, sf_dir):
 # ---- runs on the lake
 
 def run_listing(spark, sf_dir):
-    """Documents as a listing of one source for each language, newest first, whose articles are pages of a rule."""
+    """Documents as a listing, newest first, in categories whose names need escapes; their pages follow a rule."""
     return table(spark, sf_dir, "documents").select(
         F.lit("u.today").alias("source"), F.concat_ws(" & 50%: ", "lang", "source").alias("category"),
         (-F.col("doc_id")).alias("pos"), text.url_id(doc_url()).alias("id"), doc_url().alias("url"),
@@ -841,26 +842,21 @@ def _landed(spark, rows, folder):
     rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(folder)
 
 
-def _lines_stream(spark, landing):
-    """A stream of landed text files; Spark's own names end in .txt."""
-    return ingest.landed_batches(spark, landing)
-
-
 @query
 def stream_late_files(spark, sf_dir):
-    """Files that land with a time stamp ten years old, after a first run, and one that is broken."""
+    """Files that land with a time stamp years old, after a first run, and some that hold no JSON."""
     landing, out, marks = (scratch_path(spark, n) for n in ("landing", "stream", "marks"))
     rows = A.to_article(event_articles(spark, sf_dir))
     number = F.conv(F.substring("id", 1, 4), 16, 10).cast("int")
     _landed(spark, rows.filter(number % 2 == 0), f"{landing}/first")
-    ingest.run_ingest(_lines_stream(spark, landing), out, marks)
+    ingest.run_ingest(ingest.landed_batches(spark, landing), out, marks)
     _landed(spark, rows.filter(number % 2 == 1), f"{landing}/late")
     cut = rows.groupBy("source").agg(F.substring(F.min("url"), 1, 5).alias("value"))
     cut.select("value", F.col("source").alias("kind")).write.partitionBy("kind").text(f"{landing}/other")
     paths = spark._jvm.org.apache.hadoop.fs
     for status in paths.Path(f"{landing}/late").getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(paths.Path(f"{landing}/late")):
         status.getPath().getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(status.getPath(), 1_400_000_000_000, -1)
-    ingest.run_ingest(_lines_stream(spark, landing), out, marks)
+    ingest.run_ingest(ingest.landed_batches(spark, landing), out, marks)
     left = ingest.rejected_files(spark, out).select(
         F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("url"),
         F.concat_ws(" ", F.regexp_extract("path", "kind=([a-z_]+)", 1), "problem").alias("problem"))
@@ -874,7 +870,7 @@ def stream_dedup(spark, sf_dir):
     rows = A.to_article(event_articles(spark, sf_dir))
     for run in ("first", "second"):
         _landed(spark, rows, f"{landing}/{run}")
-        ingest.run_ingest(_lines_stream(spark, landing), out, marks, dedup=True)
+        ingest.run_ingest(ingest.landed_batches(spark, landing), out, marks, dedup=True)
     return ingest.published_table(spark, out)
 
 
@@ -884,7 +880,7 @@ def stream_dedup_within(spark, sf_dir):
     landing, out, marks = (scratch_path(spark, n) for n in ("landing", "stream", "marks"))
     rows = A.to_article(event_articles(spark, sf_dir))
     _landed(spark, rows.unionByName(rows), landing)
-    stream = ingest.dedup_within(ingest.landed_articles(_lines_stream(spark, landing)))
+    stream = ingest.dedup_within(ingest.landed_articles(ingest.landed_batches(spark, landing)))
     stream.writeStream.format("parquet").option("checkpointLocation", marks).trigger(availableNow=True).start(out).awaitTermination()
     return spark.read.schema(rows.schema).parquet(out).select("source", "id")
 
