@@ -119,8 +119,11 @@ class Field:
         pairs = mask[:, 1:, None, None] * 1.0
         gold_move = (gold[:, :-1, :, None] * gold[:, 1:, None, :]).sum((0, 1))
         total = mask.sum()
+        # Many lines have the same features; each such set is scored once.
+        sets, of_line = np.unique(places[mask], axis=0, return_inverse=True)
+        of_line, scores = of_line.ravel(), np.zeros((n, length, 2))
         for step in range(1, rounds + 1):
-            scores = self.emit[places].sum(axis=2)
+            scores[mask] = self.emit[sets].sum(axis=1)[of_line]
             ahead, behind = np.zeros((n, length, 2)), np.zeros((n, length, 2))
             ahead[:, 0] = self.first + scores[:, 0]
             for t in range(1, length):
@@ -134,8 +137,8 @@ class Field:
             edge = np.exp(ahead[:, :-1, :, None] + self.move + (scores + behind)[:, 1:, None, :]
                           - norm[:, None, None, None]) * pairs
             miss = (gold - node)[mask]
-            emit = np.stack([np.bincount(places[mask].ravel(), np.repeat(miss[:, y], places.shape[2]), N_FEATURES)
-                             for y in (0, 1)], 1)
+            by_set = [np.bincount(of_line, miss[:, y], len(sets)) for y in (0, 1)]
+            emit = np.stack([np.bincount(sets.ravel(), np.repeat(x, sets.shape[1]), N_FEATURES) for x in by_set], 1)
             slopes = [emit, gold_move - edge.sum((0, 1)), (gold[:, 0] - node[:, 0]).sum(0)]
             for w, g, (m, v) in zip(weights, slopes, moments):
                 g = g / total - decay * w
