@@ -8,7 +8,7 @@ from newslake.operators import articles as A
 from newslake.operators import state
 from newslake.operators.cut import resume_after, take_until_seen
 from newslake.operators.dedup import dedup_any, keep_first
-from newslake.operators.ranking import assign_batches, top_n
+from newslake.operators.ranking import assign_batches, rank_all, top_n
 from newslake.plans import jobs
 from newslake.plans.source_pages import SAMPLES
 from newslake.schema import NO_CONTENT, NO_DATE, NO_TITLE
@@ -603,7 +603,7 @@ def migrate_all(spark, sf_dir):
 
 @query
 def migrate_mixed(spark, sf_dir):
-    """Files of four shapes: one list per source, lone objects, lines, and, for each language, a file cut short.
+    """Files of four shapes: lists of a hundred rows of a source, lone objects, lines, and, for each language, a file cut short.
 
     Rows and rejects of each shape, and the total that the counts give.
     """
@@ -613,8 +613,10 @@ def migrate_mixed(spark, sf_dir):
         .withColumn("title", F.concat_ws("/", "lang", "doc_id")))
     parts = F.split("title", "/")
     text_of = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"), parts[0].alias("lang"), parts[1].cast("bigint").alias("n"), "source")
-    lists = text_of.filter("n % 4 < 2").groupBy("source").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
-    lists.select("value", "source").write.partitionBy("source").text(f"{root}/web_crawler/lists")
+    # A list is one value and one file, so it holds a batch of a hundred rows, however many its source has.
+    batches = rank_all(text_of.filter("n % 4 < 2"), ("source",), ("n",)).withColumn("batch", F.floor((F.col("rn") - 1) / 100).cast("bigint"))
+    lists = batches.groupBy("source", "batch").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    lists.select("value", "source", "batch").write.partitionBy("source", "batch").text(f"{root}/web_crawler/lists")
     text_of.filter("n % 4 = 2").select("value", "source").write.partitionBy("source").text(f"{root}/web_crawler/lines")
     lone = text_of.filter("n % 100 = 3").select("value", F.col("n").alias("name"))
     lone.write.partitionBy("name").text(f"{root}/web_crawler/lone")
