@@ -4,6 +4,13 @@ A value is recognised by its form and, where its kind has one, its check (Luhn,
 read as a number below the count of valid values of its format, that number is permuted under the key, and the result
 is written in the same format with new check digits. The permutation has no state, so equal values get equal
 pseudonyms in all documents and on all machines, and whoever has the key can undo it.
+
+Secrets are what follows a keyword in any case, to the end of the token. Dates are year-month-day, day-month-year and,
+where that is no date, month-day-year, with parts of one or two digits, and months by their English names before or
+after the day. These forms stay as they are: secrets of fewer than eight characters, without a keyword, after one that
+is part of a longer name (``DB_PASSWORD``), or from the first character on that is not a letter, a digit or one of
+``_+/.=-``; dates with years of two digits or outside 1900 to 2099, ordinals (25th), names of months in upper or
+lower case or in other languages, dates without a year, and times of day.
 """
 
 import datetime
@@ -21,6 +28,7 @@ ROUNDS = 10
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _MONTHS = ("January February March April May June July August September October November December").split()
 _MONTH_NUMBERS = {m[:3].lower(): k + 1 for k, m in enumerate(_MONTHS)}
+_PIECE = 128
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
 
 
@@ -170,33 +178,58 @@ def _mail(f, m, undo):
 
 def _date(f, m, undo):
     part = m.groupdict()
+    form = next(k for k in "1234" if part[f"y{k}"])
+    year, month, day = (part[c + form] for c in "ymd")
+    month_first = False
     try:
-        if part["y1"]:
-            day = datetime.date(int(part["y1"]), int(part["m1"]), int(part["d1"]))
-        elif part["y2"]:
-            day = datetime.date(int(part["y2"]), int(part["m2"]), int(part["d2"]))
+        if form in "34":
+            when = datetime.date(int(year), _MONTH_NUMBERS[month[:3].lower()], int(day))
         else:
-            day = datetime.date(int(part["y3"]), _MONTH_NUMBERS[part["m3"][:3].lower()], int(part["d3"]))
+            if form == "2" and int(month) > 12:
+                month_first, month, day = True, day, month
+            when = datetime.date(int(year), int(month), int(day))
     except ValueError:
         return None
-    number = day.toordinal() - _FIRST_DAY
+    number = when.toordinal() - _FIRST_DAY
     if not 0 <= number < _DAYS:
         return None
-    new = datetime.date.fromordinal(f.permute(number, _DAYS, "date", undo) + _FIRST_DAY)
-    if part["y1"]:
-        return f"{new.year}{part['s1']}{new.month:02d}{part['s1']}{new.day:02d}"
-    if part["y2"]:
-        return f"{new.day:02d}{part['s2']}{new.month:02d}{part['s2']}{new.year}"
+
+    def fits(new):
+        """The date can be written in this form, and is read in the same way again."""
+        if form == "3":
+            return True
+        if len(day) == 1 and new.day > 9 or month_first and new.day < 13:
+            return False
+        return (len(month) == 3 or new.month != 5) if form == "4" else len(month) == 2 or new.month < 10
+    # Permuted until it fits, which permutes the dates that do.
+    while True:
+        number = f.permute(number, _DAYS, "date", undo)
+        new = datetime.date.fromordinal(number + _FIRST_DAY)
+        if fits(new):
+            break
     name = _MONTHS[new.month - 1]
-    name = name if len(part["m3"]) > 3 and part["m3"].lower() != "may" else name[:3]
-    return f"{name} {new.day}, {new.year}"
+    if form == "3":
+        name = name if len(month) > 3 and month.lower() != "may" else name[:3]
+        return f"{name} {new.day}, {new.year}"
+    new_day, new_month = f"{new.day:0{len(day)}d}", f"{new.month:0{len(month)}d}"
+    if form == "4":
+        return f"{new_day} {name if len(month) > 3 else name[:3]}{part['g4']}{new.year}"
+    if form == "1":
+        return f"{new.year}{part['s1']}{new_month}{part['s1']}{new_day}"
+    return f"{part['s2']}".join((new_month, new_day) if month_first else (new_day, new_month)) + f"{part['s2']}{new.year}"
 
 
 def _secret(f, m, undo):
     head, value = m["head"], m["value"]
-    if re.fullmatch(r"[0-9a-f]+", value):
-        return head + f.digits(value, "0123456789abcdef", "secret", undo)
-    return head + f.characters(value, "secret", undo)
+    if not any(map(str.isalnum, value)):
+        return None
+    # Long values in even pieces, as the cost of a number grows with the square of its length.
+    n, made = -(-len(value) // _PIECE), []
+    plain_hex = re.fullmatch(r"[0-9a-f]+", value)
+    for k in range(n):
+        piece, tweak = value[len(value) * k // n:len(value) * (k + 1) // n], f"secret{k}" if k else "secret"
+        made.append(f.digits(piece, "0123456789abcdef", tweak, undo) if plain_hex else f.characters(piece, tweak, undo))
+    return head + "".join(made)
 
 
 def _access_key(f, m, undo):
@@ -206,15 +239,16 @@ def _access_key(f, m, undo):
 _KINDS = {
     "email": (r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-])", _mail),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])", _access_key),
-    "secret": (r"(?P<head>\b(?:token|password|passwd|secret|api_?key)\b\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9_+/-]{8,128})", _secret),
+    "secret": (r"(?P<head>\b(?i:token|password|passwd|secret|api_?key)\b\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9_+/.=-]{8,})", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])", _iban),
     "card": (r"(?<![\d.-])(?:\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}(?P<sep2>[ -])\d{6}(?P=sep2)\d{5}|\d{13,19})(?!\d)", _card),
     "phone": (r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)", _phone),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _social),
     "address": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _address),
-    "date": (r"(?<![\d/.-])(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<m1>\d\d)(?P=s1)(?P<d1>\d\d)(?![\d/-])"
-             r"|(?<![\d/.-])(?P<d2>\d\d)(?P<s2>[-/.])(?P<m2>\d\d)(?P=s2)(?P<y2>(?:19|20)\d\d)(?![\d/-])"
-             r"|\b(?P<m3>(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]{0,6})\.? (?P<d3>\d{1,2}), (?P<y3>(?:19|20)\d\d)\b", _date),
+    "date": (r"(?<![\d/.-])(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<m1>\d{1,2})(?P=s1)(?P<d1>\d{1,2})(?![\d/-])"
+             r"|(?<![\d/.-])(?P<d2>\d{1,2})(?P<s2>[-/.])(?P<m2>\d{1,2})(?P=s2)(?P<y2>(?:19|20)\d\d)(?![\d/-])"
+             r"|\b(?P<m3>(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]{0,6})\.? (?P<d3>\d{1,2}), (?P<y3>(?:19|20)\d\d)\b"
+             rf"|(?<![\d/.-])(?P<d4>\d{{1,2}}) (?P<m4>{'|'.join(_MONTHS)}|{'|'.join(m[:3] for m in _MONTHS)})(?P<g4>\.?,? )(?P<y4>(?:19|20)\d\d)\b", _date),
 }
 _PATTERNS = [(kind, re.compile(pattern), change) for kind, (pattern, change) in _KINDS.items()]
 _ANY = re.compile(r"[0-9@=:]")
