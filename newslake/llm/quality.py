@@ -110,9 +110,13 @@ class Field:
             labels.append(label)
         return np.array(labels[::-1])
 
-    def train(self, places, mask, labels, rounds: int = 150, rate: float = 0.1, decay: float = 1e-3):
-        """Maximise the conditional likelihood of ``labels`` over padded sequences ``(sequence, line, feature)``."""
+    def train(self, places, mask, labels, rounds: int = 150, rate: float = 0.1, decay: float = 1e-3, begins=None):
+        """Maximise the conditional likelihood of ``labels`` over padded sequences ``(sequence, line, feature)``.
+
+        ``begins`` says which sequences begin a text, all unless given; in the others the first line is as any other.
+        """
         n, length = mask.shape
+        begins = np.ones((n, 1)) if begins is None else np.asarray(begins, float).reshape(n, 1)
         weights = [self.emit, self.move, self.first]
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
         gold = np.eye(2)[labels] * mask[..., None]
@@ -125,7 +129,7 @@ class Field:
         for step in range(1, rounds + 1):
             scores[mask] = self.emit[sets].sum(axis=1)[of_line]
             ahead, behind = np.zeros((n, length, 2)), np.zeros((n, length, 2))
-            ahead[:, 0] = self.first + scores[:, 0]
+            ahead[:, 0] = self.first * begins + scores[:, 0]
             for t in range(1, length):
                 x = np.logaddexp.reduce(ahead[:, t - 1, :, None] + self.move, axis=1) + scores[:, t]
                 ahead[:, t] = np.where(mask[:, t, None], x, ahead[:, t - 1])
@@ -139,7 +143,7 @@ class Field:
             miss = (gold - node)[mask]
             by_set = [np.bincount(of_line, miss[:, y], len(sets)) for y in (0, 1)]
             emit = np.stack([np.bincount(sets.ravel(), np.repeat(x, sets.shape[1]), N_FEATURES) for x in by_set], 1)
-            slopes = [emit, gold_move - edge.sum((0, 1)), (gold[:, 0] - node[:, 0]).sum(0)]
+            slopes = [emit, gold_move - edge.sum((0, 1)), ((gold[:, 0] - node[:, 0]) * begins).sum(0)]
             for w, g, (m, v) in zip(weights, slopes, moments):
                 g = g / total - decay * w
                 m += 0.1 * (g - m)
@@ -153,9 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_texts: int = 3_000, max_lines: i
     """Train from documents with a ``quality`` label: the lines of good ones are content, of bad ones boilerplate.
 
     That is a weak label, for bad documents hold some good lines; as such lines are many in good documents, they
-    come out as content. Learned from: of each quality, the half of ``max_texts`` ids that are least by hash; from
-    each text its first ``max_lines`` lines with a word. These bounds are the trainer's alone. Without labels of both
-    kinds the field is empty and marks all as content.
+    come out as content. Learned from: of each quality, the half of ``max_texts`` ids that are least by hash, with all
+    lines of their texts, cut into chains of ``max_lines`` lines; of more than ``4 * max_texts`` chains those that are
+    least by hash, wherever in a text they stand. These bounds are the trainer's alone. Without labels of both kinds
+    the field is empty and marks all as content.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
         F.min("quality").cast("int").alias("quality"))
@@ -164,14 +169,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_texts: int = 3_000, max_lines: i
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for text in batch.column(0):
-                lines = lines_of(text.as_py() or "")[:max_lines]
-                rows.append(line_features(lines)[0].ravel().tolist() if lines else [])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), batch.column(1)], ["places", "quality"])
-
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(chosen, "_id").select("text", "quality")
-    rows = [r for r in texts.mapInArrow(run, "places array<int>, quality int").limit(4 * max_texts).collect() if r.places]
+            rows, chains, of_text = [], [], []
+            for k, text in enumerate(batch.column(1)):
+                lines = lines_of(text.as_py() or "")
+                found = line_features(lines)[0] if lines else []
+                for chain, at in enumerate(range(0, len(found), max_lines)):
+                    rows.append(found[at:at + max_lines].ravel().astype(np.int32))
+                    chains.append(chain)
+                    of_text.append(k)
+            of_text = pa.array(of_text, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(of_text), pa.array(chains, pa.int64()), pa.array(rows, pa.list_(pa.int32())), batch.column(2).take(of_text)],
+                ["_id", "chain", "places", "quality"])
+
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(chosen, "_id").select("_id", "text", "quality")
+    kind = texts.schema["_id"].dataType.simpleString()
+    cut = texts.mapInArrow(run, f"_id {kind}, chain bigint, places array<int>, quality int")
+    rows = cut.orderBy(F.xxhash64("_id", "chain"), "_id", "chain").limit(4 * max_texts).select("chain", "places", "quality").collect()
     if {r.quality for r in rows} != {0, 1}:
         return Field()
     width = len(_FEATURES)
@@ -182,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_texts: int = 3_000, max_lines: i
         places[k, :n] = np.array(row.places).reshape(n, width)
         mask[k, :n] = True
     graded = np.repeat(np.array([r.quality for r in rows])[:, None], length, axis=1)
-    return Field().train(places, mask, graded)
+    return Field().train(places, mask, graded, begins=[r.chain == 0 for r in rows])
 
 
 def judge(text: str, field: Field, min_share: float = 0.5):
