@@ -36,12 +36,15 @@ class Memo(dict):
         if value is None:
             value = self.compute(key)
         if len(key) <= 64:
-            if len(self) >= self.limit:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
+            self.put(key, value)
         return value
 
+    def put(self, key, value):
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
 
 _GAP = re.compile(r"[\t\n\x0b\x0c\r ]")
 

@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import archive, bpe, chat, exact, packing, pii, quality, simhash, token_counts, toxicity
+from newslake.llm import (
+    archive, bpe, chat, eliasfano, exact, hard_negatives, packing, pii, quality, simhash, token_counts, toxicity, vafile,
+)
 from newslake.llm.common import table
 from newslake.session import prepare
 
@@ -82,3 +84,19 @@ def op7_chat(spark, sf_dir):
 @query
 def op8_warc(spark, sf_dir):
     return archive.archive_pages(table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", label)
+
+
+@query
+def op12_token_files(spark, sf_dir):
+    return eliasfano.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_clusters(spark, sf_dir):
+    return vafile.cluster(table(spark, sf_dir, "embeddings"))

@@ -16,7 +16,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 def test_one_query_for_each_operator():
     names = list(queries.all_queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(entry_module.queries())
     assert set(oracles.all_oracles()) <= set(entry_module.oracle_sql())
 
