@@ -4,6 +4,7 @@ import argparse
 
 from newslake.plans import jobs
 from newslake.session import build_session
+from newslake.sources import lake, published
 
 
 def main(argv=None):
@@ -16,8 +17,12 @@ def main(argv=None):
     migrate = commands.add_parser("migrate", help="publish every batch below a folder")
     migrate.add_argument("root")
     migrate.add_argument("output")
-    migrate.add_argument("--format", default="parquet")
+    migrate.add_argument("--format", help="append to a store of this format instead of a run of the published table")
     migrate.add_argument("--mode", choices=["FAILFAST", "PERMISSIVE"], default="FAILFAST")
+    migrate.add_argument("--run", help="a name, so that the migration can be started again; default: after the root")
+    compact = commands.add_parser("compact", help="lay small runs of a lake or published table out anew in few files")
+    compact.add_argument("kind", choices=["lake", "published"])
+    compact.add_argument("root")
     runs = {
         "incremental": ("one run from listing and page tables to the published table", ["listing", "pages", "root", "published"]),
         "pages": ("the same from raw listing pages", ["listing_pages", "pages", "root", "published"]),
@@ -41,8 +46,10 @@ def main(argv=None):
     if args.command == "concat":
         jobs.concat(spark, args.inputs, args.output, args.dedup)
     elif args.command == "migrate":
-        jobs.migrate_all(spark, args.root, args.output, args.format, args.mode)
+        jobs.migrate_all(spark, args.root, args.output, args.mode, args.run, args.format)
         jobs.migrate_counts(spark, args.root).filter("path IS NULL OR problem IS NOT NULL").show(1000, False)
+    elif args.command == "compact":
+        (lake if args.kind == "lake" else published).compact(spark, args.root)
     elif args.command in ("incremental", "pages"):
         job = jobs.run_incremental if args.command == "incremental" else jobs.run_from_pages
         listing = spark.read.parquet(args.listing if args.command == "incremental" else args.listing_pages)

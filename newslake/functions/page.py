@@ -39,7 +39,7 @@ def drop_elements(html: Column, tag: str, class_name: str) -> Column:
     return F.regexp_replace(html, rf'(?is)<{tag}[^>]*class="{class_name}"[^>]*>.*?</{tag}>', "")
 
 
-def _text_nodes(html: Column) -> Column:
+def text_nodes(html: Column) -> Column:
     """What stands between markup: decoded, stripped, empty ones left out."""
     nodes = F.transform(F.split(html, _MARKUP), lambda node: strip(unescape(node)))
     return F.filter(nodes, lambda node: node != "")
@@ -47,12 +47,12 @@ def _text_nodes(html: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Text nodes, joined by one blank."""
-    return F.array_join(_text_nodes(html), " ")
+    return F.array_join(text_nodes(html), " ")
 
 
 def tight_text(html: Column) -> Column:
     """Text nodes with nothing between them."""
-    return F.array_join(_text_nodes(html), "")
+    return F.array_join(text_nodes(html), "")
 
 
 def with_first_text(pages: DataFrame, name: str, default: str, *tags: str, html: str = "html") -> DataFrame:

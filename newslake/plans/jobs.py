@@ -11,15 +11,16 @@ from newslake.operators.common import KEYS, ORDER, attach
 from newslake.operators.cut import resume_after, take_until_seen
 from newslake.operators.dedup import dedup_any, keep_first
 from newslake.operators.ranking import assign_batches
-from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE
-from newslake.session import passing, staged
+from newslake.schema import ARTICLE_COLUMNS, BATCH_SIZE, NO_CONTENT
+from newslake.session import exists, passing, scratch_path, staged
 from newslake.sources import lake
 from newslake.sources.articles import (
-    articles_from_hits, list_batches, read_articles, read_batch_files, read_batches_ordered,
+    articles_from_hits, list_batches, read_articles, read_batches_ordered, read_files,
 )
-from newslake.sources.extract import explode_listing, extract_articles
+from newslake.sources.extract import extract_articles, listing_cards, page_rejects
 from newslake.sources.published import publish, run_name
 from newslake.sources.rules import RULES
+from newslake.sources.runs import committed
 from newslake.sources.sinks import write_articles
 
 SITE = ("site", "category")
@@ -55,21 +56,37 @@ def migrate_counts(spark: SparkSession, root) -> DataFrame:
 
     Of each article only the id is parsed.
     """
-    files = read_batch_files(spark, root, "id string")
-    per_file = files.select("path", F.size("rows").cast("bigint").alias("n"), "problem")
-    return per_file.filter(F.col("problem").isNotNull()).select("path", F.lit(0).cast("bigint").alias("inserted"), "problem") \
-        .unionByName(per_file.filter(F.col("problem").isNull()).rollup("path").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("inserted"))
-                     .withColumn("problem", F.lit(None).cast("string")))
+    rows, rejects = read_files(spark, root, "id string")
+    counted = rows.groupBy("path").agg(F.count("*").alias("n"))
+    return rejects.select("path", F.lit(0).cast("bigint").alias("inserted"), "problem").unionByName(
+        counted.rollup("path").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("inserted")).withColumn("problem", F.lit(None).cast("string")))
 
 
-def migrate_all(spark: SparkSession, root, output: str, fmt: str = "parquet", mode: str = "FAILFAST") -> DataFrame:
-    """Publish all batches below ``root``; returns the files left out, with their problem.
+def migrate_all(spark: SparkSession, root, output: str, mode: str = "FAILFAST", run: str | None = None,
+                fmt: str | None = None) -> DataFrame:
+    """Publish all batches below ``root`` as one run; returns the files left out, with their problem.
 
-    By default a file that holds no articles fails the job before anything is written; with ``mode="PERMISSIVE"`` it is
-    among those returned, and the others are written.
+    The run is named after the root unless it is told, so a migration that is started again, or stopped and started, counts
+    once. With ``fmt`` the rows are appended to a store of that format instead, which a second start doubles. By default a
+    file that holds no articles fails the job before anything is written; with ``mode="PERMISSIVE"`` it is among those
+    returned, and the others are written. Files are parsed once.
     """
-    migrate_rows(spark, root, mode).drop("path").write.mode("append").format(fmt).save(output)
-    return read_batches_ordered(spark, root, "PERMISSIVE")[1]
+    if mode not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"mode must be 'FAILFAST' or 'PERMISSIVE', not {mode!r}")
+    run = run or run_name("migrate", root)
+    left = f"{output}/rejects/run={run}" if fmt is None else scratch_path(spark, "rejects")
+    if fmt is not None or not committed(spark, output, run):
+        with passing(spark):
+            rows, rejects = read_files(spark, root)
+            first = rejects.first() if mode == "FAILFAST" else None
+            if first is not None:
+                raise ValueError(f"{first.path}: {first.problem}")
+            rejects.write.mode("overwrite").parquet(left)
+            if fmt is None:
+                publish(rows.select(*ARTICLE_COLUMNS), output, run)
+            else:
+                to_document(rows.select(*ARTICLE_COLUMNS)).write.mode("append").format(fmt).save(output)
+    return spark.read.schema("path string, problem string").parquet(left)
 
 
 def _articles(rows: DataFrame, details: DataFrame, extra) -> DataFrame:
@@ -169,6 +186,30 @@ def publish_run(spark: SparkSession, root: str, run: str, published: str, mode:
         publish(lake.batch_rows(spark, root, chosen).select(*ARTICLE_COLUMNS), published, run, mode)
 
 
+def _store_page_rejects(spark: SparkSession, root: str, run: str, pages: DataFrame, rules) -> None:
+    """Of the run's articles without content, those whose page is missing, unreadable or without a rule (``page_rejects``).
+
+    Only their pages are read again.
+    """
+    path = f"{root}/page_rejects/run={run}"
+    chosen = lake.batch_manifest(spark, root).filter(F.col("run") == run)
+    if exists(spark, f"{path}/_SUCCESS") or chosen.isEmpty():
+        return
+    empty = staged(lake.batch_rows(spark, root, chosen).filter(F.col("content") == NO_CONTENT).select("url", "source").distinct(), "empty")
+    held = pages.join(empty.select("url"), "url", "left_semi")
+    broken = page_rejects(held, rules).select("page_id", "url", "source", "reason")
+    absent = empty.join(pages.select("url"), "url", "left_anti").select(
+        F.lit(None).cast("bigint").alias("page_id"), "url", "source", F.lit("no page").alias("reason"))
+    broken.unionByName(absent).write.mode("overwrite").parquet(path)
+
+
+def run_page_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """``page_id, url, source, reason, run`` of the pages that runs could read no text from."""
+    schema = "page_id bigint, url string, source string, reason string, run string"
+    path = f"{root}/page_rejects"
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: str, published: str, stamp: int,
                     rules=None, max_news: int | None = None, on_no_match: str = "rule", order=ORDER,
                     rejects: DataFrame | None = None, recent: int | None = None) -> str:
@@ -185,11 +226,12 @@ def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, r
         if not lake.committed(spark, root, run):
             rows = _by_site(listing, rules)
             marks = None if rejects is None else _by_site(rejects, rules)
-            known = lake.known_ids(spark, root, stamp, recent)
-            begun = staged(known.select(*SITE).distinct().withColumn("_begun", F.lit(True)), "begun")
-            # Known ids are reduced to those that the listing or its rejects show, the only ones that can end it.
+            begun = staged(lake.begun(spark, root, stamp).withColumn("_begun", F.lit(True)), "begun")
+            # Only ids that the listing or its rejects show can end it.
             shown = rows.select(*SITE, "id") if marks is None else rows.select(*SITE, "id").union(marks.select(*SITE, "id"))
-            known = attach(known, staged(shown.distinct(), "shown"), [*SITE, "id"], "left_semi")
+            shown = staged(shown.distinct(), "shown")
+            known = lake.known_among(spark, root, shown, stamp) if recent is None \
+                else attach(lake.known_ids(spark, root, stamp, recent), shown, [*SITE, "id"], "left_semi")
             if on_no_match == "rule":
                 keep = _of_rules(F.col("source"), rules, lambda r: r.on_no_match, "keep") == "keep"
                 on_no_match = F.col("_begun").isNull() | keep
@@ -199,6 +241,7 @@ def run_incremental(spark: SparkSession, listing: DataFrame, pages: DataFrame, r
                 wanted = pages.join(fresh.select("url"), "url", "left_semi")
                 found = _articles(fresh, extract_articles(wanted, rules), (*SITE, "rn"))
                 lake.write_batch_rows(found.withColumns({"batch_no": F.lit(stamp), "pos": F.col("rn") - 1}), root, run, "incremental")
+        _store_page_rejects(spark, root, run, pages, rules)
         publish_run(spark, root, run, published)
     return run
 
@@ -223,6 +266,7 @@ def run_full(spark: SparkSession, listing: DataFrame, pages: DataFrame, root: st
                 wanted = pages.join(numbered.select("url"), "url", "left_semi")
                 found = _articles(numbered, extract_articles(wanted, rules), (*SITE, "batch_no", "rn", "_size"))
                 lake.write_batch_rows(found.withColumn("pos", (F.col("rn") - 1) % F.col("_size")), root, run, "initial")
+        _store_page_rejects(spark, root, run, pages, rules)
     return run
 
 
@@ -234,13 +278,12 @@ def run_from_pages(spark: SparkSession, listing_pages: DataFrame, pages: DataFra
     a listing like any known card.
     """
     order = ("page_id", "pos")
-    rows, rejects = explode_listing(listing_pages, rules, tz_policy)
     run = f"incremental_{stamp}"
     path = f"{root}/rejects/run={run}"
     with passing(spark):
-        cards = staged(rows.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejects), "cards")
+        cards = staged(listing_cards(listing_pages, rules, tz_policy), "cards")
         cards.filter(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(path)
-        left = spark.read.schema(rejects.schema).parquet(path)
+        left = spark.read.schema(cards.schema).parquet(path)
         run_incremental(spark, cards.filter(F.col("reject_reason").isNull()).drop("reject_reason"), pages, root, published,
                         stamp, rules, order=order, rejects=left, **options)
     return left

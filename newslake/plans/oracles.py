@@ -376,23 +376,33 @@ SELECT p.category, pos AS rn, content, md5(url) AS id, CAST(NULL AS BIGINT) AS p
 FROM p JOIN stops ON p.category = stops.category WHERE pos < stop""")
 
 
+oracle("read_large_json", """
+SELECT doc_id // 20000 AS file, row_number() OVER (PARTITION BY doc_id // 20000 ORDER BY doc_id) - 1 AS pos,
+       md5('https://docs.example/' || source || '/' || lang || '/' || doc_id) AS id,
+       'https://docs.example/' || source || '/' || lang || '/' || doc_id AS url,
+       '} "]\\ {' || lang AS title, text AS content, NULL AS problem FROM documents
+UNION ALL
+SELECT DISTINCT doc_id // 20000, NULL, NULL, NULL, NULL, NULL, 'cut broken JSON' FROM documents""")
+
 oracle("migrate_mixed", f"""
 WITH {_DOCS}, d AS (
   SELECT d.*, documents.source AS src, lang FROM docs d JOIN documents ON documents.doc_id = d.doc_id)
 SELECT md5(url) AS id, src AS source, url, NULL AS problem, CAST(NULL AS BIGINT) AS inserted FROM d
-WHERE doc_id % 4 < 3 OR doc_id % 100 = 3
 UNION ALL
-SELECT DISTINCT NULL, NULL, NULL, lang || ' broken JSON', CAST(NULL AS BIGINT) FROM d WHERE doc_id % 4 = 3
+SELECT DISTINCT NULL, NULL, NULL, lang || ' broken JSON', CAST(NULL AS BIGINT) FROM d
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, count(*) FROM d WHERE doc_id % 4 < 3 OR doc_id % 100 = 3""")
+SELECT NULL, NULL, NULL, NULL, count(*) FROM d""")
 
-_WORDS = strip(f"regexp_replace({FIRST_LINE}, '[<>&]', '', 'g')")
+_LINES = f"""array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda l: {strip('l')}), lambda l: l <> ''), ' ')"""
 _LISTED = f"""
 listed AS (
   SELECT doc_id, lang || ' & 50%: ' || source AS category,
          md5('https://docs.example/' || source || '/' || lang || '/' || doc_id) AS id, 'document ' || doc_id AS title,
-         {default(_WORDS, 'No content')} AS content
-  FROM documents)"""
+         {default(_LINES, 'No content')} AS content
+  FROM documents),
+halves AS (
+  SELECT *, doc_id <= (min(doc_id) OVER (PARTITION BY category) + max(doc_id) OVER (PARTITION BY category)) // 2 AS older
+  FROM listed)"""
 
 
 def _run_rows(rows, published=False):
@@ -412,7 +422,7 @@ def _batches(rows, base="0"):
 
 _INCREMENTAL = f"""
 WITH {_LISTED},
-known AS (SELECT * FROM listed WHERE doc_id % 7 = 0),
+known AS (SELECT * EXCLUDE (older) FROM halves WHERE older),
 stops AS (SELECT category, max(doc_id) AS stop FROM known GROUP BY category),
 first AS ({_batches('known')}),
 fresh AS (
@@ -433,7 +443,7 @@ stored AS (
 
 _FULL = f"""
 WITH {_LISTED},
-begun AS (SELECT * FROM listed WHERE doc_id % 3 > 0),
+begun AS (SELECT * EXCLUDE (older) FROM halves WHERE NOT older),
 last AS (SELECT category, min(doc_id) AS cut, count(*) AS base FROM begun GROUP BY category),
 first AS ({_batches('begun')}),
 rest AS (
@@ -449,7 +459,7 @@ oracle("stream_restart", _MIGRATED)
 oracle("job_from_listing_pages", f"""
 WITH docs AS (
   SELECT doc_id, md5('https://docs.example/' || source || '/' || lang || '/' || doc_id) AS id, 'T ' || doc_id AS title,
-         {default(_WORDS, 'No content')} AS content,
+         {default(_LINES, 'No content')} AS content,
          row_number() OVER (PARTITION BY doc_id // 10 ORDER BY doc_id) - 1 AS place FROM documents),
 good AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM docs WHERE doc_id % 10 <> 7)
 SELECT 'u.today' AS site, 'news' AS category, 'incremental' AS kind, CAST(9 AS BIGINT) AS seq, pos, id, title, content FROM good
@@ -471,6 +481,14 @@ SELECT NULL, NULL, event_type || ' broken JSON' FROM (SELECT DISTINCT event_type
 oracle("stream_dedup_within", f"WITH {_EVENTS} SELECT source, id FROM ev")
 
 
+# What sources do to the text they have read.
+_STEPS = {
+    "beincrypto.com": "replace({}, chr(10), ' ')",
+    "globalcryptopress.com": "regexp_replace({}, '-{{2,}}', '', 'g')",
+    "theblockcrypto.com": "replace({}, 'Quick take:', '')",
+}
+
+
 def _sample(source, x):
     def dated(value):
         return "NULL" if value is None else f"replace({quoted(value)}, '@d@', d)"
@@ -479,16 +497,16 @@ def _sample(source, x):
     url = "'https://sources.example/' || page_id"
     return f"""
 SELECT 'page' AS step, {quoted(source)} AS source, page_id, {url} AS url, {title if x.titled == "page" else "NULL"} AS title,
-       a || ' Body ' || page_id AS content, {date if x.dated == "page" else "NULL"} AS published_at, NULL AS reject_reason FROM w
+       {_STEPS.get(source, "{}").format("a || ' Body ' || page_id")} AS content, {date if x.dated == "page" else "NULL"} AS published_at, NULL AS reject_reason FROM w
 UNION ALL
 SELECT 'card', {quoted(source)}, page_id, {quoted(x.base + "/") + " || page_id" if x.base else url}, {card_title}, NULL, {date if x.dated == "card" else "NULL"},
        {"CASE WHEN page_id % 5 = 4 THEN 'unreadable date' END" if x.dated == "card" and x.unread is None else "NULL"} FROM w"""
 
 
-oracle("source_rules", r"""
+oracle("source_rules", f"""
 WITH w AS (
   SELECT page_id, lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS d,
-         'Lead ' || trim(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '[^A-Za-z]+', ' ', 'g')) AS a FROM pages)"""
+         concat_ws(' ', 'Lead', nullif({visible(inner('body'))}, '')) AS a FROM pages)"""
        + "\nUNION ALL".join(_sample(s, x) for s, x in SAMPLES.items()))
 
 oracle("last_page_rules", """

@@ -6,16 +6,17 @@ from pyspark.sql import functions as F
 from newslake.functions import dates, page, text
 from newslake.operators import articles as A
 from newslake.operators import state
+from newslake.operators.common import attach
 from newslake.operators.cut import resume_after, take_until_seen
 from newslake.operators.dedup import dedup_any, keep_first
 from newslake.operators.ranking import assign_batches, rank_all, top_n
 from newslake.plans import jobs
 from newslake.plans.source_pages import SAMPLES
 from newslake.schema import NO_CONTENT, NO_DATE, NO_TITLE
-from newslake.session import prepare, scratch_path
+from newslake.session import prepare, scratch_path, staged
 from newslake.sources import extract, lake
 from newslake.sources.articles import (
-    articles_from_hits, list_batches, read_articles, read_batches_ordered, read_pages,
+    articles_from_hits, list_batches, read_articles, read_batches_ordered, read_files, read_pages,
 )
 from newslake.sources.published import publish, read_published
 from newslake.sources.rules import Cards, Field, Root, Rule
@@ -453,20 +454,23 @@ def listing_with_detail(spark, sf_dir):
 # ---- the rules of all sources
 
 def sample_pages(spark, sf_dir):
-    """Each page's words in every source's own markup: ``page_id, source, url, page, card``; one date in five is unreadable."""
+    """The whole text of each page, a paragraph for each of its pieces, in every source's own markup: ``page_id, source, url,
+    page, card``; one date in five is unreadable."""
     samples = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(x.page).alias("page"), F.lit(x.card).alias("card"), F.lit(x.raw).alias("raw"),
                                  F.lit("/" if x.base else "https://sources.example/").alias("link"))
                         for s, x in SAMPLES.items()])
-    words = F.trim(F.regexp_replace(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1), "[^A-Za-z]+", " "))
-    rows = table(spark, sf_dir, "pages").select(
-        "page_id", F.concat(F.lit("https://sources.example/"), "page_id").alias("url"), F.concat_ws(" ", F.lit("Lead"), words).alias("a"),
-        F.concat(F.lit("Body "), "page_id").alias("b"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0").alias("d"),
-        F.explode(samples).alias("s"))
+    pieces = F.transform(page.text_nodes(page.inner(F.col("html"), "body")), escaped)
+    texts = table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit("https://sources.example/"), "page_id").alias("url"),
+        F.array_join(F.concat(F.array(F.lit("Lead")), pieces), "</p><p>").alias("a"), F.concat(F.lit("Body "), "page_id").alias("b"),
+        F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0").alias("d"))
+    # The texts are made once, below the sources.
+    rows = texts.select("*", F.explode(samples).alias("s"))
     day = F.when(F.col("page_id") % 5 == 4, "soon").otherwise(F.replace(F.col("s.raw"), F.lit("@d@"), F.col("d")))
 
     def filled(template):
         out = F.col(template)
-        for mark, value in (("@A@", F.col("a")), ("@B@", F.col("b")), ("@T@", F.concat(F.lit("Title "), "page_id")), ("@U@", F.concat("s.link", "page_id")), ("@D@", day)):
+        for mark, value in (("@D@", day), ("@T@", F.concat(F.lit("Title "), "page_id")), ("@U@", F.concat("s.link", "page_id")), ("@B@", F.col("b")), ("@A@", F.col("a"))):
             out = F.replace(out, F.lit(mark), value)
         return out
     return rows.select("page_id", "s.source", "url", filled("s.page").alias("page"), filled("s.card").alias("card"))
@@ -478,15 +482,15 @@ def source_rules(spark, sf_dir):
     pages = sample_pages(spark, sf_dir)
     details = extract.extract_articles(pages.withColumnRenamed("page", "html")).select(
         F.lit("page").alias("step"), "source", "page_id", "url", "title", "content", "published_at", F.lit(None).cast("string").alias("reject_reason"))
-    rows, left = extract.explode_listing(pages.select("page_id", "source", F.lit(None).cast("string").alias("category"), F.col("card").alias("html")))
-    cards = rows.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(left).select(
+    cards = extract.listing_cards(pages.select("page_id", "source", F.lit(None).cast("string").alias("category"), F.col("card").alias("html"))).select(
         F.lit("card").alias("step"), "source", "page_id", "url", "title", F.lit(None).cast("string").alias("content"), "published_at", "reject_reason")
     return details.unionByName(cards)
 
 
 @query
 def last_page_rules(spark, sf_dir):
-    """Pagination of the sources that have one, with as many links as the page's number says, or none."""
+    """Pagination of the sources that have one, inside each page's own markup, with as many links as the page's number says,
+    or none."""
     shapes = {
         "beincrypto.com": ("<div class='content'><a>x</a>", "<a data-el_pos='bic-c-pagination-last-page'> @n@ </a></div>"),
         "blockonomi.com": ("<a class='page-numbers'>1</a>", "<a class='page-numbers'>@n@</a><a class='next page-numbers'>Next</a>"),
@@ -498,10 +502,11 @@ def last_page_rules(spark, sf_dir):
     }
     samples = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(a.replace("'", '"')).alias("none"), F.lit(b.replace("'", '"')).alias("some"))
                         for s, (a, b) in shapes.items()])
-    rows = table(spark, sf_dir, "pages").select("page_id", F.explode(samples).alias("s"))
+    rows = table(spark, sf_dir, "pages").select("page_id", "html", F.explode(samples).alias("s"))
     links = F.replace(F.col("s.some"), F.lit("@n@"), F.format_number(F.col("page_id") * 7 + 2, 0))
-    return extract.last_page(rows.select("page_id", "s.source", F.concat(
-        "s.none", F.when(F.col("page_id") % 4 > 0, links).otherwise("")).alias("html")))
+    pagination = F.concat("s.none", F.when(F.col("page_id") % 4 > 0, links).otherwise(""))
+    return extract.last_page(rows.select("page_id", "s.source", F.replace(
+        F.col("html"), F.lit("</body>"), F.concat(pagination, F.lit("</body>"))).alias("html")))
 
 
 # ---- JSON lake ---------------------------------------------------------------------------------------
@@ -596,14 +601,17 @@ def migrate_counts(spark, sf_dir):
 
 @query
 def migrate_all(spark, sf_dir):
-    out = scratch_path(spark, "migrated")
-    jobs.migrate_all(spark, written_batches(spark, sf_dir), out)
-    return spark.read.parquet(out)
+    """Started twice: a migration counts once."""
+    root, out = written_batches(spark, sf_dir), scratch_path(spark, "migrated")
+    for _ in range(2):
+        jobs.migrate_all(spark, root, out)
+    return read_published(spark, out)
 
 
 @query
 def migrate_mixed(spark, sf_dir):
-    """Files of four shapes: lists of a hundred rows of a source, lone objects, lines, and, for each language, a file cut short.
+    """Every document in a file of one of three shapes, by its place among a hundred of its source: the first as a lone
+    object, the next half as a list, the others as lines; and, for each language, a file cut short.
 
     Rows and rejects of each shape, and the total that the counts give.
     """
@@ -613,25 +621,51 @@ def migrate_mixed(spark, sf_dir):
         .withColumn("title", F.concat_ws("/", "lang", "doc_id")))
     parts = F.split("title", "/")
     text_of = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"), parts[0].alias("lang"), parts[1].cast("bigint").alias("n"), "source")
-    # A list is one value and one file, so it holds a batch of a hundred rows, however many its source has.
-    batches = rank_all(text_of.filter("n % 4 < 2"), ("source",), ("n",)).withColumn("batch", F.floor((F.col("rn") - 1) / 100).cast("bigint"))
-    lists = batches.groupBy("source", "batch").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    places = rank_all(text_of.select("source", "n"), ("source",), ("n",)).select("n", (F.col("rn") - 1).alias("rn"))
+    dealt = staged(text_of.join(places, "n").withColumns({"batch": F.floor(F.col("rn") / 100).cast("bigint"), "place": F.col("rn") % 100}), "dealt")
+    # A list is one value and one file, so it holds half a batch of a hundred rows, however many its source has.
+    lists = dealt.filter("place BETWEEN 1 AND 50").groupBy("source", "batch").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
     lists.select("value", "source", "batch").write.partitionBy("source", "batch").text(f"{root}/web_crawler/lists")
-    text_of.filter("n % 4 = 2").select("value", "source").write.partitionBy("source").text(f"{root}/web_crawler/lines")
-    lone = text_of.filter("n % 100 = 3").select("value", F.col("n").alias("name"))
-    lone.write.partitionBy("name").text(f"{root}/web_crawler/lone")
-    broken = text_of.filter("n % 4 = 3").groupBy("lang").agg(F.concat(F.lit("["), F.min("value"), F.lit(",")).alias("value"))
+    dealt.filter("place > 50").select("value", "source").write.partitionBy("source").text(f"{root}/web_crawler/lines")
+    # A file for each, all in one folder.
+    dealt.filter("place = 0").select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/web_crawler/lone")
+    broken = text_of.groupBy("lang").agg(F.concat(F.lit("["), F.min("value"), F.lit(",")).alias("value"))
     broken.select("value", "lang").write.partitionBy("lang").text(f"{root}/web_crawler/broken")
     left = jobs.migrate_all(spark, root, out, mode="PERMISSIVE")
     total = jobs.migrate_counts(spark, root).filter("path IS NULL")
     nothing = F.lit(None).cast("string")
-    return spark.read.parquet(out).select("id", "source", "url", nothing.alias("problem"), F.lit(None).cast("bigint").alias("inserted")) \
+    return read_published(spark, out).select("id", "source", "url", nothing.alias("problem"), F.lit(None).cast("bigint").alias("inserted")) \
         .unionByName(left.select(nothing.alias("id"), nothing.alias("source"), nothing.alias("url"),
                                  F.concat_ws(" ", F.regexp_extract("path", "lang=([a-z]+)", 1), "problem").alias("problem"),
                                  F.lit(None).cast("bigint").alias("inserted"))) \
         .unionByName(total.select(nothing.alias("id"), nothing.alias("source"), nothing.alias("url"), nothing.alias("problem"), "inserted"))
 
 
+@query
+def read_large_json(spark, sf_dir):
+    """Lists of twenty thousand documents a file without line breaks between records, read by ranges of bytes; and the same
+    files without their end, which are rejects."""
+    root = scratch_path(spark, "large")
+    docs = table(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / 20_000).cast("bigint").alias("file"), "doc_id", text.url_id(doc_url()).alias("id"), doc_url().alias("url"),
+        F.col("text").alias("content"), F.concat(F.lit('} "]\\ {'), "lang").alias("title"))
+    ends = docs.groupBy("file").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    record = F.to_json(F.struct("id", "url", "title", "content"))
+    pieces = docs.join(ends, "file").select("file", "doc_id", F.concat(
+        F.when(F.col("doc_id") == F.col("first"), "[").otherwise(", "), record).alias("value"), (F.col("doc_id") == F.col("last")).alias("end"))
+    laid = pieces.repartition("file").sortWithinPartitions("file", "doc_id")
+    whole = F.concat("value", F.when(F.col("end"), "]").otherwise(""))
+    laid.select("file", whole.alias("value")).write.option("lineSep", " ").partitionBy("file").text(f"{root}/whole")
+    laid.select("file", "value").write.option("lineSep", " ").partitionBy("file").text(f"{root}/cut")
+    rows, rejects = read_files(spark, root, whole_below=0)
+    number = F.regexp_extract("path", r"/(\w+)/file=(\d+)/", 2).cast("bigint").alias("file")
+    nothing = F.lit(None).cast("string")
+    return rows.select(number, "pos", "id", "url", "title", "content", nothing.alias("problem")).unionByName(rejects.select(
+        number, F.lit(None).cast("bigint").alias("pos"), *(nothing.alias(c) for c in ("id", "url", "title", "content")),
+        F.concat_ws(" ", F.regexp_extract("path", r"/(\w+)/file=", 1), "problem").alias("problem")))
+
+
 def _inputs(spark, sf_dir):
     """One folder of JSON per language; the first line is the URL, so copies cross the inputs."""
     docs = table(spark, sf_dir, "documents").select(
@@ -709,12 +743,25 @@ def run_listing(spark, sf_dir):
         F.concat(F.lit("document "), F.col("doc_id")).alias("title"), F.lit("2024-01-02 03:04:05").alias("published_at"), "doc_id")
 
 
+def escaped(value):
+    """Text as it stands in markup."""
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        value = F.replace(value, F.lit(sign), F.lit(name))
+    return value
+
+
 def run_pages(spark, sf_dir):
-    """An article page for each document; its text is the first words, which need no escapes."""
-    words = F.regexp_replace(F.split_part("text", F.lit("\n"), F.lit(1)), "[<>&]", "")
+    """An article page for each document: its whole text, a paragraph for each line."""
+    lines = F.array_join(F.split(escaped(F.coalesce("text", F.lit(""))), "\n"), "</p><p>")
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("page_id"), doc_url().alias("url"), F.lit("u.today").alias("source"),
-        F.concat(F.lit('<div class="article__content"><p>'), words, F.lit('</p><i class="hot">ad</i></div>')).alias("html"))
+        F.concat(F.lit('<div class="article__content"><p>'), lines, F.lit('</p><i class="hot">ad</i></div>')).alias("html"))
+
+
+def _older_half(listing):
+    """The articles of each category up to the middle of its ids."""
+    middle = listing.groupBy("category").agg(F.floor((F.min("doc_id") + F.max("doc_id")) / 2).alias("middle"))
+    return attach(listing, middle, ["category"]).withColumn("older", F.col("doc_id") <= F.col("middle")).drop("middle")
 
 
 def _stored(spark, root, published=None):
@@ -727,10 +774,10 @@ def _stored(spark, root, published=None):
 
 
 def _full_then_incremental(spark, sf_dir, stamps):
-    """A full run over every seventh document, then incremental runs over all of them."""
+    """A full run over the older half of each category, then incremental runs that bring the newer half."""
     root, published = scratch_path(spark, "lake"), scratch_path(spark, "published")
     listing, pages = run_listing(spark, sf_dir), run_pages(spark, sf_dir)
-    jobs.run_full(spark, listing.filter("doc_id % 7 = 0"), pages, root, run="full_1")
+    jobs.run_full(spark, _older_half(listing).filter("older").drop("older"), pages, root, run="full_1")
     for stamp in stamps:
         jobs.run_incremental(spark, listing, pages, root, published, stamp)
     return _stored(spark, root, published)
@@ -761,7 +808,7 @@ def run_incremental_uncapped(spark, sf_dir):
 def _full_in_two(spark, sf_dir, again):
     root = scratch_path(spark, "lake")
     listing, pages = run_listing(spark, sf_dir), run_pages(spark, sf_dir)
-    jobs.run_full(spark, listing.filter("doc_id % 3 > 0"), pages, root, run="full_1")
+    jobs.run_full(spark, _older_half(listing).filter("NOT older").drop("older"), pages, root, run="full_1")
     for _ in range(1 + again):
         jobs.run_full(spark, listing, pages, root, run="full_2")
     return _stored(spark, root)
@@ -769,7 +816,7 @@ def _full_in_two(spark, sf_dir, again):
 
 @query
 def run_full(spark, sf_dir):
-    """A full run, and one that resumes below the last stored article of each category."""
+    """A full run that ends in the middle of each category, and one that resumes there and stores the rest."""
     return _full_in_two(spark, sf_dir, 0)
 
 

@@ -51,6 +51,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _place(spark, path)
+    return store.exists(place)
+
+
+def child_names(spark: SparkSession, path: str) -> list:
+    """The names of the folders in a folder; none where there is no such folder."""
+    store, place = _place(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(place) if s.isDirectory()] if store.exists(place) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package has made, with all in it."""
+    store, place = _place(spark, path)
+    store.delete(place, True)
+
+
 _passing = []  # for each open ``passing`` block, the tables made in it
 
 
@@ -61,10 +83,8 @@ def passing(spark: SparkSession):
     try:
         yield
     finally:
-        configuration = spark._jsc.hadoopConfiguration()
         for path in _passing.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(configuration).delete(place, True)
+            delete(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ import newslake
 from newslake.functions import dates, text
 from newslake.operators import state
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA, HITS_SCHEMA
+from newslake.session import staged
+from newslake.sources.jsonranges import read_records
 from newslake.sources.jsontext import values
 
 # The helper travels with the tasks, so executors need no copy of the package.
@@ -104,6 +106,34 @@ def read_batches_ordered(spark: SparkSession, paths, mode: str = "FAILFAST", rec
     return explode_files(files)
 
 
+def read_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bool = True, whole_below: int = 16 << 20):
+    """Articles of batch files of any size with their file and place in it, and the files that hold none, with their problem.
+
+    Files below ``whole_below`` bytes are one row each (``read_batch_files``); larger ones are read by ranges of bytes, so
+    many tasks share a file (``jsonranges``). Results are the same.
+    """
+    element = T.StructType.fromDDL(article) if isinstance(article, str) else article
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES)
+        .load(paths).select("path", "length")
+    )
+    # Names of large files pass the driver, not one for each hundred rows.
+    large = [r.path for r in listed.filter(F.col("length") >= whole_below).select("path").collect()]
+    texts = (
+        spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES).text(paths, wholetext=True)
+        .filter(F.col("_metadata.file_size") < whole_below)
+    )
+    rows, rejects = explode_files(staged(parse_files(
+        texts.select(plain_path(F.col("_metadata.file_path")).alias("path"), "value"), element), "files"))
+    if large:
+        records, broken = read_records(spark, large)
+        rows = rows.unionByName(records.select(
+            plain_path(F.col("path")).alias("path"), "pos", F.from_json("value", element, {"mode": "PERMISSIVE"}).alias("row"))
+            .select("path", "pos", "row.*"))
+        rejects = rejects.unionByName(broken.select(plain_path(F.col("path")).alias("path"), "problem"))
+    return rows, rejects
+
+
 def list_batches(spark: SparkSession, root) -> DataFrame:
     """The batches below ``root`` with site, category, kind and number; contents are not read.
 

@@ -221,8 +221,8 @@ def extract_cards(pages: DataFrame, rules=None) -> DataFrame:
     return known.mapInPandas(read, _CARDS)
 
 
-def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
-    """Listing rows and rejects of listing pages.
+def listing_cards(pages: DataFrame, rules=None, tz_policy: str = "wall") -> DataFrame:
+    """The cards of listing pages with ``reject_reason``, which is NULL for listing rows; each page is parsed once.
 
     A row is rejected when its card lacks an element the source needs, its link is on the source's
     skip list, or its date, read in the listing, cannot be read. A page that is missing, that the parser refuses or
@@ -257,8 +257,14 @@ def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
     unread = pages.filter(~ruled | F.col("html").isNull()).select(
         "source", "category", "page_id", nothing.cast("bigint").alias("pos"), *(nothing.cast("string").alias(c) for c in ("id", "url", "title", "published_at")),
         F.when(~ruled, "no rule").otherwise("no page").alias("reject_reason"))
-    return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason"), \
-        rows.filter(F.col("reject_reason").isNotNull()).unionByName(unread)
+    return rows.unionByName(unread)
+
+
+def explode_listing(pages: DataFrame, rules=None, tz_policy: str = "wall"):
+    """Listing rows, and rejects with their reason (``listing_cards``). Who needs both should stage the cards instead, as
+    each of the two parses the pages."""
+    cards = listing_cards(pages, rules, tz_policy)
+    return cards.filter(F.col("reject_reason").isNull()).drop("reject_reason"), cards.filter(F.col("reject_reason").isNotNull())
 
 
 def page_rejects(pages: DataFrame, rules=None) -> DataFrame:

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from newslake.operators.common import attach
 from newslake.schema import ARTICLE_COLUMNS
+from newslake.session import passing, staged
 from newslake.sources import runs
 from newslake.sources.runs import committed  # noqa: F401
 
 ROWS = ", ".join(f"{c} string" for c in ARTICLE_COLUMNS) + ", kind string, seq bigint, pos bigint, site string, category string"
 MANIFEST = "site string, category string, kind string, first_seq bigint, last_seq bigint, rows bigint"
 _SITE = ["site", "category"]
+_SKETCH = (_SITE, "id")
 
 
 def _summary(rows: DataFrame) -> DataFrame:
@@ -21,11 +23,17 @@ def _summary(rows: DataFrame) -> DataFrame:
 def write_batch_rows(rows: DataFrame, root: str, run: str, kind: str) -> None:
     """``rows(site, category, batch_no, pos, article columns)`` as a run; ``pos`` is a row's place in its batch."""
     runs.write_run(rows.select(*ARTICLE_COLUMNS, F.lit(kind).alias("kind"), F.col("batch_no").cast("bigint").alias("seq"),
-                               F.col("pos").cast("bigint").alias("pos"), *_SITE), root, run, _SITE, _summary)
+                               F.col("pos").cast("bigint").alias("pos"), *_SITE), root, run, _SITE, _summary, _SKETCH)
+
+
+def compact(spark: SparkSession, root: str) -> int:
+    """Lay young runs out anew in few files by site and category (``runs.compact``)."""
+    with passing(spark):
+        return runs.compact(spark, root, ROWS, MANIFEST, _SITE, _SKETCH)
 
 
 def batch_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """What is stored: a row for each run, site, category and kind."""
+    """What is stored: a row for each run, site, category and kind, with the part that holds it."""
     return runs.manifest(spark, root, MANIFEST)
 
 
@@ -50,6 +58,10 @@ def state_batches(catalog: DataFrame) -> DataFrame:
         F.coalesce(newest["kind"], first["kind"]).alias("kind"))
 
 
+def _before(catalog: DataFrame, stamp: int | None) -> DataFrame:
+    return catalog if stamp is None else catalog.filter((F.col("kind") != "incremental") | (F.col("last_seq") < stamp))
+
+
 def _rows_of(spark, root, batches: DataFrame) -> DataFrame:
     """The rows of the named batches; the reader is told runs, so other folders are not opened."""
     rows = batch_rows(spark, root, batches)
@@ -62,14 +74,26 @@ def known_ids(spark: SparkSession, root: str, before: int | None = None, recent:
     ``before`` leaves out incremental runs of that stamp and later, so a run that is repeated never takes its own
     rows for known.
     """
-    catalog = batch_manifest(spark, root)
-    if before is not None:
-        catalog = catalog.filter((F.col("kind") != "incremental") | (F.col("last_seq") < before))
+    catalog = _before(batch_manifest(spark, root), before)
     if recent is None:
         return batch_rows(spark, root, catalog).select(*_SITE, "id")
     return _rows_of(spark, root, state_batches(catalog)).filter(F.col("pos") < recent).select(*_SITE, "id")
 
 
+def begun(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The sites and categories that have a stored article, from the manifest alone."""
+    return _before(batch_manifest(spark, root), before).filter("rows > 0").select(*_SITE).distinct()
+
+
+def known_among(spark: SparkSession, root: str, shown: DataFrame, before: int | None = None) -> DataFrame:
+    """Which of the ``shown(site, category, id)`` are stored: as ``known_ids`` would say, but only runs and packs whose
+    sketch may hold one of them are opened, and looked through for certain."""
+    catalog = staged(_before(batch_manifest(spark, root), before), "catalog")
+    parts = runs.parts_holding(spark, root, shown, catalog, *_SKETCH)
+    stored = runs.read_runs(spark, root, ROWS, None if before is None else catalog, parts)
+    return attach(stored.select(*_SITE, "id"), shown, [*_SITE, "id"], "left_semi")
+
+
 def resume_points(spark: SparkSession, root: str) -> DataFrame:
     """``site, category, last_id, last_batch`` of the last initial batch."""
     last = latest_batches(batch_manifest(spark, root)).withColumns({"seq": F.col("last_batch"), "kind": F.lit("initial")})

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from newslake.operators.articles import to_document
 from newslake.operators.common import attach
 from newslake.operators.dedup import keep_first
-from newslake.session import staged
+from newslake.session import passing, staged
 from newslake.sources import runs
 
 ROWS = "content string, id string, published_at bigint, title string, url string, source string"
+_MANIFEST = "source string, rows bigint"
+_SKETCH = (["source"], "id")
 _COLUMNS = ["content", "id", "published_at", "source", "title", "url"]
 
 
@@ -30,6 +32,19 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return runs.read_runs(spark, path, ROWS).select(*_COLUMNS)
 
 
+def compact(spark: SparkSession, path: str) -> int:
+    """Lay young runs out anew in few files by source (``runs.compact``)."""
+    with passing(spark):
+        return runs.compact(spark, path, ROWS, _MANIFEST, ["source"], _SKETCH)
+
+
+def published_among(spark: SparkSession, path: str, documents: DataFrame) -> DataFrame:
+    """``source, id`` of runs and packs that may hold an id of the documents; others are not opened."""
+    keys = staged(documents.select("source", "id").distinct(), "keys")
+    catalog = staged(runs.manifest(spark, path, _MANIFEST), "catalog")
+    return runs.read_runs(spark, path, ROWS, parts=runs.parts_holding(spark, path, keys, catalog, *_SKETCH)).select("source", "id")
+
+
 def insert_new(documents: DataFrame, published: DataFrame, by=("source", "id")) -> DataFrame:
     """The documents whose id the published table does not hold, one of each id.
 
@@ -55,6 +70,6 @@ def publish(articles: DataFrame, path: str, run: str | None = None, mode: str =
         return run
     documents = to_document(articles)
     if mode == "insert_new":
-        documents = insert_new(documents, read_published(spark, path))
-    runs.write_run(documents.select(*_COLUMNS), path, run, ["source"], _summary)
+        documents = insert_new(documents, published_among(spark, path, documents))
+    runs.write_run(documents.select(*_COLUMNS), path, run, ["source"], _summary, _SKETCH)
     return run

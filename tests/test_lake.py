@@ -286,7 +286,7 @@ def test_migrate(spark, tmp_path):
         jobs.migrate_all(spark, root, out)
     left = jobs.migrate_all(spark, root, out, mode="PERMISSIVE")
     assert [os.path.basename(r.path) for r in left.collect()] == ["z.json"]
-    assert sorted((r.id, r.published_at) for r in spark.read.parquet(out).collect()) == [
+    assert sorted((r.id, r.published_at) for r in read_published(spark, out).collect()) == [
         ("id1", None), ("id2", 1704067200), ("id3", None)]
     counts = {os.path.basename(r.path) if r.path else None: r.inserted for r in jobs.migrate_counts(spark, root).collect()}
     assert counts == {"x.json": 2, "y.json": 1, "z.json": 0, None: 3}
@@ -624,7 +624,7 @@ def test_command_line(spark, tmp_path):
     main(["concat", f"{tmp_path}/in/*.json", str(tmp_path / "out")])
     assert read_articles(spark, str(tmp_path / "out"), layout="lines").count() == 1
     main(["migrate", f"{tmp_path}/in", str(tmp_path / "docs")])
-    assert spark.read.parquet(str(tmp_path / "docs")).count() == 2
+    assert read_published(spark, str(tmp_path / "docs")).count() == 2
 
 
 def test_from_listing_pages_to_the_published_table(spark, tmp_path):
