@@ -443,7 +443,7 @@ def test_incremental_goes_on_where_it_stopped(spark, tmp_path, monkeypatch, step
         if disturbed:
             real, calls = runs.write_run, []
 
-            def write_run(rows, path, run, partition_by, summary):
+            def write_run(rows, path, run, partition_by, summary, sketch=None):
                 calls.append(path)
                 place = "lake" if path.endswith("lake") else "published"
                 if step == f"{place} rows":
@@ -453,7 +453,7 @@ def test_incremental_goes_on_where_it_stopped(spark, tmp_path, monkeypatch, step
                         raise RuntimeError("stopped")
                 if step == "before publishing" and place == "published":
                     raise RuntimeError("stopped")
-                real(rows, path, run, partition_by, summary)
+                real(rows, path, run, partition_by, summary, sketch)
             monkeypatch.setattr(runs, "write_run", write_run)
             with pytest.raises(RuntimeError):
                 jobs.run_incremental(spark, listing_of(spark, 8), pages, root, published, 100)
@@ -473,14 +473,14 @@ def test_full_run_begins_anew_after_a_part_commit(spark, tmp_path, monkeypatch,
     root, pages = str(tmp_path / "lake"), pages_of(spark, 250)
     real = runs.write_run
 
-    def write_run(rows, path, run, partition_by, summary):
+    def write_run(rows, path, run, partition_by, summary, sketch=None):
         if step == "rows":  # only one partition's files arrive
             rows.filter("seq = 250").write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/data/run={run}")
             raise RuntimeError("stopped")
 
         def summary(_):
             raise RuntimeError("stopped")
-        real(rows, path, run, partition_by, summary)
+        real(rows, path, run, partition_by, summary, sketch)
     monkeypatch.setattr(runs, "write_run", write_run)
     with pytest.raises(RuntimeError):
         jobs.run_full(spark, listing_of(spark, 250), pages, root)
