@@ -13,6 +13,7 @@ a document, where a table of places would take 64.
 
 import hashlib
 import json
+import os
 import re
 import struct
 import uuid
@@ -229,6 +230,7 @@ class TextIds:
         from tokenizers import Tokenizer
 
         spec = json.loads(data)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = library = Tokenizer.from_str(data.decode())
         library.no_truncation()
         library.no_padding()
@@ -244,23 +246,46 @@ class TextIds:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
-    def blocks(self, text: str, size: int = 1 << 18):
+    def blocks(self, text: str, size: int = 1 << 20):
         """The ids of ``text`` in blocks, a slice of the text each."""
         if not self.by_runs:
             yield self.encoded([text])[0]
             return
-        known, start = self.known, 0
+        start = 0
         while start < len(text):
             cut = self._CUT.search(text, start + size) if len(text) - start > size else None
             end = cut.start() if cut else len(text)
-            runs = self._RUNS.findall(text, start, end)
-            new = [r for r in set(runs) if r not in known and r not in known.older and len(r) <= 64]
-            if len(new) > 1:
-                for run, ids in zip(new, self.encoded(new)):
-                    known.put(run, ids)
-            yield b"".join(map(known.__getitem__, runs))
+            yield from self._joined([self._RUNS.findall(text, start, end)])
             start = end
 
+    def encode(self, texts, size: int = 1 << 20):
+        """For each text the blocks of its ids; short ones are worked on together, about ``size`` characters at once."""
+        group, held = [], 0
+        for text in texts:
+            if not self.by_runs or len(text) > size:
+                yield from self._single(group)
+                group, held = [], 0
+                yield self.blocks(text, size)
+                continue
+            group.append(self._RUNS.findall(text))
+            held += len(text)
+            if held >= size:
+                yield from self._single(group)
+                group, held = [], 0
+        yield from self._single(group)
+
+    def _single(self, group: list):
+        return ([ids] for ids in self._joined(group))
+
+    def _joined(self, group: list) -> list:
+        """The ids of lists of runs; those not yet known are asked for in one call."""
+        known = self.known
+        new = [r for r in set().union(*group) if r not in known and r not in known.older and len(r) <= 64]
+        if new:
+            for run, ids in zip(new, self.encoded(new)):
+                known.put(run, ids)
+        return [b"".join(map(known.__getitem__, runs)) for runs in group]
+
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
               max_ids: int = 64 << 20, max_documents: int = 4 << 20, memo: int = 400_000) -> DataFrame:
@@ -292,12 +317,13 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_
 
         try:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0), batch.column(1)):
+                found = texts.encode(text.as_py() or "" for text in batch.column(1))
+                for doc_id, blocks in zip(batch.column(0).to_pylist(), found):
                     if writer is None:
                         name = f"{uuid.uuid4().hex}.ids"
                         sink = store.open_output_stream(f"{root}/{name}")
                         writer = IdWriter(sink, texts.width)
-                    writer.add(doc_id.as_py(), chain(texts.blocks(text.as_py() or ""), [end]))
+                    writer.add(doc_id, chain(blocks, [end]))
                     if writer.full(max_ids, max_documents):
                         yield closed()
                         number, sink, writer = number + 1, None, None

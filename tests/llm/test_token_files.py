@@ -99,7 +99,10 @@ def test_ids_are_the_librarys(path, by_runs):
         found = E.TextIds(file.read(), 500)
     library = Tokenizer.from_file(path)
     assert found.by_runs == by_runs and found.width == 2
-    for text in [t or "" for t in TEXTS] + random_texts(3000):
+    texts = [t or "" for t in TEXTS] + random_texts(3000)
+    for text, blocks in zip(texts, E.TextIds(open(path, "rb").read(), 500).encode(texts, 400)):
+        assert np.frombuffer(b"".join(blocks), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    for text in texts:
         want = library.encode(text, add_special_tokens=False).ids
         for size in (1 << 18, 3):
             assert np.frombuffer(b"".join(found.blocks(text, size)), "<u2").tolist() == want, repr(text)
