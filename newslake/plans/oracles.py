@@ -174,6 +174,7 @@ _PUBLISHED = f"""
 WITH {_EVENTS} SELECT content, id, epoch_s AS published_at, source, title, url FROM ev"""
 oracle("publish_documents", _PUBLISHED)
 oracle("stream_dedup", _PUBLISHED)
+oracle("stream_dedup_state", _PUBLISHED)
 oracle("sink_roundtrip", f"WITH {_EVENTS} SELECT content, id, published_at, source, title, url FROM ev")
 
 oracle("project_article", f"""
@@ -263,6 +264,7 @@ SELECT source, event_id, id, rn FROM cut WHERE rn <= {limit} AND ({keep})"""
 
 
 oracle("take_until_seen", _cut("ts < TIMESTAMP '2024-01-20'", 500, "true"))
+oracle("stream_cut", _cut("event_type = 'error' AND value > 25", 10 ** 9, "stop IS NOT NULL"))
 oracle("take_until_seen_drop", _cut("event_type = 'error' AND value > 25", 50, "stop IS NOT NULL OR n > 50"))
 
 oracle("top_n_per_source", f"""
@@ -329,6 +331,16 @@ SELECT source AS site, category, 'latest' AS what, max(seq) AS seq FROM numbered
 UNION ALL
 SELECT source, category, 'state', min(seq) FROM numbered GROUP BY source, category""")
 
+_EIGHTHS = f"""
+WITH {_DOCS},
+runs AS (SELECT *, CAST(floor(doc_id * 8.0 / ((SELECT max(doc_id) FROM docs) + 1)) AS BIGINT) AS number FROM docs)"""
+oracle("lake_compacted", f"""{_EIGHTHS}
+SELECT source AS site, category, 'incremental' AS kind, number AS seq, doc_id AS pos, id, title, content FROM runs
+UNION ALL
+SELECT source, category, 'summary of incremental_' || number, number, count(*), NULL, NULL, NULL FROM runs GROUP BY source, category, number""")
+oracle("known_ids_pruned", f"""{_EIGHTHS}
+SELECT source AS site, category, id FROM runs WHERE number = 7""")
+
 oracle("list_batch_files", f"""
 WITH {_DOCS}, {_numbered(100)}
 SELECT DISTINCT source AS site, category, 'initial' AS kind, seq FROM numbered""")
@@ -452,6 +464,15 @@ rest AS (
 stored AS (SELECT * FROM first UNION ALL SELECT * EXCLUDE (base) FROM ({_batches('rest', 'base')}))
 {_run_rows('stored')}"""
 oracle("run_full", _FULL)
+oracle("run_page_rejects", f"""
+WITH {_LISTED},
+found AS (
+  SELECT * REPLACE (CASE WHEN doc_id % 10 IN (3, 6) THEN 'No content' ELSE content END AS content) FROM listed),
+stored AS ({_batches('found')})
+{_run_rows('stored')}
+UNION ALL
+SELECT 'u.today', NULL, CASE doc_id % 10 WHEN 3 THEN 'unreadable page' ELSE 'no page' END,
+       CASE doc_id % 10 WHEN 3 THEN doc_id END, NULL, id, NULL, NULL FROM listed WHERE doc_id % 10 IN (3, 6)""")
 oracle("run_full_rerun", _FULL)
 oracle("load_batches", _MIGRATED)
 oracle("stream_restart", _MIGRATED)

@@ -22,6 +22,7 @@ from newslake.sources.published import publish, read_published
 from newslake.sources.rules import Cards, Field, Root, Rule
 from newslake.sources.sinks import write_articles, write_batches
 from newslake.sources.sites import site_categories
+from newslake.streaming import cut as stream_cuts
 from newslake.streaming import ingest
 
 PHRASES = ("Ietzte", "And therhean", "Enststung", "Subscribe to our newsletter")
@@ -505,8 +506,10 @@ def last_page_rules(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", "html", F.explode(samples).alias("s"))
     links = F.replace(F.col("s.some"), F.lit("@n@"), F.format_number(F.col("page_id") * 7 + 2, 0))
     pagination = F.concat("s.none", F.when(F.col("page_id") % 4 > 0, links).otherwise(""))
-    return extract.last_page(rows.select("page_id", "s.source", F.replace(
-        F.col("html"), F.lit("</body>"), F.concat(pagination, F.lit("</body>"))).alias("html")))
+    # At the head of the body, as some pages break off before its end; those without a body have it in front.
+    inside = F.replace(F.col("html"), F.lit("<body>"), F.concat(F.lit("<body>"), pagination))
+    whole = F.when(F.contains("html", F.lit("<body>")), inside).otherwise(F.concat(pagination, "html"))
+    return extract.last_page(rows.select("page_id", "s.source", whole.alias("html")))
 
 
 # ---- JSON lake ---------------------------------------------------------------------------------------
@@ -584,6 +587,46 @@ def lake_batches(spark, sf_dir):
     return last.unionByName(lake.state_batches(catalog).select("site", "category", F.lit("state").alias("what"), "seq"))
 
 
+_RUNS = 8
+
+
+def small_runs(spark, sf_dir, compacted):
+    """The documents as eight incremental runs by ranges of their ids, compacted after the runs named."""
+    root, docs = scratch_path(spark, "lake"), table(spark, sf_dir, "documents")
+    size = docs.agg(F.max("doc_id")).first()[0] + 1
+    rows = document_listing(spark, sf_dir).withColumn("number", F.floor(F.col("pos") * _RUNS / size).cast("bigint")).join(
+        document_details(spark, sf_dir).select("url", "content"), "url")
+    rows = staged(A.fill_defaults(rows.withColumns({"site": F.col("source"), "batch_no": F.col("number")})), "articles")
+    for number in range(_RUNS):
+        lake.write_batch_rows(rows.filter(F.col("number") == number), root, f"incremental_{number}", "incremental")
+        if number in compacted:
+            lake.compact(spark, root)
+    return root
+
+
+@query
+def lake_compacted(spark, sf_dir):
+    """Small runs, compacted between: the rows and the summaries that the runs would give."""
+    root = small_runs(spark, sf_dir, (2, 4, 6))
+    rows = lake.batch_rows(spark, root).select("site", "category", "kind", "seq", "pos", "id", "title", "content")
+    nothing = F.lit(None).cast("string")
+    return rows.unionByName(lake.batch_manifest(spark, root).select(
+        "site", "category", F.concat_ws(" ", F.lit("summary of"), "run").alias("kind"), F.col("last_seq").alias("seq"),
+        F.col("rows").alias("pos"), nothing.alias("id"), nothing.alias("title"), nothing.alias("content")))
+
+
+@query
+def known_ids_pruned(spark, sf_dir):
+    """Which articles of a listing are stored, by the sketches of runs and packs: the listing shows the documents of the
+    newest run, and as many that are not stored."""
+    root = small_runs(spark, sf_dir, (3,))
+    listing = document_listing(spark, sf_dir).select(F.col("source").alias("site"), "category", "id", "pos")
+    size = table(spark, sf_dir, "documents").agg(F.max("doc_id")).first()[0] + 1
+    newest = listing.filter(F.floor(F.col("pos") * _RUNS / size) == _RUNS - 1).drop("pos")
+    unknown = newest.withColumn("id", F.md5("id"))
+    return lake.known_among(spark, root, staged(newest.unionByName(unknown), "shown"))
+
+
 @query
 def list_batch_files(spark, sf_dir):
     return list_batches(spark, written_batches(spark, sf_dir)).select("site", "category", "kind", "seq")
@@ -825,6 +868,18 @@ def run_full_rerun(spark, sf_dir):
     return _full_in_two(spark, sf_dir, 1)
 
 
+@query
+def run_page_rejects(spark, sf_dir):
+    """A full run of which some pages are broken and some never came: the articles, and why they have no text."""
+    root = scratch_path(spark, "lake")
+    pages = run_pages(spark, sf_dir).withColumn("html", F.when(F.col("page_id") % 10 == 3, F.concat(F.lit("<![broken"), "html")).otherwise(F.col("html")))
+    jobs.run_full(spark, run_listing(spark, sf_dir), pages.filter("page_id % 10 <> 6"), root, run="full_1")
+    return _stored(spark, root).unionByName(jobs.run_page_rejects(spark, root).select(
+        F.col("source").alias("site"), F.lit(None).cast("string").alias("category"), F.col("reason").alias("kind"), F.col("page_id").alias("seq"),
+        F.lit(None).cast("bigint").alias("pos"), text.url_id(F.col("url")).alias("id"), F.lit(None).cast("string").alias("title"),
+        F.lit(None).cast("string").alias("content")))
+
+
 @query
 def load_batches(spark, sf_dir):
     """Batch files published twice under one name count once."""
@@ -923,6 +978,34 @@ def stream_dedup(spark, sf_dir):
     return ingest.published_table(spark, out)
 
 
+@query
+def stream_dedup_state(spark, sf_dir):
+    """The events land twice; a start on the first, one with the state of the first, and one that has lost it."""
+    landing, out, marks = (scratch_path(spark, n) for n in ("landing", "stream", "marks"))
+    rows = A.to_article(event_articles(spark, sf_dir))
+    for run, state_folder in (("first", marks), ("second", marks), (None, scratch_path(spark, "marks"))):
+        if run:
+            _landed(spark, rows, f"{landing}/{run}")
+        ingest.run_ingest_by_state(ingest.landed_batches(spark, landing), out, state_folder)
+    return ingest.published_table(spark, out)
+
+
+@query
+def stream_cut(spark, sf_dir):
+    """Listings whose older half lands after the newer one, cut as they come; those without a known article are dropped."""
+    landing, out, marks = (scratch_path(spark, n) for n in ("landing", "cut", "marks"))
+    listing = event_listing(spark, sf_dir)
+    seen = staged(top_n(listing.filter((F.col("event_type") == "error") & (F.col("value") > 25)), 15, ("source",), EVENT_ORDER).select("source", "id"), "seen")
+    cards = listing.select("source", "id", *EVENT_ORDER, "event_id", (F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).alias("older"))
+    for older in (False, True):
+        cards.filter(F.col("older") == older).drop("older").write.parquet(f"{landing}/{older}")
+        stream = spark.readStream.schema(cards.drop("older").schema).option("recursiveFileLookup", True) \
+            .option("maxFileAge", "36500d").parquet(landing)
+        stream_cuts.run_cut(stream, seen, out, marks, ("source",), EVENT_ORDER)
+    taken = stream_cuts.ended(spark, out, stream.dtypes, ("source",), EVENT_ORDER, "drop")
+    return taken.select("source", "event_id", "id", F.col("rn").cast("bigint").alias("rn"))
+
+
 @query
 def stream_dedup_within(spark, sf_dir):
     """The stateful form: copies that arrive within the delay enter once."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from newslake.operators.common import attach
 from newslake.schema import ARTICLE_COLUMNS
-from newslake.session import passing, staged
+from newslake.session import passing
 from newslake.sources import runs
 from newslake.sources.runs import committed  # noqa: F401
 
@@ -88,7 +88,7 @@ def begun(spark: SparkSession, root: str, before: int | None = None) -> DataFram
 def known_among(spark: SparkSession, root: str, shown: DataFrame, before: int | None = None) -> DataFrame:
     """Which of the ``shown(site, category, id)`` are stored: as ``known_ids`` would say, but only runs and packs whose
     sketch may hold one of them are opened, and looked through for certain."""
-    catalog = staged(_before(batch_manifest(spark, root), before), "catalog")
+    catalog = _before(batch_manifest(spark, root), before)
     parts = runs.parts_holding(spark, root, shown, catalog, *_SKETCH)
     stored = runs.read_runs(spark, root, ROWS, None if before is None else catalog, parts)
     return attach(stored.select(*_SITE, "id"), shown, [*_SITE, "id"], "left_semi")

@@ -41,7 +41,7 @@ def compact(spark: SparkSession, path: str) -> int:
 def published_among(spark: SparkSession, path: str, documents: DataFrame) -> DataFrame:
     """``source, id`` of runs and packs that may hold an id of the documents; others are not opened."""
     keys = staged(documents.select("source", "id").distinct(), "keys")
-    catalog = staged(runs.manifest(spark, path, _MANIFEST), "catalog")
+    catalog = runs.manifest(spark, path, _MANIFEST)
     return runs.read_runs(spark, path, ROWS, parts=runs.parts_holding(spark, path, keys, catalog, *_SKETCH)).select("source", "id")
 
 

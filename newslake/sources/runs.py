@@ -57,7 +57,10 @@ def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def committed(spark: SparkSession, path: str, run: str) -> bool:
     """Does the run's manifest stand? A run without rows has none."""
-    return not manifest(spark, path, "").filter(F.col("run") == _checked(run)).isEmpty()
+    folder = f"{path}/manifest/run={_checked(run)}"
+    if exists(spark, folder) and not spark.read.schema("rows bigint").parquet(folder).isEmpty():
+        return True
+    return _snapshot(spark, path) is not None and not manifest(spark, path, "").filter(F.col("run") == run).isEmpty()
 
 
 # ---- writing
@@ -114,7 +117,7 @@ def _clean(spark: SparkSession, path: str, number: int) -> None:
     held = spark.read.schema("run string, part string").parquet(f"{path}/snapshots/number={number}").distinct().collect()
     runs = {f"run={r.run}" for r in held}
     packs = {r.part for r in held}
-    newer = {r.part for r in manifest(spark, path, "").select("part").distinct().collect()}
+    newer = parts_of(manifest(spark, path, ""))
     gone = [f"snapshots/{n}" for n in child_names(spark, f"{path}/snapshots") if int(n.split("=")[1]) < number]
     # A run's manifest goes before its rows: who still finds it finds them too.
     gone += [f"{folder}/{n}" for folder in ("manifest", "data", "sketch") for n in child_names(spark, f"{path}/{folder}") if n in runs]
@@ -126,6 +129,11 @@ def _clean(spark: SparkSession, path: str, number: int) -> None:
 
 # ---- reading
 
+def parts_of(summaries: DataFrame) -> set:
+    """The names of the parts in a few summaries."""
+    return {r.part for r in summaries.select("part").collect()}
+
+
 def _open(spark: SparkSession, path: str, schema: str, parts) -> DataFrame:
     """The rows of the named parts, with their ``run``."""
     whole, found = _with(schema, "run"), []
@@ -145,9 +153,9 @@ def read_runs(spark: SparkSession, path: str, schema: str, chosen: DataFrame | N
     """
     if chosen is None:
         if parts is None:
-            parts = [r.part for r in manifest(spark, path, "").select("part").distinct().collect()]
+            parts = parts_of(manifest(spark, path, ""))
         return _open(spark, path, schema, parts)
-    wanted = manifest(spark, path, "").join(chosen.select("run").distinct(), "run", "left_semi").select("part", "run").distinct().collect()
+    wanted = manifest(spark, path, "").join(chosen.select("run"), "run", "left_semi").select("part", "run").collect()
     rows = _open(spark, path, schema, {r.part for r in wanted if parts is None or r.part in parts})
     # A run's folder holds nothing else; a pack holds others too.
     if all(r.part.startswith("run=") for r in wanted):
@@ -201,11 +209,11 @@ def parts_holding(spark: SparkSession, path: str, keys: DataFrame, summaries: Da
     Each key meets the parts that have its group, by the words it would have set there; the filters are read, about eight
     bytes for an id, not the rows.
     """
-    known = {r.part for r in summaries.select("part").distinct().collect()}
+    known = parts_of(summaries)
     sketched = known & set(child_names(spark, f"{path}/sketch"))
     if not sketched:
         return sorted(known)
-    sizes = staged(_sizes(summaries.filter(F.col("part").isin(sorted(sketched))), groups), "sizes")
+    sizes = _sizes(summaries.filter(F.col("part").isin(sorted(sketched))), groups)
     asked = _joined(keys.select(*groups, id_column).distinct(), sizes, groups).select(
         "part", *groups, id_column, F.explode(_marks(groups, id_column, F.col("words"))).alias("m"))
     asked = asked.select("part", *groups, id_column, F.col("m.word").alias("word"), F.col("m.bits").alias("asked"))
@@ -219,4 +227,4 @@ def parts_holding(spark: SparkSession, path: str, keys: DataFrame, summaries: Da
             found = words if found is None else found.unionByName(words)
     met = _joined(asked, found, ["part", *groups, "word"]).filter(F.col("bits").bitwiseAND(F.col("asked")) == F.col("asked"))
     both = met.groupBy("part", *groups, id_column).agg(F.count("*").alias("n")).filter("n = 2")
-    return sorted((known - sketched) | {r.part for r in both.select("part").distinct().collect()})
+    return sorted((known - sketched) | parts_of(both.select("part").distinct()))

@@ -81,3 +81,35 @@ def dedup_within(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     """
     arrived = stream.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", delay)
     return arrived.dropDuplicatesWithinWatermark(["source", "id"]).drop("arrived_at")
+
+
+def run_ingest_by_state(stream: DataFrame, path: str, checkpoint: str, delay: str = "7 days") -> None:
+    """As ``run_ingest`` with ``dedup``, by keyed state: an id that came within ``delay`` is known to the stream itself.
+
+    Copies end at the state, which Spark keeps in the checkpoint and drops after the delay, so it does not grow with the
+    table. What passes is looked up in the table, since state may have expired, be of another checkpoint, or the id may
+    have come by another job; the runs' sketches say which parts of the table may hold such an id, and no others are
+    opened. A file that holds no articles enters ``rejected_files`` once.
+    """
+    parsed = parse_files(stream).select("path", "problem", F.explode_outer("rows").alias("row")).select("path", "problem", "row.*")
+    bad = F.col("problem").isNotNull()
+    # A broken file is a row of its own kind under its path.
+    rows = parsed.filter(bad | F.col("id").isNotNull() | F.col("url").isNotNull()).withColumns({
+        "id": F.when(bad, F.col("path")).otherwise(F.col("id")), "source": F.when(bad, F.lit("")).otherwise(F.col("source"))})
+    known = Future()
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        spark, run = batch.sparkSession, f"state_{known.result(timeout=300)}_{epoch}"
+        with passing(spark):
+            if runs.committed(spark, f"{path}/files", run):
+                return
+            came = staged(batch, "came")
+            published.publish(came.filter("problem IS NULL").select(*ARTICLE_COLUMNS), path, run, "insert_new")
+            broken = came.filter("problem IS NOT NULL").select(
+                F.lit("file").alias("part"), "path", "problem", F.lit(None).cast("bigint").alias("rows"))
+            runs.write_run(broken, f"{path}/files", run, ["part"], lambda d: d.groupBy("part").count())
+
+    query = dedup_within(rows, delay).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    known.set_result(str(query.id))
+    query.awaitTermination()

@@ -1,0 +1,194 @@
+"""Run tables: packs and snapshots, sketches of ids, what is listed and what is opened."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from newslake.plans import jobs
+from newslake.schema import NO_DATE
+from newslake.sources import lake, published, runs
+from newslake.sources.published import publish, read_published
+from newslake.streaming import cut as stream_cut
+
+COLUMNS = "site string, category string, batch_no bigint, pos bigint, id string, url string, title string, content string, published_at string, source string"
+
+
+def rows_of(spark, number, n=6):
+    return spark.createDataFrame([
+        (f"s{k % 2}", None if k % 3 else "c & 50%", number, k, f"id{number}_{k}", f"u{number}_{k}", "t", f"c{number}_{k}", NO_DATE, f"s{k % 2}")
+        for k in range(n)], COLUMNS)
+
+
+def put(spark, root, number, n=6):
+    lake.write_batch_rows(rows_of(spark, number, n), root, f"incremental_{number}", "incremental")
+
+
+def stored(spark, root):
+    return sorted(((r.run, r.site, r.category or "", r.kind, r.seq, r.pos, r.id, r.content) for r in lake.batch_rows(spark, root).collect()))
+
+
+def files(root):
+    return [os.path.join(folder, n) for folder, _, names in os.walk(root) for n in names if n.endswith(".parquet")]
+
+
+def test_compaction_keeps_rows_and_the_number_of_files(spark, tmp_path):
+    root, plain = str(tmp_path / "lake"), str(tmp_path / "plain")
+    counts = []
+    for number in range(12):
+        put(spark, root, number)
+        put(spark, plain, number)
+        if number % 3 == 2:
+            assert lake.compact(spark, root) >= 2
+            counts.append(len(lake.batch_rows(spark, root).inputFiles()))
+        assert stored(spark, root) == stored(spark, plain)
+        assert lake.committed(spark, root, f"incremental_{number}")
+    assert sorted(map(str, lake.batch_manifest(spark, root).drop("part").collect())) == \
+        sorted(map(str, lake.batch_manifest(spark, plain).drop("part").collect()))
+    # Three partitions, few packs: what is opened does not grow with the runs, nor does what lies there.
+    assert max(counts) <= 12 and len(lake.batch_rows(spark, plain).inputFiles()) >= 36
+    assert len(os.listdir(f"{root}/manifest")) <= 6 and len(os.listdir(f"{root}/snapshots")) <= 2
+    assert len(files(root)) < len(files(plain)) / 1.5
+
+
+def test_a_compaction_that_stops_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for number in range(3):
+        put(spark, root, number)
+    before = stored(spark, root)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+    monkeypatch.setattr(runs, "_write_sketch", stop)
+    with pytest.raises(RuntimeError):
+        lake.compact(spark, root)
+    monkeypatch.undo()
+    assert stored(spark, root) == before and len(os.listdir(f"{root}/packs")) == 1
+    lake.compact(spark, root)
+    assert stored(spark, root) == before
+    put(spark, root, 3)
+    monkeypatch.setattr(runs, "_clean", stop)
+    put(spark, root, 4)
+    with pytest.raises(RuntimeError):
+        lake.compact(spark, root)
+    monkeypatch.undo()
+    assert len(stored(spark, root)) == 30
+    put(spark, root, 5)
+    put(spark, root, 6)
+    lake.compact(spark, root)
+    # What the stopped compactions left is gone once it is older than the snapshot before.
+    put(spark, root, 7)
+    put(spark, root, 8)
+    lake.compact(spark, root)
+    assert len(stored(spark, root)) == 54
+    assert len(lake.batch_manifest(spark, root).select("part").distinct().collect()) <= len(os.listdir(f"{root}/packs")) + 1
+
+
+def test_a_reader_from_before_a_compaction_still_finds_its_files(spark, tmp_path):
+    root = str(tmp_path)
+    for number in range(2):
+        put(spark, root, number)
+    reader = lake.batch_rows(spark, root)
+    lake.compact(spark, root)
+    assert reader.count() == 12
+
+
+def test_a_run_in_a_pack_can_be_read_alone(spark, tmp_path):
+    root = str(tmp_path)
+    for number in range(3):
+        put(spark, root, number)
+    lake.compact(spark, root)
+    put(spark, root, 3)
+    catalog = lake.batch_manifest(spark, root)
+    for names in (["incremental_1"], ["incremental_0", "incremental_3"], ["incremental_3"], []):
+        got = lake.batch_rows(spark, root, catalog.filter(F.col("run").isin(names)))
+        assert {r.run for r in got.collect()} == set(names) and got.count() == 6 * len(names)
+    assert lake.known_ids(spark, root, before=2).count() == 12
+
+
+def test_only_runs_that_may_hold_an_id_are_opened(spark, tmp_path):
+    root = str(tmp_path)
+    for number in range(6):
+        put(spark, root, number, 40)
+        if number == 2:
+            lake.compact(spark, root)
+    catalog = lake.batch_manifest(spark, root)
+    assert len(catalog.select("part").distinct().collect()) == 4
+    shown = spark.createDataFrame([("s0", None, "id4_2"), ("s1", None, "id4_2"), ("s0", None, "id9_9"), ("s0", "c & 50%", "id4_0"),
+                                   ("nobody", None, "id1_1")], "site string, category string, id string")
+    parts = runs.parts_holding(spark, root, shown, catalog, ["site", "category"], "id")
+    assert parts == ["run=incremental_4"]
+    known = lake.known_among(spark, root, shown)
+    assert {(r.site, r.category, r.id) for r in known.collect()} == {("s0", None, "id4_2"), ("s0", "c & 50%", "id4_0")}
+    assert all("incremental_4" in f for f in known.inputFiles() if "/data/" in f or "/packs/" in f)
+    whole = lake.known_ids(spark, root)
+    every = rows_of(spark, 1, 40).unionByName(rows_of(spark, 5, 40)).unionByName(rows_of(spark, 7, 40)).select("site", "category", "id")
+    got = {tuple(r) for r in lake.known_among(spark, root, every).collect()}
+    assert got == {tuple(r) for r in whole.join(every.select("id"), "id", "left_semi").select("site", "category", "id").collect()} and len(got) == 80
+    assert lake.known_among(spark, root, every, before=5).count() == 40
+
+
+def test_tables_without_sketches_are_read_whole(spark, tmp_path):
+    root = str(tmp_path)
+    runs.write_run(rows_of(spark, 1).select("site", "category", "id"), root, "old", ["site"], lambda d: d.groupBy("site").agg(F.count("*").alias("rows")))
+    catalog = runs.manifest(spark, root, "site string, rows bigint")
+    keys = spark.createDataFrame([("s0", "none")], "site string, id string")
+    assert runs.parts_holding(spark, root, keys, catalog, ["site"], "id") == ["run=old"]
+
+
+def test_sketches_seldom_err(spark, tmp_path):
+    root, n = str(tmp_path), 20_000
+    ids = spark.range(n).select(F.lit("s").alias("source"), F.concat(F.lit("a"), "id").alias("id"), *(F.lit("x").alias(c) for c in ("content", "title", "url")),
+                                F.lit(NO_DATE).alias("published_at"))
+    publish(ids, root, "one")
+    catalog = runs.manifest(spark, root, "source string, rows bigint")
+    hits = sum(bool(runs.parts_holding(spark, root, spark.range(500).select(F.lit("s").alias("source"), F.concat(F.lit(f"b{k}_"), "id").alias("id")),
+                                       catalog, ["source"], "id")) for k in range(6))
+    assert hits <= 2
+    assert runs.parts_holding(spark, root, spark.createDataFrame([("s", "a19999")], "source string, id string"), catalog, ["source"], "id")
+
+
+def test_published_table_compacts_and_inserts_what_is_new(spark, tmp_path):
+    path = str(tmp_path)
+    articles = rows_of(spark, 1).select("content", "id", "published_at", "source", "title", "url")
+    for run in ("a", "b", "c"):
+        publish(articles.withColumn("id", F.concat("id", F.lit(run))), path, run)
+    assert published.compact(spark, path) == 3
+    publish(articles.withColumn("id", F.concat("id", F.lit("b"))).unionByName(articles), path, "d", "insert_new")
+    publish(articles, path, "b")
+    assert read_published(spark, path).count() == 24 and read_published(spark, path).select("id").distinct().count() == 24
+
+
+def test_broken_and_missing_pages_are_rejects_of_the_run(spark, tmp_path):
+    root = str(tmp_path)
+    listing = spark.createDataFrame([("u.today", None, k, f"id{k}", f"u{k}", f"t{k}", NO_DATE) for k in range(4)],
+                                    "source string, category string, pos bigint, id string, url string, title string, published_at string")
+    pages = spark.createDataFrame([(0, "u0", '<div class="article__content">x</div>', "u.today"), (1, "u1", "<![broken x", "u.today"),
+                                   (2, "u2", None, "u.today")], "page_id bigint, url string, html string, source string")
+    for _ in range(2):
+        jobs.run_full(spark, listing, pages, root, run="full_1")
+    assert {(r.url, r.reason, r.run) for r in jobs.run_page_rejects(spark, root).collect()} == {
+        ("u1", "unreadable page", "full_1"), ("u2", "no page", "full_1"), ("u3", "no page", "full_1")}
+    assert jobs.run_page_rejects(spark, f"{root}/none").count() == 0
+
+
+# ---- the cut of a stream
+
+CARDS = "source string, category string, pos bigint, id string, title string"
+
+
+def test_stream_cut_over_three_starts(spark, tmp_path):
+    landing, out, marks = (str(tmp_path / n) for n in ("landing", "out", "marks"))
+    cards = [("a", None, k, f"a{k}") for k in range(30)] + [("b", "x", k, f"b{k}") for k in range(30)] + [("c", None, k, f"c{k % 10}") for k in range(30)]
+    seen = spark.createDataFrame([("a", None, "a4"), ("a", None, "a1000"), ("b", "x", "b17"), ("b", None, "b2")], "source string, category string, id string")
+    for low, high in ((0, 10), (10, 20), (20, 30)):
+        spark.createDataFrame([(*c, "t") for c in cards if low <= c[2] < high], CARDS).write.parquet(f"{landing}/{low}")
+        stream = spark.readStream.schema(CARDS).option("recursiveFileLookup", True).parquet(landing)
+        stream_cut.run_cut(stream, seen, out, marks)
+    got = {how: [(r.source, r.id, r.rn) for r in stream_cut.ended(spark, out, stream.dtypes, on_no_match=how).orderBy("source", "rn").collect()]
+           for how in ("keep", "drop")}
+    want = [("a", f"a{k}", k + 1) for k in range(4)] + [("b", f"b{k}", k + 1) for k in range(17)]
+    assert got["drop"] == want and got["keep"] == want + [("c", f"c{k}", k + 1) for k in range(10)]
+    assert {tuple(r) for r in stream_cut.stopped_listings(spark, out, stream.dtypes).collect()} == {("a", None), ("b", "x")}
+    with pytest.raises(ValueError):
+        stream_cut.ended(spark, out, stream.dtypes, on_no_match="perhaps")
