@@ -18,6 +18,7 @@ from newslake.sources.articles import (
     articles_from_hits, list_batches, read_articles, read_batches_ordered, read_files,
 )
 from newslake.sources.extract import extract_articles, listing_cards, page_rejects
+from newslake.sources.globs import read_inputs
 from newslake.sources.published import publish, run_name
 from newslake.sources.rules import RULES
 from newslake.sources.runs import committed
@@ -27,17 +28,13 @@ SITE = ("site", "category")
 
 
 def concat_inputs(spark: SparkSession, inputs, dedup: str = "per_input", layout: str = "array") -> DataFrame:
-    """All inputs in one table. Copies of an id stay if they come from different inputs
+    """All inputs in one table, by one scan. Copies of an id stay if they come from different inputs
     (``"per_input"``), or not (``"global"``)."""
     if dedup == "global":
         return dedup_any(read_articles(spark, list(inputs), layout))
     if dedup != "per_input":
         raise ValueError(f"dedup must be 'per_input' or 'global', not {dedup!r}")
-    union = None
-    for i, path in enumerate(inputs):
-        one = read_articles(spark, path, layout).withColumn("_input", F.lit(i))
-        union = one if union is None else union.unionByName(one)
-    return dedup_any(union, ("_input", "id")).drop("_input")
+    return dedup_any(read_inputs(spark, inputs, layout), ("_input", "id")).drop("_input")
 
 
 def concat(spark: SparkSession, inputs, output: str, dedup: str = "per_input", layout: str = "array") -> None:

@@ -353,6 +353,13 @@ SELECT NULL, NULL, NULL, count(*) FROM numbered""")
 
 oracle("concat_per_input", f"""
 SELECT DISTINCT lang AS source, md5({FIRST_LINE}) AS id, {FIRST_LINE} AS url FROM documents""")
+oracle("concat_one_scan", f"""
+WITH named AS (
+  SELECT unnest(range(18))::INTEGER AS _input, unnest([
+    ['de'], ['en'], ['es'], ['fr'], ['de'], ['en'], ['es'], ['fr'], ['de'], ['en'], ['es'], ['fr'], ['de', 'en', 'es', 'fr'],
+    ['de', 'fr'], ['de', 'en', 'es'], ['en', 'es'], ['es'], ['de', 'en', 'es', 'fr']]) AS langs)
+SELECT _input, lang AS source, count(*) AS articles, count(DISTINCT md5({FIRST_LINE})) AS ids
+FROM named JOIN documents ON list_contains(langs, lang) GROUP BY _input, lang""")
 oracle("concat_global", f"""
 SELECT DISTINCT md5({FIRST_LINE}) AS id, {FIRST_LINE} AS url FROM documents""")
 

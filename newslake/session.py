@@ -61,6 +61,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
+def matches(spark: SparkSession, glob: str) -> bool:
+    """Does a path or glob name anything?"""
+    store, place = _place(spark, glob)
+    return bool(store.globStatus(place))
+
+
 def child_names(spark: SparkSession, path: str) -> list:
     """The names of the folders in a folder; none where there is no such folder."""
     store, place = _place(spark, path)
