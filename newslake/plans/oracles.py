@@ -175,6 +175,7 @@ WITH {_EVENTS} SELECT content, id, epoch_s AS published_at, source, title, url F
 oracle("publish_documents", _PUBLISHED)
 oracle("stream_dedup", _PUBLISHED)
 oracle("stream_dedup_state", _PUBLISHED)
+oracle("publish_datasource", _PUBLISHED)
 oracle("sink_roundtrip", f"WITH {_EVENTS} SELECT content, id, published_at, source, title, url FROM ev")
 
 oracle("project_article", f"""

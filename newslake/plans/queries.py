@@ -18,6 +18,7 @@ from newslake.sources import extract, lake
 from newslake.sources.articles import (
     articles_from_hits, list_batches, read_articles, read_batches_ordered, read_files, read_pages,
 )
+from newslake.sources.datasource import publish_to_store, read_store
 from newslake.sources.globs import read_inputs
 from newslake.sources.published import publish, read_published
 from newslake.sources.rules import Cards, Field, Root, Rule
@@ -788,6 +789,15 @@ def job_full(spark, sf_dir):
                      last.select("source", "category", "last_batch"), batch_size=10)
 
 
+@query
+def publish_datasource(spark, sf_dir):
+    """The events in published form, in a store that commits runs as a whole; the second start changes nothing."""
+    path, documents = scratch_path(spark, "store"), A.to_document(A.to_article(event_articles(spark, sf_dir)))
+    for _ in range(2):
+        publish_to_store(documents, path, "events")
+    return read_store(spark, path, documents.schema)
+
+
 # ---- runs on the lake
 
 def run_listing(spark, sf_dir):
