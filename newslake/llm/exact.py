@@ -28,8 +28,12 @@ def normalised(text: str) -> bytes:
     return text.encode().translate(None, _WHITE)
 
 
+# What an entry takes besides its content: slots, hash, object heads, places in lists, the value.
+_ENTRY = 450
+
+
 class ContentTable:
-    """Open addressing with linear probing; a slot is a place in the lists of hashes and contents."""
+    """Open addressing with linear probing; a slot is a place in the lists of hashes and contents. ``size`` is in bytes."""
 
     def __init__(self):
         self.slots, self.hashes, self.contents, self.values, self.size = [-1] * 1024, [], [], [], 0
@@ -47,7 +51,7 @@ class ContentTable:
         self.hashes.append(h)
         self.contents.append(content)
         self.values.append(value)
-        self.size += len(content)
+        self.size += len(content) + _ENTRY
         if 2 * len(self.values) > len(slots):
             self._grow()
         return value
@@ -62,18 +66,21 @@ class ContentTable:
             slots[i] = place
 
 
-def grace(records, add, memory: int, level: int = 0):
+def grace(records, add, memory: int, level: int = 0, pause: int = 0):
     """Tables that between them hold every distinct content of ``records``, one at a time.
 
     ``records`` are ``(hash, content, payload)``. Those that fit ``memory`` bytes go to one table; else what is
     there already stays, and all other contents go to ``FAN_OUT`` spill files by the next bits of their hash, each of
     which is treated alike. A content that a table holds needs no spilling, so copies cost nothing.
-    ``add(value, payload)`` gives the value of a content, at first with ``None``.
+    ``add(value, payload)`` gives the value of a content, at first with ``None``. With ``pause`` there is a ``None`` after so
+    many records, for callers that hand on what they have gathered.
     """
     table, folder, files = ContentTable(), None, []
     shift = 60 - 4 * level
     try:
-        for h, content, payload in records:
+        for count, (h, content, payload) in enumerate(records, 1):
+            if pause and count % pause == 0:
+                yield None
             if table.size < memory or shift < 0:
                 slot = table.find(h, content, [None])
             else:
@@ -91,7 +98,7 @@ def grace(records, add, memory: int, level: int = 0):
             file.close()
         for file in files:
             if os.path.getsize(file.name):
-                yield from grace(_read(file.name), add, memory, level + 1)
+                yield from grace(_read(file.name), add, memory, level + 1, pause)
             os.unlink(file.name)
     finally:
         for file in files:
@@ -133,9 +140,9 @@ _OUT, _OUT_BYTES = 2_000, 8 << 20
 
 
 def _local(memory):
-    """Rows of one task to records, and members that point to them."""
+    """Rows of one task to records, and members that point to them; members are handed on as they come."""
     def run(batches):
-        task, numbers = TaskContext.get().partitionId() << 40, iter(range(1 << 40))
+        task, numbers, out = TaskContext.get().partitionId() << 40, iter(range(1 << 40)), []
 
         def records():
             for batch in batches:
@@ -145,19 +152,18 @@ def _local(memory):
                     yield xxhash.xxh3_64_intdigest(content), content, (len(text), doc_id)
 
         def add(value, payload):
-            number, best, members = value or (task | next(numbers), None, [])
-            mine = (*payload, number)
-            members.append(payload)
-            return number, _better(best, mine) if best else mine, members
-
-        for table in grace(records(), add, memory):
+            number, best, n = value or (task | next(numbers), None, 0)
+            out.append((number, None, None, None, None, None, payload[1], n))
+            mine = (*payload, number, n)
+            return number, _better(best, mine) if best else mine, n + 1
+
+        for table in grace(records(), add, memory, pause=_OUT):
+            yield out[:]
+            out.clear()
             rows, size = [], 0
-            for h, content, (value,) in zip(table.hashes, table.contents, table.values):
-                number, best, members = value
-                digest, first = hashlib.sha256(content).hexdigest(), members.index(best[:2])
-                rows.append((number, _signed(h), content, best[0], best[1], len(members), None, None, None))
-                rows += [(number, None, None, None, None, None, member, digest, k == first)
-                         for k, (_, member) in enumerate(members)]
+            for h, content, (value,) in zip(table.hashes, table.contents, table.values) if table else ():
+                number, (chars, best, _, place), n = value
+                rows.append((number, _signed(h), content, chars, best, n, None, place))
                 size += len(content)
                 if len(rows) >= _OUT or size >= _OUT_BYTES:
                     yield rows
@@ -167,12 +173,12 @@ def _local(memory):
 
 
 def _meet(memory):
-    """Records with equal content get one answer."""
+    """Records with equal content get one answer; ``place`` is that of the row that stays, where it is in this record."""
     def run(batches):
         def records():
             for batch in batches:
-                for number, h, content, chars, best, count in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield h & (1 << 64) - 1, content, (count, (chars, best, number))
+                for number, h, content, chars, best, count, place in zip(*(c.to_pylist() for c in batch.columns)):
+                    yield h & (1 << 64) - 1, content, (count, (chars, best, number, place))
 
         def add(value, payload):
             count, best = payload
@@ -182,9 +188,10 @@ def _meet(memory):
 
         for table in grace(records(), add, memory):
             rows = []
-            for (value,) in table.values:
-                total, (_, keep, winner), numbers = value
-                rows += [(number, keep, total, number == winner) for number in numbers]
+            for content, (value,) in zip(table.contents, table.values):
+                total, (_, keep, winner, place), numbers = value
+                digest = hashlib.sha256(content).hexdigest()
+                rows += [(number, keep, total, place if number == winner else None, digest) for number in numbers]
                 if len(rows) >= _OUT:
                     yield rows
                     rows = []
@@ -208,22 +215,23 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text stays, of these the one with the smallest id; a null id comes after all others. Columns: the id column,
     ``keep_id``, ``group_size``, ``kept``, ``text_sha256``. A null text counts as empty, and empty texts are copies of
     each other. Of rows that repeat both id and text, one is kept. An empty table gives an empty table; other columns
-    of any name are not read. ``memory`` bounds the bytes of content a task holds at a time; beyond it, it spills.
+    of any name are not read; ids must be integers. ``memory`` bounds the bytes that a task's table takes, content and
+    all; beyond it, it spills. Members of a group, however many, are handed on and not gathered.
     """
     schema = pa.schema([("number", pa.int64()), ("h", pa.int64()), ("content", pa.binary()), ("chars", pa.int64()),
-                        ("best", pa.int64()), ("n", pa.int64()), ("member", pa.int64()), ("sha", pa.string()),
-                        ("first", pa.bool_())])
+                        ("best", pa.int64()), ("n", pa.int64()), ("member", pa.int64()), ("place", pa.int64())])
     rows = staged(docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(
         _batches(_local(memory), schema), "number bigint, h bigint, content binary, chars bigint, best bigint, n bigint, "
-        "member bigint, sha string, first boolean"), "exact")
-    answer = pa.schema([("number", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("wins", pa.bool_())])
-    records = rows.filter(F.col("h").isNotNull()).select("number", "h", "content", "chars", "best", "n")
+        "member bigint, place bigint"), "exact")
+    answer = pa.schema([("number", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("winner", pa.int64()),
+                        ("text_sha256", pa.string())])
+    records = rows.filter(F.col("h").isNotNull()).select("number", "h", "content", "chars", "best", "n", "place")
     met = records.repartition("h").mapInArrow(_batches(_meet(memory), answer),
-                                              "number bigint, keep_id bigint, group_size bigint, wins boolean")
-    members = rows.filter(F.col("h").isNull()).select("number", "member", "sha", "first")
+                                              "number bigint, keep_id bigint, group_size bigint, winner bigint, text_sha256 string")
+    members = rows.filter(F.col("h").isNull()).select("number", "member", "place")
     return members.join(met, "number").select(
-        F.col("member").alias(id_col), "keep_id", "group_size", (F.col("first") & F.col("wins")).alias("kept"),
-        F.col("sha").alias("text_sha256"))
+        F.col("member").alias(id_col), "keep_id", "group_size", F.coalesce(F.col("place") == F.col("winner"), F.lit(False)).alias("kept"),
+        "text_sha256")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", memory: int = 48 << 20) -> DataFrame:
