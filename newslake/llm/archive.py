@@ -295,7 +295,8 @@ def read_packages(packages: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return packages.select("path").repartition("path").mapInArrow(
+    # By number, which keeps each package apart: paths are few bytes, and would be put together again.
+    return packages.select("path").repartitionByRange(max(1, packages.count()), "path").mapInArrow(
         run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
         "url string, payload binary")
 
