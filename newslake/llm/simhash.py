@@ -112,17 +112,34 @@ class Linker:
 
     def __init__(self, points, mask, radius, max_bits):
         self.points, self.mask, self.radius, self.max_bits = points, mask, radius, max_bits
+        self.others = ~mask  # bits that no tree above has looked at
         self.label = np.arange(len(points))
 
     def _rows(self, rows, columns):
-        """Compare every row with every column."""
+        """Compare every row with every column, 64 with 65,536 at a time."""
         for k in range(0, len(rows), 64):
             part = rows[k:k + 64]
-            near = np.bitwise_count(self.points[part][:, None] ^ self.points[columns][None, :]) <= self.max_bits
-            near &= self.label[part][:, None] != self.label[columns][None, :]
-            i, j = np.nonzero(near)
-            if len(i):
-                self._join(np.unique(np.stack((self.label[part[i]], self.label[columns[j]]), 1), axis=0))
+            for at in range(0, len(columns), 1 << 16):
+                some = columns[at:at + (1 << 16)]
+                near = np.bitwise_count(self.points[part][:, None] ^ self.points[some][None, :]) <= self.max_bits
+                near &= self.label[part][:, None] != self.label[some][None, :]
+                i, j = np.nonzero(near)
+                if len(i):
+                    self._join(np.unique(np.stack((self.label[part[i]], self.label[some[j]]), 1), axis=0))
+
+    def _deeper(self, search, *sides):
+        """For points that these bits do not part: trees on each half of the bits not yet looked at, in one of which
+        linked points differ in half of ``max_bits`` at most. Where no bits are left, all are compared."""
+        bits = [b for b in range(64) if int(self.others) >> b & 1]
+        if len(bits) < 16:
+            self._dense(np.unique(np.concatenate(sides)))
+            return
+        before = self.mask, self.radius, self.others
+        for half in (bits[:len(bits) // 2], bits[len(bits) // 2:]):
+            self.mask = np.uint64(sum(1 << b for b in half))
+            self.radius, self.others = self.max_bits // 2, np.uint64(int(before[2]) & ~int(self.mask))
+            search(*sides)
+        self.mask, self.radius, self.others = before
 
     def _join(self, pairs):
         root = {}
@@ -172,7 +189,7 @@ class Linker:
             return
         cost, vantage, mu = self._split(who)
         if cost > 0.9:
-            self._dense(who)
+            self._deeper(self.own, who)
             return
         inside, shell_in, shell_out = shells(_distance(self.points[who] & self.mask, vantage), mu, self.radius)
         self.own(who[inside])
@@ -187,7 +204,7 @@ class Linker:
             return
         cost, vantage, mu = self._split(np.concatenate((a, b)))
         if cost > 0.9:
-            self._dense(np.unique(np.concatenate((a, b))))
+            self._deeper(self.across, a, b)
             return
         (ia, sia, soa), (ib, sib, sob) = (
             shells(_distance(self.points[x] & self.mask, vantage), mu, self.radius) for x in (a, b))
