@@ -5,7 +5,9 @@ the phrases that excuse a word, and the rate at which a text counts as toxic are
 """
 
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -61,8 +63,14 @@ class Lexicon:
         if not self.weights or not words:
             return []
         found = [(end - size + 1, end, weight) for end, (size, weight) in machine.iter(f" {' '.join(words)} ")]
-        spans = [(a, b) for a, b, weight in found if weight is None]
-        return [(a, w) for a, b, w in found if w is not None and not any(x <= a and a + 1 < y for x, y in spans)]
+        spans = sorted((a, b) for a, b, weight in found if weight is None)
+        starts, reach = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+
+        def excused(a):
+            """Is there a phrase that begins no later and goes on beyond?"""
+            k = bisect_right(starts, a)
+            return k > 0 and a + 1 < reach[k - 1]
+        return [(a, w) for a, _, w in found if w is not None and not excused(a)]
 
     def rate(self, machine, words) -> float:
         """Weight of the hits for a hundred words, with some words added so that short texts do not run off."""
