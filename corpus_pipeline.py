@@ -8,7 +8,7 @@ import public_tokenizers
 
 from newslake.llm import exact, packing, pii, quality, simhash
 from newslake.llm.common import table
-from newslake.llm.queries import PSEUDONYM_KEY
+from newslake.llm.queries import pseudonym_key
 from newslake.session import prepare, scratch_path
 
 
@@ -30,7 +30,7 @@ def simhash_near_dedup(spark, docs, sf_dir):
 
 def pii_pseudonyms(spark, docs, sf_dir):
     """Personal values become pseudonyms; all documents stay."""
-    return pii.pseudonymise_documents(docs, PSEUDONYM_KEY, length_col="n_chars")
+    return pii.pseudonymise_documents(docs, pseudonym_key(spark), length_col="n_chars")
 
 
 def pack_sequences(spark, docs, sf_dir):

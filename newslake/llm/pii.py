@@ -5,10 +5,11 @@ read as a number below the count of valid values of its format, that number is p
 is written in the same format with new check digits. The permutation has no state, so equal values get equal
 pseudonyms in all documents and on all machines, and whoever has the key can undo it.
 
-Secrets are what follows a keyword in any case, to the end of the token. Dates are year-month-day, day-month-year and,
+Secrets are what follows a keyword in any case, alone or as part of a longer name set off by ``_`` or ``-``
+(``DB_PASSWORD``, ``access_token``), to the end of the token, and what follows ``Bearer`` if it has a digit and 16 characters. Dates are year-month-day, day-month-year and,
 where that is no date, month-day-year, with parts of one or two digits, and months by their English names before or
 after the day. These forms stay as they are: secrets of fewer than eight characters, without a keyword, after one that
-is part of a longer name (``DB_PASSWORD``), or from the first character on that is not a letter, a digit or one of
+runs into a longer name (``accessToken``), or from the first character on that is not a letter, a digit or one of
 ``_+/.=-``; dates with years of two digits or outside 1900 to 2099, ordinals (25th), names of months in upper or
 lower case or in other languages, dates without a year, and times of day.
 """
@@ -239,7 +240,9 @@ def _access_key(f, m, undo):
 _KINDS = {
     "email": (r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-])", _mail),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])", _access_key),
-    "secret": (r"(?P<head>\b(?i:token|password|passwd|secret|api_?key)\b\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9_+/.=-]{8,})", _secret),
+    "secret": (r"(?P<head>(?<![\w-])(?:[\w-]{0,40}[_-])?(?i:token|password|passwd|secret|api_?key)(?:[_-][\w-]{0,40})?[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+               r"(?P<value>[A-Za-z0-9_+/.=-]{8,})", _secret),
+    "bearer": (r"(?P<head>\b[Bb]earer\s{1,3})(?P<value>(?=\S{0,200}?\d)[A-Za-z0-9_+/.=~-]{16,})", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])", _iban),
     "card": (r"(?<![\d.-])(?:\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}(?P<sep2>[ -])\d{6}(?P=sep2)\d{5}|\d{13,19})(?!\d)", _card),
     "phone": (r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)", _phone),
