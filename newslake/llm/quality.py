@@ -158,8 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_texts: int = 3_000, max_lines: i
 
     That is a weak label, for bad documents hold some good lines; as such lines are many in good documents, they
     come out as content. Learned from: of each quality, the half of ``max_texts`` ids that are least by hash, with all
-    lines of their texts, cut into chains of ``max_lines`` lines; of more than ``4 * max_texts`` chains those that are
-    least by hash, wherever in a text they stand. These bounds are the trainer's alone. Without labels of both kinds
+    lines of their texts, cut into chains of ``max_lines`` lines; texts are taken whole, in the order of the hash, as long as
+    they have ``4 * max_texts`` chains together. These bounds on graded texts are the trainer's alone. Without labels of both kinds
     the field is empty and marks all as content.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
@@ -184,8 +184,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_texts: int = 3_000, max_lines: i
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(chosen, "_id").select("_id", "text", "quality")
     kind = texts.schema["_id"].dataType.simpleString()
-    cut = texts.mapInArrow(run, f"_id {kind}, chain bigint, places array<int>, quality int")
-    rows = cut.orderBy(F.xxhash64("_id", "chain"), "_id", "chain").limit(4 * max_texts).select("chain", "places", "quality").collect()
+    cut = staged(texts.mapInArrow(run, f"_id {kind}, chain bigint, places array<int>, quality int"), "chains")
+    # A count for each of the graded texts, which are few.
+    taken, total = [], 0
+    for row in cut.groupBy("_id").count().orderBy(F.xxhash64("_id"), "_id").collect():
+        if total + row["count"] <= 4 * max_texts:
+            taken.append(row["_id"])
+            total += row["count"]
+    kept = cut if len(taken) == cut.select("_id").distinct().count() else cut.filter(F.col("_id").isin(taken))
+    rows = kept.orderBy(F.xxhash64("_id", "chain"), "_id", "chain").select("chain", "places", "quality").collect()
     if {r.quality for r in rows} != {0, 1}:
         return Field()
     width = len(_FEATURES)

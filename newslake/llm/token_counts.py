@@ -1,15 +1,24 @@
-"""Token counts without token ids: pieces once per distinct pre-token, times how often a document has it."""
+"""Token counts without token ids: pieces once per distinct pre-token, times how often a document has it.
+
+Documents are taken in groups of some megabytes. A group keeps its distinct pre-tokens and, for each document, how often
+it has which of them. The distinct pre-tokens of all groups are made one table, in which each is counted once; that table
+joins back to the groups' pre-tokens, so a pre-token is shuffled once for a group, not for a document, and the counts of
+a group's documents are sums of products.
+"""
 
 import hashlib
 import re
-from collections import Counter
-from operator import mul
+from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from newslake.llm.common import Memo, read_file, worker_state
+from newslake.llm.common import read_file, worker_state
+from newslake.session import staged
 
 _MARK = "▁"  # what the model writes for a space
 _PRE_TOKEN = re.compile(" +[^ ]*")
@@ -23,7 +32,7 @@ class PieceCounter:
     pre-tokens and their counts add up. The model puts a space before each text, so a pre-token loses its first.
     """
 
-    def __init__(self, data: bytes, memo: int):
+    def __init__(self, data: bytes):
         import sentencepiece
 
         self.model = model = sentencepiece.SentencePieceProcessor(model_proto=data)
@@ -31,9 +40,13 @@ class PieceCounter:
         if any(_MARK in p.lstrip(_MARK) for p in pieces) or model.encode_as_pieces("a  b") != [_MARK + "a", _MARK, _MARK + "b"] \
                 and "".join(model.encode_as_pieces("a  b")) != _MARK + "a" + 2 * _MARK + "b":
             raise ValueError("this model's pieces do not end at spaces")
-        self.count = Memo(lambda rest: len(model.encode_as_ids(rest)) if rest else 1, memo)
 
-    def pre_tokens(self, text: str, size: int = 1 << 18):
+    def counts(self, rests: list) -> list:
+        """Pieces of pre-tokens, given without their first space."""
+        return [len(p) if rest else 1 for rest, p in zip(rests, self.model.encode(rests, out_type=str, num_threads=1))]
+
+    @staticmethod
+    def pre_tokens(text: str, size: int = 1 << 18):
         """The pre-tokens of a text without their first space, in lists for slices of the text."""
         if not text:
             return
@@ -46,33 +59,123 @@ class PieceCounter:
             start = end
 
     def tokens(self, text: str) -> int:
-        frequencies = Counter()
-        for part in self.pre_tokens(text):
-            frequencies.update(part)
-        return sum(map(mul, map(self.count.__getitem__, frequencies), frequencies.values()))
+        """Of one text, for trying out a model."""
+        group = Group()
+        group.add(None, 0, text)
+        return int(group.sums(np.array(self.counts(group.tokens()), np.int64))[0])
+
+
+class Group:
+    """Documents with the frequencies of their pre-tokens, which the group numbers."""
+
+    def __init__(self):
+        self.numbers = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.ids, self.n_bytes, self.places, self.times, self.sizes = [], [], [], [], []
+        self.held = 0
+
+    def add(self, doc_id, n_bytes: int, text: str) -> None:
+        number, parts = self.numbers.__getitem__, []
+        for part in PieceCounter.pre_tokens(text):
+            parts.append(np.fromiter(map(number, part), np.int32, len(part)))
+        places, times = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.int32),) * 2
+        self.ids.append(doc_id)
+        self.n_bytes.append(n_bytes)
+        self.places.append(places.astype("<i4"))
+        self.times.append(times.astype("<i4"))
+        self.sizes.append(len(places))
+        self.held += len(text)
+
+    def tokens(self) -> list:
+        return list(self.numbers)
+
+    def frequencies(self) -> tuple:
+        """Of all documents one after the other: how many pre-tokens each has, which, and how often."""
+        return np.array(self.sizes, "<i4"), np.concatenate(self.places), np.concatenate(self.times)
+
+    def sums(self, counts: np.ndarray) -> np.ndarray:
+        return sums_of(*self.frequencies(), counts)
+
+
+def sums_of(sizes, places, times, counts) -> np.ndarray:
+    """For each document its frequencies times the counts of its pre-tokens."""
+    ends = np.concatenate([[0], np.cumsum(counts[places] * times)])
+    stops = np.cumsum(sizes)
+    return ends[stops] - ends[stops - sizes]
+
+
+def frequency_groups(docs: DataFrame, id_col: str, text_col: str, group: int) -> DataFrame:
+    """One row for each group of documents, as a stored table: ids, bytes, distinct pre-tokens, and frequencies."""
+    schema = T.StructType([
+        T.StructField("group", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[id_col].dataType)),
+        T.StructField("n_bytes", T.ArrayType(T.LongType())), T.StructField("tokens", T.ArrayType(T.StringType())),
+        *(T.StructField(n, T.BinaryType()) for n in ("sizes", "places", "times"))])
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 32
+
+        def row():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([held.ids], pa.list_(kind)), pa.array([held.n_bytes], pa.list_(pa.int64())),
+                 pa.array([held.tokens()], pa.list_(pa.string())), *(pa.array([a.tobytes()], pa.binary()) for a in held.frequencies())],
+                ["group", "ids", "n_bytes", "tokens", "sizes", "places", "times"])
+
+        held, kind = Group(), None
+        for batch in batches:
+            kind = batch.schema.types[0]
+            for doc_id, text, n_bytes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                held.add(doc_id, n_bytes, text.as_py() or "")
+                if held.held >= group or len(held.ids) >= 100_000:
+                    yield row()
+                    held, number = Group(), number + 1
+        if held.ids:
+            yield row()
+
+    n_bytes = F.coalesce(F.octet_length(F.col(text_col)).cast("bigint"), F.lit(0).cast("bigint"))
+    return staged(docs.select(F.col(id_col), F.col(text_col), n_bytes).mapInArrow(run, schema), "frequencies")
+
+
+def piece_counts(tokens: DataFrame, data: bytes) -> DataFrame:
+    """``token, pieces`` of each distinct pre-token, counted once."""
+    key = ("pieces", hashlib.md5(data).hexdigest())
+
+    def run(batches):
+        counter = worker_state(key, lambda: PieceCounter(data))
+        for batch in batches:
+            counts = counter.counts(batch.column(0).to_pylist()) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["token", "pieces"])
+
+    return staged(tokens.select("token").distinct().mapInArrow(run, "token string, pieces bigint"), "pieces")
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text",
-                 memo: int = 250_000) -> DataFrame:
+                 group: int = 16 << 20) -> DataFrame:
     """Tokens of each text as the sentencepiece model gives them, without begin or end tokens.
 
-    Each worker keeps the counts of the distinct pre-tokens it has met (``memo`` entries in two generations at most);
-    a document's frequencies look them up, so the join needs no shuffle and ids are never kept. Columns: the id
-    column, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens).
+    Columns: the id column, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens).
     A null text counts as empty: zero bytes and tokens. Repeated rows are repeated, an empty table gives an empty
-    table, other columns of any name are not read, long texts are taken in slices.
+    table, other columns of any name are not read, long texts are taken in slices. A group ends at ``group`` characters;
+    the document that ends it, and a group's pre-tokens, are what a task holds. A pre-token that all groups have is as
+    many rows of the join as there are groups, which the adaptive skew join parts.
     """
     data = read_file(model)
-    key = ("pieces", hashlib.md5(data).hexdigest(), memo)
-
-    def run(batches):
-        counter = worker_state(key, lambda: PieceCounter(data, memo))
-        for batch in batches:
-            counts = [counter.tokens(text.as_py() or "") for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
-                                             [batch.schema.names[0], "n_bytes", "n_tokens"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    n_bytes = F.coalesce(F.octet_length(F.col(text_col)).cast("bigint"), F.lit(0).cast("bigint")).alias("n_bytes")
-    counted = docs.select(id_col, text_col, n_bytes).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    groups = frequency_groups(docs, id_col, text_col, group)
+    tokens = groups.select(F.col("group").alias("of"), F.posexplode("tokens").alias("place", "token"))
+    counts = tokens.join(piece_counts(tokens, data), "token").select("of", "place", "pieces")
+    kind = T.StructType([docs.schema[id_col]]).fields[0].dataType
+
+    def run(left, right):
+        out = []
+        counts = np.zeros(right.num_rows, np.int64)
+        counts[right["place"].to_numpy()] = right["pieces"].to_numpy()
+        for row in range(left.num_rows):
+            sizes, places, times = (np.frombuffer(left[c][row].as_py(), "<i4") for c in ("sizes", "places", "times"))
+            ids = left["ids"].combine_chunks().slice(row, 1).flatten()
+            out.append(pa.table([ids, left["n_bytes"].combine_chunks().slice(row, 1).flatten(),
+                                 pa.array(sums_of(sizes, places, times, counts), pa.int64())], names))
+        return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in (pa.int64(),) * 3], names)
+
+    names = [id_col, "n_bytes", "n_tokens"]
+    schema = T.StructType([T.StructField(id_col, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
+    summed = groups.drop("tokens").groupBy("group").cogroup(counts.groupBy("of")).applyInArrow(run, schema)
+    return summed.withColumn("over_limit", F.col("n_tokens") > limit)
