@@ -36,14 +36,15 @@ class Memo(dict):
         if value is None:
             value = self.compute(key)
         if len(key) <= 64:
-            self.put(key, value)
+            self.learn([(key, value)])
         return value
 
-    def put(self, key, value):
+    def learn(self, pairs):
+        """Add what was computed elsewhere; the limit holds but for the pairs of one call."""
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        self[key] = value
+        self.update(pairs)
 
 
 _GAP = re.compile(r"[\t\n\x0b\x0c\r ]")

@@ -15,11 +15,12 @@ import hashlib
 import json
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
 from array import array
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from newslake.session import scratch_path
 
 _MARK = b"EFTOKEN1"
 _SAMPLE = 512
+_MARKS, _LETTERS = ".,;:!?", frozenset(string.ascii_letters)
 
 
 # ---- rising numbers
@@ -241,10 +243,13 @@ class TextIds:
         self.by_runs = plain and spec.get("normalizer") is None and before.get("type") == "ByteLevel" \
             and before.get("use_regex") and not before.get("add_prefix_space")
         self.known = Memo(lambda run: self.encoded([run])[0], memo)
+        self.marks = dict(zip(_MARKS, self.encoded(list(_MARKS))))
 
     def encoded(self, texts: list) -> list:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
+        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        data = np.fromiter(chain.from_iterable(found), f"<u{self.width}").tobytes()
+        ends = [0, *(self.width * n for n in accumulate(map(len, found)))]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
     def blocks(self, text: str, size: int = 1 << 20):
         """The ids of ``text`` in blocks, a slice of the text each."""
@@ -280,11 +285,26 @@ class TextIds:
     def _joined(self, group: list) -> list:
         """The ids of lists of runs; those not yet known are asked for in one call."""
         known = self.known
-        new = [r for r in set().union(*group) if r not in known and r not in known.older and len(r) <= 64]
+        found = [list(map(known.get, runs)) for runs in group]
+        new = {run for runs, ids in zip(group, found) if None in ids for run, i in zip(runs, ids) if i is None}
         if new:
-            for run, ids in zip(new, self.encoded(new)):
-                known.put(run, ids)
-        return [b"".join(map(known.__getitem__, runs)) for runs in group]
+            self._learn(new)
+            for runs, ids in zip(group, found):
+                if None in ids:
+                    ids[:] = [known[run] if i is None else i for run, i in zip(runs, ids)]
+        return [b"".join(ids) for ids in found]
+
+    def _learn(self, new: set) -> None:
+        known, older = self.known, self.known.older
+        again = new.intersection(older)
+        known.learn(list(zip(again, map(older.__getitem__, again))))
+        new = [r for r in new.difference(again) if len(r) <= 64]
+        # A mark after a letter is a pre-token of its own, so many runs are a known one and a mark.
+        ended = [r for r in new if len(r) > 1 and r[-1] in _MARKS and r[-2] in _LETTERS]
+        stems = {r[:-1] for r in ended}
+        asked = list(stems.difference(known).difference(older).union(new).difference(ended))
+        known.learn(zip(asked, self.encoded(asked)))
+        known.update([(r, known[r[:-1]] + self.marks[r[-1]]) for r in ended])
 
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
