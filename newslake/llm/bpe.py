@@ -152,7 +152,7 @@ def _packed(ids: list) -> bytes:
 class Encoder:
     """Texts to ids. Words apart by white space are independent here, so each is a stream of its own."""
 
-    def __init__(self, spec: dict, memo: int = 700_000):
+    def __init__(self, spec: dict, memo: int = 400_000):
         self.spec, self.library = spec, None
         if json.dumps(spec.get("normalizer")).count('"type"') != 4 or spec.get("post_processor"):
             raise ValueError("only lower-casing vocabularies that drop white space are known here")
@@ -237,7 +237,7 @@ class Decoder:
         yield machine.decode(b"", True)
 
 
-def load(data: bytes, memo: int = 700_000):
+def load(data: bytes, memo: int = 400_000):
     """Encoder and decoder of a tokenizer file, kept for the life of the worker."""
     def make():
         spec = json.loads(data)
