@@ -13,7 +13,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,23 +65,34 @@ class PieceCounter:
         group = Group()
         group.add(None, 0, text)
         parts, sizes, steps, times = group.packed(3)
-        counts = np.concatenate([np.array(self.counts(unpacked(*p)), np.int64) for p in parts])
+        counts = np.concatenate([np.array(self.counts(unpacked(*p[1:])), np.int64) for p in parts if p[0]] or [np.empty(0, np.int64)])
         return int(sums_of(sizes, steps, times, counts)[0])
 
 
 def narrow(numbers: np.ndarray) -> bytes:
-    """Numbers in one, two or four bytes each, as the largest needs; ``wide`` reads them, given how many there are."""
+    """Numbers in one, two or four bytes each, as the largest needs, compressed; ``wide`` reads them, given how many there are."""
     top = int(numbers.max(initial=0))
-    return numbers.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+    return pressed(numbers.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes())
+
+
+def pressed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def whole(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
 def wide(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+    if not n:
+        return np.empty(0, np.int64)
+    data = whole(data)
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
 
 
 def unpacked(lengths: bytes, data: bytes) -> list:
     """The pre-tokens of a part."""
-    ends = np.cumsum(np.frombuffer(lengths, "<u4"), dtype=np.int64).tolist()
+    ends, data = np.cumsum(np.frombuffer(whole(lengths), "<u4"), dtype=np.int64).tolist(), whole(data)
     return [data[a:b].decode() for a, b in zip([0, *ends], ends)]
 
 
@@ -106,7 +117,7 @@ class Group:
         self.held += len(text)
 
     def packed(self, n_parts: int):
-        """The parts ``(lengths, data)`` of pre-tokens, which are numbered in their order, and of all documents one after the
+        """The parts ``(n, lengths, data)`` of pre-tokens, which are numbered in their order, and of all documents one after the
         other how many they have, the steps from one number to the next, and how often they have it."""
         tokens = [t.encode() for t in self.numbers]
         part = np.fromiter((zlib.crc32(t) % n_parts for t in tokens), np.int64, len(tokens))
@@ -116,7 +127,7 @@ class Group:
         parts = []
         for chosen in np.split(order, np.cumsum(np.bincount(part, minlength=n_parts))[:-1]):
             some = [tokens[k] for k in chosen.tolist()]
-            parts.append((np.fromiter(map(len, some), "<u4", len(some)).tobytes(), b"".join(some)))
+            parts.append((len(some), pressed(np.fromiter(map(len, some), "<u4", len(some)).tobytes()), pressed(b"".join(some))))
         steps, times = [], []
         for places, often in zip(self.places, self.times):
             found = number[places]
@@ -140,19 +151,19 @@ def sums_of(sizes, steps, times, counts) -> np.ndarray:
 
 def frequency_groups(docs: DataFrame, id_col: str, text_col: str, group: int, n_parts: int) -> DataFrame:
     """One row for each group of documents, as a stored table: ids, bytes, parts of pre-tokens, and frequencies."""
-    part = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("lengths", T.BinaryType()), T.StructField("data", T.BinaryType())])
+    part = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("lengths", T.BinaryType()), T.StructField("data", T.BinaryType())])
     schema = T.StructType([
         T.StructField("group", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[id_col].dataType)),
         T.StructField("n_bytes", T.ArrayType(T.LongType())), T.StructField("parts", T.ArrayType(part)),
         T.StructField("n", T.LongType()), *(T.StructField(n, T.BinaryType()) for n in ("sizes", "steps", "times"))])
-    part_type = pa.list_(pa.struct([("part", pa.int32()), ("lengths", pa.binary()), ("data", pa.binary())]))
+    part_type = pa.list_(pa.struct([("part", pa.int32()), ("n", pa.int64()), ("lengths", pa.binary()), ("data", pa.binary())]))
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
 
         def row():
             parts, sizes, steps, times = held.packed(n_parts)
-            parts = [{"part": k, "lengths": a, "data": b} for k, (a, b) in enumerate(parts) if a]
+            parts = [{"part": k, "n": n, "lengths": a, "data": b} for k, (n, a, b) in enumerate(parts) if n]
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([held.ids], pa.list_(kind)), pa.array([held.n_bytes], pa.list_(pa.int64())),
                  pa.array([parts], part_type), pa.array([len(steps)], pa.int64()),
@@ -175,7 +186,7 @@ def frequency_groups(docs: DataFrame, id_col: str, text_col: str, group: int, n_
 
 
 def piece_counts(parts: DataFrame, data: bytes, n_parts: int) -> DataFrame:
-    """``of, part, counts``: the pieces of each pre-token of ``parts(of, part, lengths, data)``.
+    """``of, part, counts``: the pieces of each pre-token of ``parts(of, part, n, lengths, data)``.
 
     All rows of a part come to one task, which asks the model for each distinct pre-token once.
     """
@@ -185,13 +196,12 @@ def piece_counts(parts: DataFrame, data: bytes, n_parts: int) -> DataFrame:
         counter, known = worker_state(key, lambda: PieceCounter(data)), {}
         for batch in batches:
             counts = []
-            for lengths, joined in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for lengths, joined in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 tokens = unpacked(lengths, joined)
                 new = list(set(tokens).difference(known))
                 known.update(zip(new, counter.counts(new) if new else ()))
                 counts.append(narrow(np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pc.cast(pc.divide(pc.binary_length(batch.column(2)), 4), pa.int64()),
-                                              pa.array(counts, pa.binary())], ["of", "part", "n", "counts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.binary())], ["of", "part", "n", "counts"])
 
     return parts.repartition(n_parts, "part").mapInArrow(run, "of bigint, part int, n bigint, counts binary")
 
