@@ -36,15 +36,14 @@ class Memo(dict):
         if value is None:
             value = self.compute(key)
         if len(key) <= 64:
-            self.learn([(key, value)])
+            self.put(key, value)
         return value
 
-    def learn(self, pairs):
-        """Add what was computed elsewhere; the limit holds but for the pairs of one call."""
+    def put(self, key, value):
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        self.update(pairs)
+        self[key] = value
 
 
 _GAP = re.compile(r"[\t\n\x0b\x0c\r ]")

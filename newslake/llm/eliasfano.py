@@ -285,26 +285,18 @@ class TextIds:
     def _joined(self, group: list) -> list:
         """The ids of lists of runs; those not yet known are asked for in one call."""
         known = self.known
-        found = [list(map(known.get, runs)) for runs in group]
-        new = {run for runs, ids in zip(group, found) if None in ids for run, i in zip(runs, ids) if i is None}
+        new = set().union(*group).difference(known)
+        new = [r for r in new.difference(known.older) if len(r) <= 64]
         if new:
-            self._learn(new)
-            for runs, ids in zip(group, found):
-                if None in ids:
-                    ids[:] = [known[run] if i is None else i for run, i in zip(runs, ids)]
-        return [b"".join(ids) for ids in found]
-
-    def _learn(self, new: set) -> None:
-        known, older = self.known, self.known.older
-        again = new.intersection(older)
-        known.learn(list(zip(again, map(older.__getitem__, again))))
-        new = [r for r in new.difference(again) if len(r) <= 64]
-        # A mark after a letter is a pre-token of its own, so many runs are a known one and a mark.
-        ended = [r for r in new if len(r) > 1 and r[-1] in _MARKS and r[-2] in _LETTERS]
-        stems = {r[:-1] for r in ended}
-        asked = list(stems.difference(known).difference(older).union(new).difference(ended))
-        known.learn(zip(asked, self.encoded(asked)))
-        known.update([(r, known[r[:-1]] + self.marks[r[-1]]) for r in ended])
+            # A mark after a letter is a pre-token of its own, so many runs are a known one and a mark.
+            ended = [r for r in new if len(r) > 1 and r[-1] in _MARKS and r[-2] in _LETTERS]
+            stems = {r[:-1] for r in ended}.difference(known)
+            asked = list(stems.difference(known.older).union(new).difference(ended))
+            for run, ids in zip(asked, self.encoded(asked)):
+                known.put(run, ids)
+            for run in ended:
+                known.put(run, known[run[:-1]] + self.marks[run[-1]])
+        return [b"".join(map(known.__getitem__, runs)) for runs in group]
 
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
