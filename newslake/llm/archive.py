@@ -16,30 +16,18 @@ import uuid
 import zipfile
 
 import pyarrow as pa
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslake.llm import common  # noqa: F401  ships this package with its tasks
 from newslake.session import scratch_path, staged
+from newslake.sources.stores import open_store
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _VERSION = b"WARC/1.1\r\n"
 _EPOCH = "1970-01-01T00:00:00Z"
 
 
-def open_store(uri: str):
-    """The file system of a URI and the path in it; the schemes that Spark and Arrow name differently are translated."""
-    scheme, colon, rest = uri.partition(":")
-    if not colon or "/" in scheme:
-        return arrow_fs.LocalFileSystem(), uri
-    if scheme in ("s3a", "s3n"):
-        uri = f"s3:{rest}"
-    if scheme == "file":
-        return arrow_fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return arrow_fs.FileSystem.from_uri(uri)
-
-
 # ---- records
 
 def digest_header(sha1_hex: str) -> str:

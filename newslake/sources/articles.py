@@ -1,5 +1,7 @@
 """Readers: JSON batches with and without order, batch keys, search answers, raw pages."""
 
+import codecs
+
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -13,13 +15,17 @@ from newslake.operators import state
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA, HITS_SCHEMA
 from newslake.session import staged
 from newslake.sources.jsonranges import read_records
-from newslake.sources.jsontext import values
+from newslake.sources.jsontext import objects, values
+from newslake.sources.stores import open_store
 
 # The helper travels with the tasks, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(newslake)
 
 # Objects named by hand end in .json; our batch sink writes through Spark's text files.
 _BATCH_FILES = "{*.json,part-*.txt}"
+# Files below so many bytes are read as one value.
+WHOLE_BELOW = 16 << 20
+_CHUNK = 1 << 20
 
 
 def read_articles(spark: SparkSession, paths, layout: str = "array", recursive: bool = True) -> DataFrame:
@@ -42,19 +48,69 @@ def parse_batch(value: Column, article=ARTICLE_SCHEMA) -> Column:
     return F.from_json(value, T.ArrayType(element), {"mode": "PERMISSIVE"})
 
 
+def _chunks(path: str):
+    """The text of a file in chunks."""
+    store, name = open_store(path)
+    decode = codecs.getincrementaldecoder("utf-8")("replace").decode
+    with store.open_input_stream(name) as file:
+        while data := file.read(_CHUNK):
+            yield decode(data)
+    yield decode(b"", True)
+
+
+def _arrays(path: str):
+    """A file's articles as the texts of arrays of about a chunk, ``(kind, array, problem)``; a file with a problem gives no array."""
+    def drained(found):
+        while True:
+            try:
+                next(found)
+            except StopIteration as end:
+                return end.value
+
+    kind, problem = drained(objects(_chunks(path)))
+    if problem:
+        yield None, None, problem
+        return
+    held, size = [], 0
+    for text in objects(_chunks(path)):
+        held.append(text)
+        size += len(text)
+        if size >= _CHUNK:
+            yield kind, f"[{','.join(held)}]", None
+            held, size = [], 0
+    if held:
+        yield kind, f"[{','.join(held)}]", None
+
+
 def split_values(files: DataFrame) -> DataFrame:
     """``files(path, value)``, whole texts, with ``kind`` and the articles as one array's text, or the ``problem``.
 
-    Works on streams too. A file is one row here, so it has to fit a task; lines of any number are read by
-    ``read_articles(layout="lines")``, which splits files.
+    Works on streams too. A text is one row here, so it has to fit a task; lines of any number are read by
+    ``read_articles(layout="lines")``, which splits files. With a column ``whole``, a file where it is false has no text
+    here: its task reads it in chunks, twice, and gives arrays of about a chunk in as many rows.
     """
     def run(batches):
         for batch in batches:
-            found = [values(t) if t is not None else (None, None, "empty") for t in batch.column(1).to_pylist()]
-            columns = [pa.array(c, pa.string()) for c in (zip(*found) if found else ([], [], []))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["path", "kind", "value", "problem"])
-
-    return files.select("path", "value").mapInArrow(run, "path string, kind string, value string, problem string")
+            out, size = [], 0
+            # One text at a time, and rows go out as they come.
+            for path, value, whole in zip(*(batch.column(i) for i in range(3))):
+                path = path.as_py()
+                text = value.as_py() if whole.as_py() else None
+                found = _arrays(path) if not whole.as_py() else [values(text) if text is not None else (None, None, "empty")]
+                for row in found:
+                    out.append((path, *row))
+                    size += len(row[1] or "")
+                    if size >= 4 * _CHUNK:
+                        yield batch_of(out)
+                        out, size = [], 0
+            if out:
+                yield batch_of(out)
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["path", "kind", "value", "problem"])
+
+    whole = F.col("whole") if "whole" in files.columns else F.lit(True)
+    return files.select("path", "value", whole.alias("whole")).mapInArrow(run, "path string, kind string, value string, problem string")
 
 
 def plain_path(path: Column) -> Column:
@@ -63,7 +119,8 @@ def plain_path(path: Column) -> Column:
 
 
 def parse_files(files: DataFrame, article=ARTICLE_SCHEMA, lists_only: bool = False) -> DataFrame:
-    """One row per file: path, parsed array ``rows``, and the ``problem`` of a file that gives none.
+    """One row per file: path, parsed array ``rows``, and the ``problem`` of a file that gives none; several rows for a file
+    that is not ``whole`` (``split_values``).
 
     A lone object and JSON lines count as a list, unless ``lists_only`` is set.
     """
@@ -106,7 +163,7 @@ def read_batches_ordered(spark: SparkSession, paths, mode: str = "FAILFAST", rec
     return explode_files(files)
 
 
-def read_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bool = True, whole_below: int = 16 << 20):
+def read_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bool = True, whole_below: int = WHOLE_BELOW):
     """Articles of batch files of any size with their file and place in it, and the files that hold none, with their problem.
 
     Files below ``whole_below`` bytes are one row each (``read_batch_files``); larger ones are read by ranges of bytes, so

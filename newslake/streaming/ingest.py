@@ -8,21 +8,30 @@ from pyspark.sql import functions as F
 from newslake.schema import ARTICLE_COLUMNS
 from newslake.session import passing, staged
 from newslake.sources import published, runs
-from newslake.sources.articles import explode_files, parse_files, plain_path
+from newslake.sources.articles import WHOLE_BELOW, parse_files, plain_path
 
 _FILES = "path string, problem string, rows bigint"
+_LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def landed_batches(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
-    """Landed batch files as a stream of ``path, value``; ``max_files`` bounds one micro-batch.
+def landed_batches(spark: SparkSession, path: str, max_files: int = 10_000, whole_below: int = WHOLE_BELOW) -> DataFrame:
+    """Landed batch files as a stream of ``path, value, whole``; ``max_files`` bounds one micro-batch.
 
-    Files count as new whenever they land, whatever their time stamp says.
+    Files of ``whole_below`` bytes and more are not ``whole``: they come by name, without a value, and the task that parses
+    them reads them in chunks (``split_values``). Files count as new whenever they land, whatever their time stamp says.
     """
-    stream = (
-        spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d").load(path)
-    )
-    return stream.select(plain_path(F.col("_metadata.file_path")).alias("path"), "value")
+    def landed(kind, fits):
+        files = (
+            spark.readStream.format(kind).option("recursiveFileLookup", True)
+            .option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
+        )
+        files = (files.option("wholetext", True) if fits else files.schema(_LISTED)).load(path)
+        size = F.col("_metadata.file_size")
+        return files.filter(size < whole_below if fits else size >= whole_below).select(
+            plain_path(F.col("_metadata.file_path")).alias("path"), (F.col("value") if fits else F.lit(None).cast("string")).alias("value"),
+            F.lit(fits).alias("whole"))
+
+    return landed("text", True).unionByName(landed("binaryFile", False))
 
 
 def landed_articles(stream: DataFrame) -> DataFrame:
@@ -57,11 +66,16 @@ def run_ingest(stream: DataFrame, path: str, checkpoint: str, dedup: bool = Fals
                 spark, f"{path}/files", run) else None
             if taken is None:
                 return
-            files = staged(parse_files(batch.join(taken, "path", "left_anti")), "landed")
-            rows, _ = explode_files(files)
+            files = parse_files(batch.join(taken, "path", "left_anti"))
+            landed = staged(files.select("path", "problem", F.explode_outer("rows").alias("row")), "landed")
+            # A file with a problem gives no rows, wherever in it the problem is.
+            broken = landed.filter(F.col("problem").isNotNull()).select("path").distinct()
+            rows = landed.filter(F.col("row").isNotNull()).join(broken, "path", "left_anti").select("row.*")
             published.publish(rows.select(*ARTICLE_COLUMNS), path, run, "insert_new" if dedup else "append")
             # The files count as taken once their rows are published; in between, a replay finds the run there.
-            done = files.select(F.lit("file").alias("part"), "path", "problem", F.size("rows").cast("bigint").alias("rows"))
+            taken_now = landed.groupBy("path").agg(F.max("problem").alias("problem"), F.count("row").alias("n"))
+            done = taken_now.select(
+                F.lit("file").alias("part"), "path", "problem", F.when(F.col("problem").isNull(), F.col("n")).alias("rows"))
             runs.write_run(done, f"{path}/files", run, ["part"], lambda d: d.groupBy("part").count())
 
     query = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

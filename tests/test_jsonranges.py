@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newslake.sources import jsonranges as J
 from newslake.sources.articles import read_files
-from newslake.sources.jsontext import values
+from newslake.sources.jsontext import objects, values
 
 
 def random_value(rng, depth=0):
@@ -143,3 +143,21 @@ def test_one_file_is_read_by_several_tasks(spark, tmp_path, small_ranges):
     rows, rejects = J.read_records(spark, str(tmp_path))
     assert [json.loads(r.value)["id"] for r in rows.orderBy("pos").collect()] == [f"i{k}" for k in range(200)]
     assert [(r.path.rsplit("/", 1)[1], r.problem) for r in rejects.collect()] == [("cut.json", "broken JSON")]
+
+
+def test_texts_in_chunks_equal_the_reader_of_whole_texts():
+    rng = random.Random(11)
+    texts = ["", " ", "﻿", "[]", "[{}]{}", "{}[]", "{} 1", "[1]", "[{},]", "[{}", "{", "12", "[{}] x", "[[]]", '[{"a": "' + "x" * 90]
+    for text in [*texts, *(random_file(rng) for _ in range(4000))]:
+        chunks = [text[i:i + n] for n in [rng.choice([1, 3, 40, 4000])] for i in range(0, len(text), n)]
+        found, got = objects(chunks), []
+        while True:
+            try:
+                got.append(next(found))
+            except StopIteration as end:
+                kind, problem = end.value
+                break
+        want_kind, want, want_problem = values(text)
+        assert (kind, problem) == (want_kind, want_problem), repr(text)
+        if want is not None:
+            assert json.loads(f"[{','.join(got)}]") == json.loads(want), repr(text)

@@ -590,6 +590,33 @@ def test_streams_and_batches_share_a_table(spark, tmp_path):
     assert sorted(r.id for r in read_published(spark, out).collect()) == ["id1", "id2", "id3", "id4"]
 
 
+def test_streams_take_large_files_in_parts(spark, tmp_path, monkeypatch):
+    """A file is never one value: no array that a task hands on is larger than about a chunk."""
+    from newslake.sources import articles
+    monkeypatch.setattr(articles, "_CHUNK", 300)
+    landing = str(tmp_path / "landing")
+    put(landing, "a b%20/list.json", [article(i) for i in range(1, 41)])
+    put(landing, "lines.json", "\n".join(json.dumps(article(i)) for i in range(30, 61)))
+    put(landing, "cut.json", json.dumps([article(i) for i in range(70, 99)])[:-1])
+    put(landing, "small.json", [article(99)])
+    stream = ingest.landed_batches(spark, landing, whole_below=500)
+    sizes = articles.split_values(stream).select("path", "kind", F.length("value").alias("n"), "problem")
+    query = sizes.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "m0")).trigger(availableNow=True).start(str(tmp_path / "sizes"))
+    query.awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "sizes")).collect()
+    assert len(rows) > 10 and max(r.n or 0 for r in rows) < 1000
+    ids = sorted(f"id{i}" for i in [*range(1, 61), 99])
+    for form in ("run", "state"):
+        out = str(tmp_path / form)
+        take = ingest.run_ingest if form == "run" else ingest.run_ingest_by_state
+        for _ in range(2):
+            take(ingest.landed_batches(spark, landing, whole_below=500), out, str(tmp_path / f"m_{form}"), *([True] if form == "run" else []))
+        assert sorted(r.id for r in ingest.published_table(spark, out).collect()) == ids
+        assert [(os.path.basename(r.path), r.problem) for r in ingest.rejected_files(spark, out).collect()] == [("cut.json", "broken JSON")]
+    taken = {os.path.basename(r.path): r["rows"] for r in ingest.ingested_files(spark, str(tmp_path / "run")).collect()}
+    assert taken == {"list.json": 40, "lines.json": 31, "cut.json": None, "small.json": 1}
+
+
 def test_a_stream_that_stops_between_table_and_list_doubles_nothing(spark, tmp_path, monkeypatch):
     landing, out, marks = (str(tmp_path / n) for n in ("landing", "out", "marks"))
     put(landing, "1.json", [article(1), article(2)])
