@@ -51,10 +51,14 @@ def insert_new(documents: DataFrame, published: DataFrame, by=("source", "id"))
     The table's ids are first reduced to those of the new rows, a join whose small side is the new rows' key list, so
     the large table is neither shuffled nor compared as a whole.
     """
-    one = keep_first(documents, tuple(by[:-1]), by[-1], [c for c in ("published_at", "url") if c in documents.columns])
     wanted = staged(documents.select(*by).distinct(), "wanted")
     known = staged(attach(published.select(*by), wanted, by, "left_semi").distinct(), "known")
-    return attach(one, known, by, "left_anti")
+    fresh = staged(attach(wanted, known, by, "left_anti"), "fresh")
+    first = [c for c in ("published_at", "url") if c in documents.columns]
+    if fresh.count() <= known.count():
+        # Most are known, so the few others are picked before whole documents are compared.
+        return keep_first(attach(documents, fresh, by, "left_semi"), tuple(by[:-1]), by[-1], first)
+    return attach(keep_first(documents, tuple(by[:-1]), by[-1], first), known, by, "left_anti")
 
 
 def publish(articles: DataFrame, path: str, run: str | None = None, mode: str = "append") -> str:

@@ -66,10 +66,15 @@ def run_ingest(stream: DataFrame, path: str, checkpoint: str, dedup: bool = Fals
                 spark, f"{path}/files", run) else None
             if taken is None:
                 return
-            files = parse_files(batch.join(taken, "path", "left_anti"))
+            # Names are compared first; whole texts only where some of the files are known and others not.
+            here = staged(batch.select("path", F.lit(True).alias("here")).join(taken.withColumn("old", F.lit(True)), "path", "left"), "here")
+            old, new = (not here.filter(which).isEmpty() for which in ("old", "old IS NULL"))
+            if not new:
+                return
+            files = parse_files(batch.join(taken, "path", "left_anti") if old else batch)
             landed = staged(files.select("path", "problem", F.explode_outer("rows").alias("row")), "landed")
             # A file with a problem gives no rows, wherever in it the problem is.
-            broken = landed.filter(F.col("problem").isNotNull()).select("path").distinct()
+            broken = staged(landed.filter(F.col("problem").isNotNull()).select("path").distinct(), "broken")
             rows = landed.filter(F.col("row").isNotNull()).join(broken, "path", "left_anti").select("row.*")
             published.publish(rows.select(*ARTICLE_COLUMNS), path, run, "insert_new" if dedup else "append")
             # The files count as taken once their rows are published; in between, a replay finds the run there.
