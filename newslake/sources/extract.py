@@ -1,10 +1,10 @@
 """Rule-driven extraction: pages to article fields, listing pages to cards.
 
-One ``mapInPandas`` per operator reads only the columns it needs, works batch by batch without any
-shuffle, and emits raw text. Dates, ids, defaults and text steps are built-in expressions on top.
+One ``mapInArrow`` per operator reads only the columns it needs, takes one page after the other without
+any shuffle, and emits raw text. Dates, ids, defaults and text steps are built-in expressions on top.
 """
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ from newslake.sources.rules import RULES, Rule, rule_map
 # The helper and the rules travel with the tasks, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(newslake)
 
+# Found rows go out by so many characters, or rows.
+_HELD, _ROWS = 4 << 20, 10_000
+
 _FIELDS = "page_id bigint, url string, source string, title string, content string, " \
           "published_raw string, notation string, other_raw string"
 _CARDS = "page_id bigint, source string, category string, pos bigint, href string, title string, " \
@@ -81,8 +84,37 @@ def _body(tree, roots):
     return None
 
 
+def _map_pages(pages: DataFrame, find, schema: str) -> DataFrame:
+    """The rows that ``find`` gives for each row of ``pages``. A task holds a batch as it came and one page's tree; found
+    rows go out as they come."""
+    def run(batches):
+        kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+        columns = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(","))])
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), columns)], schema=columns)
+        out, size = [], 0
+        for batch in batches:
+            for values in zip(*batch.columns):
+                for row in find(*(v.as_py() for v in values)):
+                    out.append(row)
+                    size += sum(len(v) for v in row if isinstance(v, str))
+                    if size >= _HELD or len(out) >= _ROWS:
+                        yield batch_of(out)
+                        out, size = [], 0
+            if out:
+                yield batch_of(out)
+                out, size = [], 0
+
+    return pages.mapInArrow(run, schema)
+
+
 def _page_fields(html, rule):
-    tree = H.parse(html)
+    with H.parsed(html) as tree:
+        return _tree_fields(tree, rule)
+
+
+def _tree_fields(tree, rule):
     title = _value(tree, rule.title) if rule.title else None
     found = []
     for field in rule.dates:
@@ -97,7 +129,12 @@ def _page_fields(html, rule):
 
 
 def _page_cards(html, rule):
-    tree, spec, pos = H.parse(html), rule.cards, 0
+    with H.parsed(html) as tree:
+        return list(_tree_cards(tree, rule))
+
+
+def _tree_cards(tree, rule):
+    spec, pos = rule.cards, 0
     for selector in spec.select:
         selector, _, first = selector.partition(" !")
         nodes = H.select(tree, selector)
@@ -115,6 +152,18 @@ def _page_cards(html, rule):
             pos += 1
 
 
+def _page_label(html, rule):
+    """The text of the pagination link that holds the last page's number."""
+    with H.parsed(html) as tree:
+        links = H.select(tree, rule.pages)
+        return " ".join(H.strings(links[-rule.page_link])) if len(links) >= rule.page_link else None
+
+
+def _readable(html, rule):
+    with H.parsed(html):
+        return True
+
+
 def _guarded(read, html, rule):
     """Markup that the parser refuses counts as a page without any field."""
     try:
@@ -158,17 +207,12 @@ def extract_fields(pages: DataFrame, rules=None) -> DataFrame:
     rules = RULES if rules is None else rules
     by_source = rule_map(rules)
 
-    def read(batches):
-        for pdf in batches:
-            out = []
-            for page_id, url, html, source in pdf.itertuples(index=False):
-                fields = _guarded(_page_fields, html, by_source[source]) if html is not None else None
-                out.append((page_id, url, source, *(fields or (None,) * 5)))
-            yield pd.DataFrame(out, columns=["page_id", "url", "source", "title", "content",
-                                             "published_raw", "notation", "other_raw"])
+    def find(page_id, url, html, source):
+        fields = _guarded(_page_fields, html, by_source[source]) if html is not None else None
+        yield page_id, url, source, *(fields or (None,) * 5)
 
     known = pages.select("page_id", "url", "html", "source").filter(F.col("source").isin(list(by_source)))
-    raw = known.mapInPandas(read, _FIELDS)
+    raw = _map_pages(known, find, _FIELDS)
     return raw.withColumn("content", _apply_text_steps(F.col("content"), F.col("source"), rules))
 
 
@@ -206,19 +250,14 @@ def extract_cards(pages: DataFrame, rules=None) -> DataFrame:
     rules = RULES if rules is None else rules
     by_source = {s: r for s, r in rule_map(rules).items() if r.cards}
 
-    def read(batches):
-        for pdf in batches:
-            out = []
-            for page_id, source, category, html in pdf.itertuples(index=False):
-                cards = _guarded(lambda h, r: list(_page_cards(h, r)), html, by_source[source])
-                # A page that the parser refuses is one row without a card.
-                out.extend((page_id, source, category, *card) for card in (cards if cards is not None else [(None,) * 6]))
-            yield pd.DataFrame(out, columns=["page_id", "source", "category", "pos", "href", "title",
-                                             "published_raw", "notation", "complete"])
+    def find(page_id, source, category, html):
+        cards = _guarded(_page_cards, html, by_source[source])
+        # A page that the parser refuses is one row without a card.
+        return ((page_id, source, category, *card) for card in (cards if cards is not None else [(None,) * 6]))
 
     known = pages.select("page_id", "source", "category", "html").filter(
         F.col("source").isin(list(by_source)) & F.col("html").isNotNull())
-    return known.mapInPandas(read, _CARDS)
+    return _map_pages(known, find, _CARDS)
 
 
 def listing_cards(pages: DataFrame, rules=None, tz_policy: str = "wall") -> DataFrame:
@@ -271,16 +310,15 @@ def page_rejects(pages: DataFrame, rules=None) -> DataFrame:
     """``page_id, url, source, reason`` of article pages that no text can be read from."""
     by_source = rule_map(RULES if rules is None else rules)
 
-    def read(batches):
-        for pdf in batches:
-            broken = pdf[[_guarded(lambda h, r: H.parse(h), html, None) is None for html in pdf["html"]]]
-            yield broken[["page_id", "url", "source"]].assign(reason="unreadable page")
+    def find(page_id, url, source, html):
+        if not _guarded(_readable, html, None):
+            yield page_id, url, source, "unreadable page"
 
     columns = ["page_id", "url", "source"]
     ruled = F.coalesce(F.col("source").isin(list(by_source)), F.lit(False))
     unread = pages.filter(~ruled | F.col("html").isNull()).select(*columns, F.when(~ruled, "no rule").otherwise("no page").alias("reason"))
-    return unread.unionByName(pages.filter(ruled & F.col("html").isNotNull()).select(*columns, "html").mapInPandas(
-        read, "page_id bigint, url string, source string, reason string"))
+    return unread.unionByName(_map_pages(pages.filter(ruled & F.col("html").isNotNull()).select(*columns, "html"), find,
+                                         "page_id bigint, url string, source string, reason string"))
 
 
 def last_page(pages: DataFrame, rules=None) -> DataFrame:
@@ -290,16 +328,10 @@ def last_page(pages: DataFrame, rules=None) -> DataFrame:
     """
     by_source = {r.source: r for r in (RULES if rules is None else rules) if r.pages}
 
-    def read(batches):
-        for pdf in batches:
-            out = []
-            for page_id, source, html in pdf.itertuples(index=False):
-                rule = by_source[source]
-                links = (_guarded(lambda h, r: H.select(H.parse(h), r.pages), html, rule) or []) if html is not None else []
-                value = " ".join(H.strings(links[-rule.page_link])) if len(links) >= rule.page_link else None
-                out.append((page_id, source, value, rule.page_fallback))
-            yield pd.DataFrame(out, columns=["page_id", "source", "label", "fallback"])
+    def find(page_id, source, html):
+        rule = by_source[source]
+        yield page_id, source, _guarded(_page_label, html, rule) if html is not None else None, rule.page_fallback
 
     known = pages.select("page_id", "source", "html").filter(F.col("source").isin(list(by_source)))
-    return known.mapInPandas(read, "page_id bigint, source string, label string, fallback int").select(
+    return _map_pages(known, find, "page_id bigint, source string, label string, fallback int").select(
         "page_id", "source", F.coalesce(text.to_int(F.col("label")), "fallback").alias("pages"))

@@ -353,3 +353,35 @@ def test_tree_and_built_in_expressions_agree(spark):
     text = page.visible_text(page.inner(F.col("html"), "article"))
     matched = {r.page_id: r.c for r in df.select("page_id", text.alias("c")).collect()}
     assert walked == matched
+
+
+def test_trees_do_not_outlive_their_page():
+    """A tree's elements name one another, so without a break they stay until the garbage collector's next full round."""
+    import gc
+    rule = rule_map(RULES)["u.today"]
+    page = '<div class="article__content">' + "<p>a <b>b</b></p>" * 50 + "</div>"
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(5):
+            assert extract._page_fields(page, rule)[1] == " ".join(["a b"] * 50)
+            list(extract._page_cards(page, rule))
+        assert not [o for o in gc.get_objects() if isinstance(o, H.Node) and o.tag == "p"]
+    finally:
+        gc.enable()
+
+
+def test_found_rows_go_out_as_they_come(spark, monkeypatch):
+    monkeypatch.setattr(extract, "_HELD", 100)
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "'u.today' AS source",
+                                       "concat('<div class=\"article__content\"><p>', repeat('x', 60), id, '</p></div>') AS html").coalesce(1)
+    seen = []
+    original = pages.mapInArrow.__func__
+
+    def spied(self, run, schema):
+        table = self.select("page_id", "url", "html", "source").toArrow().to_batches()
+        seen.extend(b.num_rows for b in run(iter(table)))
+        return original(self, run, schema)
+    monkeypatch.setattr(type(pages), "mapInArrow", spied)
+    rows = extract.extract_fields(pages).collect()
+    assert len(rows) == 40 and sum(seen) == 40 and max(seen) == 2
