@@ -35,7 +35,7 @@ from newslake.session import scratch_path
 
 _MARK = b"EFTOKEN1"
 _SAMPLE = 512
-_MARKS, _LETTERS = ".,;:!?", frozenset(string.ascii_letters)
+_MARKS, _LETTERS = ".,;:!?", frozenset(string.ascii_letters.encode())
 
 
 # ---- rising numbers
@@ -222,10 +222,10 @@ class TextIds:
 
     Byte-level vocabularies cut texts before white space that follows something else, whatever comes after, so runs of
     white space with what follows them are independent, and each distinct one is asked for once (``memo`` entries in
-    two generations at most). Other vocabularies, or special strings with white space, are given whole texts.
+    two generations at most). Texts are cut as UTF-8, many at once, before ASCII white space; where other white space may
+    stand before it they are not. Other vocabularies, or special strings with white space, are given whole texts.
     """
 
-    _RUNS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
     _CUT = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
 
     def __init__(self, data: bytes, memo: int):
@@ -242,8 +242,8 @@ class TextIds:
                     for t in spec["added_tokens"])
         self.by_runs = plain and spec.get("normalizer") is None and before.get("type") == "ByteLevel" \
             and before.get("use_regex") and not before.get("add_prefix_space")
-        self.known = Memo(lambda run: self.encoded([run])[0], memo)
-        self.marks = dict(zip(_MARKS, self.encoded(list(_MARKS))))
+        self.known = Memo(lambda run: self.encoded([run.decode()])[0], memo)
+        self.marks = dict(zip(_MARKS.encode(), self.encoded(list(_MARKS))))
 
     def encoded(self, texts: list) -> list:
         found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -260,10 +260,10 @@ class TextIds:
         while start < len(text):
             cut = self._CUT.search(text, start + size) if len(text) - start > size else None
             end = cut.start() if cut else len(text)
-            yield from self._joined([self._RUNS.findall(text, start, end)])
+            yield from self._joined([text[start:end]])
             start = end
 
-    def encode(self, texts, size: int = 1 << 20):
+    def encode(self, texts, size: int = 6 << 20):
         """For each text the blocks of its ids; short ones are worked on together, about ``size`` characters at once."""
         group, held = [], 0
         for text in texts:
@@ -272,7 +272,7 @@ class TextIds:
                 group, held = [], 0
                 yield self.blocks(text, size)
                 continue
-            group.append(self._RUNS.findall(text))
+            group.append(text)
             held += len(text)
             if held >= size:
                 yield from self._single(group)
@@ -283,21 +283,68 @@ class TextIds:
         return ([ids] for ids in self._joined(group))
 
     def _joined(self, group: list) -> list:
-        """The ids of lists of runs; those not yet known are asked for in one call."""
-        known = self.known
-        new = set().union(*group).difference(known)
-        new = [r for r in new.difference(known.older) if len(r) <= 64]
+        """The ids of texts: their runs are told apart at once, and the ids of each distinct one are laid out where it stands."""
+        parts = [text.encode() for text in group]
+        data, ends = b"".join(parts), np.cumsum([0, *map(len, parts)])
+        if not data:
+            return [b""] * len(group)
+        marked = np.zeros(len(data) + 1, bool)
+        marked[_run_starts(np.frombuffer(data, np.uint8))] = marked[ends] = True
+        starts = np.flatnonzero(marked)
+        runs = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype("<i4")), pa.py_buffer(data)]).dictionary_encode()
+        found = self._of_runs(runs.dictionary.to_pylist())
+        ids, lengths = np.frombuffer(b"".join(found), f"<u{self.width}"), np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        which = runs.indices.to_numpy()
+        counts = lengths[which]
+        after = np.cumsum(counts)
+        # From the place of an id to that of the same id of its run.
+        shifts = (np.cumsum(lengths) - lengths)[which] - (after - counts)
+        out = ids[np.repeat(shifts, counts) + np.arange(after[-1])]
+        bounds = np.concatenate([[0], after])[np.searchsorted(starts, ends)].tolist()
+        return [out[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def _of_runs(self, runs: list) -> list:
+        """The ids of distinct runs; those not yet known are asked for in one call."""
+        known, older = self.known, self.known.older
+        found = list(map(known.get, runs))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        new = []
+        for k in missing:
+            found[k] = older.get(runs[k])
+            if found[k] is None:
+                new.append(k)
         if new:
             # A mark after a letter is a pre-token of its own, so many runs are a known one and a mark.
-            ended = [r for r in new if len(r) > 1 and r[-1] in _MARKS and r[-2] in _LETTERS]
-            stems = {r[:-1] for r in ended}.difference(known)
-            asked = list(stems.difference(known.older).union(new).difference(ended))
-            for run, ids in zip(asked, self.encoded(asked)):
-                known.put(run, ids)
-            for run in ended:
-                known.put(run, known[run[:-1]] + self.marks[run[-1]])
-        return [b"".join(map(known.__getitem__, runs)) for runs in group]
-
+            ended = {k: runs[k][:-1] for k in new if len(runs[k]) > 1 and runs[k][-1] in self.marks and runs[k][-2] in _LETTERS}
+            stems = dict.fromkeys(stem for stem in ended.values() if stem not in known and stem not in older)
+            asked = list(stems | dict.fromkeys(runs[k] for k in new if k not in ended))
+            fresh = dict(zip(asked, self.encoded([run.decode() for run in asked])))
+            for k in new:
+                stem = ended.get(k)
+                if stem is None:
+                    found[k] = fresh[runs[k]]
+                    continue
+                ids = fresh.get(stem) or known.get(stem) or older[stem]
+                found[k] = ids + self.marks[runs[k][-1]]
+            for stem in stems:
+                if len(stem) <= 64:
+                    known.put(stem, fresh[stem])
+        for k in missing:
+            if len(runs[k]) <= 64:
+                known.put(runs[k], found[k])
+        return found
+
+
+def _run_starts(data: np.ndarray) -> np.ndarray:
+    """Where UTF-8 text may be cut: before ASCII white space that follows neither such nor what may be other white space."""
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    at = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    # All other white space is C2 xx, E1 9A xx, E2 80 xx, E2 81 xx or E3 80 xx.
+    last, before = data[at - 1], data[np.maximum(at - 2, 0)]
+    return at[(last < 0x80) | ~np.isin(before, (0xC2, 0x9A, 0x80, 0x81))]
+
+
+# ---- tables
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
               max_ids: int = 64 << 20, max_documents: int = 4 << 20, memo: int = 400_000) -> DataFrame:

@@ -164,3 +164,18 @@ def test_registered_query_equals_the_library(spark):
     sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     assert sorted(map(tuple, queries.all_queries()["op12_token_files"](spark, sf).collect())) == brute(rows)
+
+
+def test_texts_are_cut_together_and_each_run_is_asked_for_once(monkeypatch):
+    """A group of texts of many words asks the library for distinct words alone, in one call, and no word is looked up by itself."""
+    with open(BYTES, "rb") as file:
+        found = E.TextIds(file.read(), 500)
+    texts = [" ".join(f"word{k % 40}é  x  y　   z" for k in range(n)) for n in (0, 300, 1, 700)] + random_texts(400)
+    asked, real = [], found.encoded
+    monkeypatch.setattr(found, "encoded", lambda runs: asked.append(len(runs)) or real(runs))
+    looked = []
+    monkeypatch.setattr(E.Memo, "__missing__", lambda self, key: looked.append(key))
+    library = Tokenizer.from_file(BYTES)
+    got = [np.frombuffer(b"".join(blocks), "<u2").tolist() for blocks in found.encode(texts)]
+    assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(asked) == 1 and not looked
