@@ -2,6 +2,7 @@
 
 import re
 import sys
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,13 @@ class Memo(dict):
             self.clear()
         self[key] = value
 
+    def put_all(self, values: dict):
+        """Many at once, of which ``limit`` at most are kept."""
+        if len(self) + len(values) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        self.update(islice(values.items(), self.limit))
+
 
 _GAP = re.compile(r"[\t\n\x0b\x0c\r ]")
 

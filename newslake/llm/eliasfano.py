@@ -15,7 +15,6 @@ import hashlib
 import json
 import os
 import re
-import string
 import struct
 import uuid
 import zlib
@@ -35,7 +34,8 @@ from newslake.session import scratch_path
 
 _MARK = b"EFTOKEN1"
 _SAMPLE = 512
-_MARKS, _LETTERS = ".,;:!?", frozenset(string.ascii_letters.encode())
+# Of ASCII: white space, signs, letters and digits; all else is 0.
+_KINDS = np.array([1 if c == 32 or 9 <= c <= 13 else 3 if c < 128 and chr(c).isalnum() else 2 if 32 < c < 127 else 0 for c in range(256)], np.uint8)
 
 
 # ---- rising numbers
@@ -220,10 +220,11 @@ class IdFile:
 class TextIds:
     """A text's ids as the tokenizers library gives them.
 
-    Byte-level vocabularies cut texts before white space that follows something else, whatever comes after, so runs of
-    white space with what follows them are independent, and each distinct one is asked for once (``memo`` entries in
-    two generations at most). Texts are cut as UTF-8, many at once, before ASCII white space; where other white space may
-    stand before it they are not. Other vocabularies, or special strings with white space, are given whole texts.
+    Byte-level vocabularies cut texts before white space that follows something else, and before a sign that follows a
+    letter or digit, whatever comes after, so the runs between are independent, and each distinct one is asked for once
+    (``memo`` entries in two generations at most). Texts are cut as UTF-8, many at once, before ASCII white space; where
+    other white space may stand before it they are not. Other vocabularies, or special strings with white space,
+    are given whole texts.
     """
 
     _CUT = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
@@ -242,8 +243,16 @@ class TextIds:
                     for t in spec["added_tokens"])
         self.by_runs = plain and spec.get("normalizer") is None and before.get("type") == "ByteLevel" \
             and before.get("use_regex") and not before.get("add_prefix_space")
+        self.kinds = _KINDS.copy()
+        for t in spec["added_tokens"]:
+            # Signs that follow a letter or digit within a special string do not end a run.
+            self.kinds[[ord(sign) for sign in re.findall(r"(?<=[A-Za-z0-9])[!-/:-@[-`{-~]", t["content"])]] = 0
+        # A token of a byte-level vocabulary has a character for each of its bytes.
+        sizes = {i: len(token) for token, i in spec["model"]["vocab"].items()} if self.by_runs else {}
+        sizes |= {t["id"]: len(t["content"].encode()) for t in spec["added_tokens"]}
+        self.sizes = np.zeros(max(sizes, default=0) + 1, np.int64)
+        self.sizes[list(sizes)] = list(sizes.values())
         self.known = Memo(lambda run: self.encoded([run.decode()])[0], memo)
-        self.marks = dict(zip(_MARKS.encode(), self.encoded(list(_MARKS))))
 
     def encoded(self, texts: list) -> list:
         found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -251,6 +260,27 @@ class TextIds:
         ends = [0, *(self.width * n for n in accumulate(map(len, found)))]
         return [data[a:b] for a, b in zip(ends, ends[1:])]
 
+    def encoded_runs(self, runs: list, size: int = 1 << 15) -> list:
+        """The ids of each run. Those that the library cuts off from one another are given to it as texts of about ``size``
+        bytes, and their ids parted by the bytes that each id stands for; where these do not add up, one by one."""
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+        data, ends = np.frombuffer(b"".join(runs), np.uint8), np.cumsum(lengths)
+        good = _blank(data[ends - lengths]) & ~_blank(data[ends - 1]) & _cut_after(data, ends)
+        if not good.all():
+            alone = iter(self.encoded([run.decode() for run, joins in zip(runs, good) if not joins]))
+            rest = iter(self.encoded_runs([run for run, joins in zip(runs, good) if joins], size) if good.any() else ())
+            return [next(rest if joins else alone) for joins in good.tolist()]
+        data = data.tobytes()
+        cuts = np.unique([0, *ends[np.searchsorted(ends, np.arange(size, len(data), size))].tolist(), len(data)]).tolist()
+        texts = [data[a:b].decode() for a, b in zip(cuts, cuts[1:])]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)), f"<u{self.width}")
+        reached = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(reached, ends)
+        if not len(ids) or reached[-1] != len(data) or (reached[last] != ends).any():
+            return self.encoded([run.decode() for run in runs])
+        packed, bounds = ids.tobytes(), [0, *((last + 1) * self.width).tolist()]
+        return [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def blocks(self, text: str, size: int = 1 << 20):
         """The ids of ``text`` in blocks, a slice of the text each."""
         if not self.by_runs:
@@ -289,7 +319,7 @@ class TextIds:
         if not data:
             return [b""] * len(group)
         marked = np.zeros(len(data) + 1, bool)
-        marked[_run_starts(np.frombuffer(data, np.uint8))] = marked[ends] = True
+        marked[_run_starts(np.frombuffer(data, np.uint8), self.kinds)] = marked[ends] = True
         starts = np.flatnonzero(marked)
         runs = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype("<i4")), pa.py_buffer(data)]).dictionary_encode()
         found = self._of_runs(runs.dictionary.to_pylist())
@@ -308,40 +338,31 @@ class TextIds:
         known, older = self.known, self.known.older
         found = list(map(known.get, runs))
         missing = [k for k, ids in enumerate(found) if ids is None]
-        new = []
-        for k in missing:
-            found[k] = older.get(runs[k])
-            if found[k] is None:
-                new.append(k)
-        if new:
-            # A mark after a letter is a pre-token of its own, so many runs are a known one and a mark.
-            ended = {k: runs[k][:-1] for k in new if len(runs[k]) > 1 and runs[k][-1] in self.marks and runs[k][-2] in _LETTERS}
-            stems = dict.fromkeys(stem for stem in ended.values() if stem not in known and stem not in older)
-            asked = list(stems | dict.fromkeys(runs[k] for k in new if k not in ended))
-            fresh = dict(zip(asked, self.encoded([run.decode() for run in asked])))
-            for k in new:
-                stem = ended.get(k)
-                if stem is None:
-                    found[k] = fresh[runs[k]]
-                    continue
-                ids = fresh.get(stem) or known.get(stem) or older[stem]
-                found[k] = ids + self.marks[runs[k][-1]]
-            for stem in stems:
-                if len(stem) <= 64:
-                    known.put(stem, fresh[stem])
-        for k in missing:
-            if len(runs[k]) <= 64:
-                known.put(runs[k], found[k])
+        again = list(map(older.get, [runs[k] for k in missing])) if older else [None] * len(missing)
+        asked = [runs[k] for k, ids in zip(missing, again) if ids is None]
+        fresh = iter(self.encoded_runs(asked) if asked else ())
+        again = [next(fresh) if ids is None else ids for ids in again]
+        for k, ids in zip(missing, again):
+            found[k] = ids
+        known.put_all({runs[k]: ids for k, ids in zip(missing, again) if len(runs[k]) <= 64})
         return found
 
 
-def _run_starts(data: np.ndarray) -> np.ndarray:
-    """Where UTF-8 text may be cut: before ASCII white space that follows neither such nor what may be other white space."""
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    at = np.flatnonzero(space[1:] & ~space[:-1]) + 1
-    # All other white space is C2 xx, E1 9A xx, E2 80 xx, E2 81 xx or E3 80 xx.
-    last, before = data[at - 1], data[np.maximum(at - 2, 0)]
-    return at[(last < 0x80) | ~np.isin(before, (0xC2, 0x9A, 0x80, 0x81))]
+def _blank(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _cut_after(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Is what ends before the places ``at`` no white space beyond ASCII? All such is C2 xx, E1 9A xx, E2 80 xx, E2 81 xx or E3 80 xx."""
+    return (data[at - 1] < 0x80) | ~np.isin(data[np.maximum(at - 2, 0)], (0xC2, 0x9A, 0x80, 0x81))
+
+
+def _run_starts(data: np.ndarray, kinds: np.ndarray = _KINDS) -> np.ndarray:
+    """Where UTF-8 text may be cut: before ASCII white space that follows neither such nor what may be other white space, and
+    before an ASCII sign after an ASCII letter or digit, where a pre-token ends whatever stands around."""
+    kind = kinds[data]
+    at = np.flatnonzero((kind[1:] == 1) & (kind[:-1] != 1) | (kind[1:] == 2) & (kind[:-1] == 3)) + 1
+    return at[_cut_after(data, at)]
 
 
 # ---- tables
@@ -449,7 +470,7 @@ def read_ids(files: DataFrame, id_col: str = "doc_id", with_ids: bool = False, s
 
     n = max(1, spans.count())
     schema = f"`{id_col}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    return spans.repartition(n).mapInArrow(run, schema)
+    return (spans.repartition(n) if n > 1 else spans.coalesce(1)).mapInArrow(run, schema)
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

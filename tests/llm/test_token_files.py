@@ -179,3 +179,30 @@ def test_texts_are_cut_together_and_each_run_is_asked_for_once(monkeypatch):
     got = [np.frombuffer(b"".join(blocks), "<u2").tolist() for blocks in found.encode(texts)]
     assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
     assert len(asked) == 1 and not looked
+
+
+def test_runs_end_before_signs_and_are_asked_for_together():
+    """One word with many signs after it is one distinct run; ids are those of whole texts, special strings included."""
+    data = open(BYTES, "rb").read()
+    library, texts = Tokenizer.from_file(BYTES), E.TextIds(data, 1000)
+    asked = []
+    texts.library = type("Counted", (), {"encode_batch_fast": lambda _, batch, **options: asked.extend(batch) or library.encode_batch_fast(batch, **options)})()
+    whole = [f" {word}{sign}" for word in ("alpha", "beta") for sign in "!()*+,-./:;=?@[]_{}~"]
+    assert [b"".join(found) for found in texts.encode(["".join(whole)])] == [np.array(library.encode("".join(whole)).ids, "<u2").tobytes()]
+    assert sum(map(len, asked)) < len("".join(whole)) / 2
+    rng = random.Random(5)
+    pieces = ["<|endoftext|>", "endoftext", "|", "<|", "|>", "'s", "'", "don't", "x", "12", "3.5", ".", ",", "-", "_", "  ", "\n", "\t ", "\u00a0", "\u2003",
+              "\u3000", "\u0301", "\x1c", "\x85", "\u1680", "é", "漢字", "😀", "²", "٣", "a.b@c.d/e?f=g", "\0", " ", " "]
+    for size in (2, 5, 20, 300):
+        rows = ["".join(rng.choices(pieces, k=size)) for _ in range(400)]
+        found = [b"".join(blocks) for blocks in E.TextIds(data, 300).encode(rows, size=2000)]
+        assert found == [np.array(library.encode(row, add_special_tokens=False).ids, "<u2").tobytes() for row in rows]
+
+
+def test_sizes_that_do_not_add_up_are_no_ground_to_part_ids():
+    texts = E.TextIds(open(BYTES, "rb").read(), 1000)
+    runs = [b" alpha", b" beta", b",", b" ", b" \xc2\xa0"]
+    least = [texts.encoded([run.decode()])[0] for run in runs]
+    assert texts.encoded_runs(runs) == least
+    texts.sizes[:] = 1
+    assert texts.encoded_runs(runs) == least
