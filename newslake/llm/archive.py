@@ -284,7 +284,8 @@ def read_packages(packages: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     # By number, which keeps each package apart: paths are few bytes, and would be put together again.
-    return packages.select("path").repartitionByRange(max(1, packages.count()), "path").mapInArrow(
+    paths, n = packages.select("path"), packages.count()
+    return (paths.repartitionByRange(n, "path") if n > 1 else paths.coalesce(1)).mapInArrow(
         run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
         "url string, payload binary")
 
