@@ -16,6 +16,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Pages are large; batches bounded by bytes keep the Python workers' memory flat.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
+    # A stream's state lies on the executors' disks, not in their heaps, which would hold every id of every stream that a
+    # session has run in the last minutes. All stores of an executor share one bound on their memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

@@ -10,6 +10,7 @@ from newslake.operators import articles as A
 from newslake.operators import state
 from newslake.plans import jobs
 from newslake.schema import ARTICLE_COLUMNS, NO_DATE
+from newslake.session import RUNTIME
 from newslake.sources.articles import (
     articles_from_hits, list_batches, read_articles, read_batch_files, read_batches_ordered,
 )
@@ -366,6 +367,27 @@ def test_stateful_dedup(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["id1", "id2", "id3"]
 
 
+def test_state_lies_on_disk(spark, tmp_path):
+    """Ids of a stream are no objects of the heap; a checkpoint that began with such a state goes on with it."""
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+
+    def start(marks):
+        ingest.run_ingest_by_state(ingest.landed_batches(spark, landing), out, str(tmp_path / marks))
+        return {f.suffix for f in (tmp_path / marks / "state").rglob("[0-9]*.*")} & {".zip", ".delta"}
+
+    put(landing, "1.json", [article(1), article(1), article(2)])
+    assert start("marks") == {".zip"}
+    provider, kept = "spark.sql.streaming.stateStore.providerClass", RUNTIME["spark.sql.streaming.stateStore.providerClass"]
+    spark.conf.unset(provider)
+    try:
+        assert start("older") == {".delta"}
+    finally:
+        spark.conf.set(provider, kept)
+    put(landing, "2.json", [article(2), article(3)])
+    assert start("older") == {".delta"} and start("marks") == {".zip"}
+    assert sorted(r.id for r in ingest.published_table(spark, out).collect()) == ["id1", "id2", "id3"]
+
+
 def test_load_takes_lists_only(spark, tmp_path):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
     put(root, "list.json", [article(1)])
