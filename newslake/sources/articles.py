@@ -172,14 +172,12 @@ def read_files(spark: SparkSession, paths, article=ARTICLE_SCHEMA, recursive: bo
     element = T.StructType.fromDDL(article) if isinstance(article, str) else article
     listed = (
         spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES)
-        .load(paths).select("path", "length")
+        .load(paths)
     )
     # Names of large files pass the driver, not one for each hundred rows.
     large = [r.path for r in listed.filter(F.col("length") >= whole_below).select("path").collect()]
-    texts = (
-        spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", _BATCH_FILES).text(paths, wholetext=True)
-        .filter(F.col("_metadata.file_size") < whole_below)
-    )
+    # Both parts come from one listing; the filter goes down to it, so large files are not opened here.
+    texts = listed.filter(F.col("length") < whole_below).withColumn("value", F.col("content").cast("string"))
     rows, rejects = explode_files(staged(parse_files(
         texts.select(plain_path(F.col("_metadata.file_path")).alias("path"), "value"), element), "files"))
     if large:
